@@ -13,23 +13,23 @@ from pyspark.sql import types as T
 
 from quireflow.operators.prepare import drop_stray_headers
 
-_OPTIONS = {"multiLine": "true", "escape": '"'}
+_READ = {"multiLine": "true", "escape": '"'}
+_WRITE = {
+    "escape": '"', "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_pages(spark: SparkSession, path, schema: T.StructType, header: bool = False) -> DataFrame:
     return (
-        spark.read.schema(schema).options(**_OPTIONS, header=str(header).lower())
+        spark.read.schema(schema).options(**_READ, header=str(header).lower())
         .format("csv").load(path)
     )
 
 
 def write_pages(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """Empty text is written quoted, so it stays apart from null (an empty field)."""
-    (
-        df.write.mode(mode)
-        .options(header=str(header).lower(), escape='"', emptyValue='""', nullValue="")
-        .csv(path)
-    )
+    df.write.mode(mode).options(**_WRITE, header=str(header).lower()).csv(path)
 
 
 def sample_files(
@@ -46,9 +46,6 @@ def sample_files(
     pages = pages.withColumn("_at", F.monotonically_increasing_id())
     place = F.row_number().over(Window.partitionBy("file").orderBy("_at"))
     sampled = pages.withColumn("_n", place).where(F.col("_n") <= rows).drop("_n", "_at")
-    (
-        sampled.write.mode("overwrite").partitionBy("file")
-        .options(header="true", escape='"', emptyValue='""', nullValue="").csv(out)
-    )
-    return spark.read.schema(schema.add("file", T.StringType()) if "file" not in schema.names else schema) \
-        .options(**_OPTIONS, header="true").csv(out)
+    sampled.write.mode("overwrite").partitionBy("file").options(**_WRITE, header="true").csv(out)
+    with_file = T.StructType([*schema.fields, T.StructField("file", T.StringType())])
+    return read_pages(spark, out, with_file, header=True)

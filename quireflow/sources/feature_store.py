@@ -43,19 +43,24 @@ def _states(spark: SparkSession, name: str) -> list[int]:
 
 
 def _write_state(df: DataFrame, name: str, keys: Sequence[str], state: int, buckets: int) -> None:
-    table = f"{name}__v{state}"
+    """Write, check, publish. The features are computed once; the check reads only the
+    stored keys, and their bucketing spares it the exchange."""
+    spark, table = df.sparkSession, f"{name}__v{state}"
     (
         df.write.mode("errorifexists").format("parquet")
         .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     )
-    # A temporary-free catalog view: swapping it is one catalog call.
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    try:
+        check_keys(spark.table(table), keys)
+    except KeyViolation:
+        spark.sql(f"DROP TABLE {table}")
+        raise
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
 
 
 def create_feature_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """First load. ``buckets`` is for good: choose it so that a bucket stays well below a
     task's memory (about 200 MB per bucket)."""
-    check_keys(df, keys)
     _write_state(df.repartition(buckets, *keys), name, keys, 1, buckets)
     return df.sparkSession.table(name)
 
@@ -68,7 +73,6 @@ def merge(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataF
 
 def merge_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """Upsert: known keys are replaced, new ones added."""
-    check_keys(df, keys)
     spark = df.sparkSession
     state = _states(spark, name)[-1]
     existing = spark.table(f"{name}__v{state}")
@@ -79,7 +83,6 @@ def merge_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int =
 
 def overwrite_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """Replace all rows."""
-    check_keys(df, keys)
     state = _states(df.sparkSession, name)[-1]
     _write_state(df.repartition(buckets, *keys), name, keys, state + 1, buckets)
     return df.sparkSession.table(name)
