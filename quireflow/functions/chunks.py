@@ -11,7 +11,7 @@ def chunk_count(n_words: Column, maxlen: int, overlap: int, full_split: bool = F
     if not 0 <= overlap < maxlen:
         raise ValueError("need 0 <= overlap < maxlen")
     q = F.floor(n_words / F.lit(maxlen - overlap)).cast("int")
-    return F.when(q > 0, q + F.lit(1 if full_split else 0)).otherwise(F.lit(1))
+    return q + 1 if full_split else F.greatest(q, F.lit(1))
 
 
 def chunk_words(words: Column, n_chunks: Column, maxlen: int, overlap: int) -> Column:

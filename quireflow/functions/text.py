@@ -81,16 +81,13 @@ def drop_phrases(c: Column, phrases: Sequence[str]) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p), F.lit("")), phrases, c)
 
 
-def words(c: Column) -> Column:
-    """Tokens between white space; never an empty token."""
-    return F.filter(F.split(c, r"[\s\x01]+"), lambda w: w != "")
+def words(c: Column, stop_words: Sequence[str] = ()) -> Column:
+    """Tokens between white space, never an empty one, without the stop words.
 
-
-def drop_stop_words(tokens: Column, stop_words: Sequence[str]) -> Column:
-    """Exact, case-sensitive removal; punctuation stays attached to its word."""
-    if not stop_words:
-        return tokens
-    return F.filter(tokens, lambda w: ~w.isin(list(stop_words)))
+    Stop words match exactly and case-sensitively; punctuation stays attached to its word.
+    """
+    wanted = (lambda w: (w != "") & ~w.isin(list(stop_words))) if stop_words else (lambda w: w != "")
+    return F.filter(F.split(c, r"[\s\x01]+"), wanted)
 
 
 def clean_training(
@@ -114,7 +111,7 @@ def clean_training(
                  collapse_blanks, collapse_dots):
         t = step(t)
     t = drop_phrases(t, noise_phrases)
-    return F.array_join(drop_stop_words(words(t), stop_words), " ")
+    return F.array_join(words(t, stop_words), " ")
 
 
 def clean_serving(
@@ -127,7 +124,7 @@ def clean_serving(
     t = F.regexp_replace(F.lower(c), r"[,.!?]", "")
     t = F.regexp_replace(t, r"[^a-zA-Z]", " ")
     t = drop_phrases(collapse_blanks(t), noise_phrases)
-    return F.array_join(drop_stop_words(words(t), stop_words), " ")
+    return F.array_join(words(t, stop_words), " ")
 
 
 def split_sentences(c: Column) -> Column:

@@ -21,7 +21,7 @@ def vocabulary(df: DataFrame, tokens: Column, size: int = VOCABULARY_SIZE) -> Da
     """
     order = [F.col("uses").desc(), F.col("token")]
     return (
-        df.select(F.explode(tokens).alias("token"))
+        df.select(F.explode_outer(tokens).alias("token")).where(F.col("token").isNotNull())
         .groupBy("token").agg(F.count("*").alias("uses"))
         .orderBy(*order).limit(size)
         .withColumn("token_id", (F.row_number().over(Window.orderBy(*order)) + FIRST_FREE - 1))

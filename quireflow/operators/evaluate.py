@@ -64,31 +64,41 @@ def class_report(pairs: DataFrame, classes: DataFrame | None = None) -> DataFram
             2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")
         ))
     )
-    s = F.col("support")
-    total = F.sum("support")
+    # Each class feeds its own row and the three summary rows, so the predictions behind
+    # it are read once.
     parts = ["precision", "recall", "f1"]
-    summary = per_class.agg(
-        total.cast("double").alias("total"),
-        (F.sum("hits") / total).alias("acc"),
-        F.min(F.col("support") + F.col("guessed")).alias("least"),
-        *[F.avg(p).alias(f"m_{p}") for p in parts],
-        *[(F.sum(F.col(p) * s) / total).alias(f"w_{p}") for p in parts],
+    zero = F.lit(0).cast("bigint")
+
+    def feed(kind: int, name: Column, weight: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), name.alias("cls"),
+            *[(F.col(p) * weight).alias(p) for p in parts],
+            F.col("support").alias("support"), F.col("hits").alias("hits"),
+            (F.col("support") + F.col("guessed")).alias("seen"),
+        )
+
+    fed = per_class.select(F.explode(F.array(
+        feed(0, F.col("cls"), F.lit(1.0)),
+        feed(1, F.lit("accuracy"), F.lit(0.0)),
+        feed(2, F.lit("macro avg"), F.lit(1.0)),
+        feed(3, F.lit("weighted avg"), F.col("support").cast("double")),
+    )).alias("r")).select("r.*")
+    rows = fed.groupBy("kind", "cls").agg(
+        *[F.sum(p).alias(p) for p in parts], F.sum("support").alias("support"),
+        F.sum("hits").alias("hits"), F.min("seen").alias("seen"), F.count("*").alias("n"),
+    )
+    kind, support = F.col("kind"), F.col("support").cast("double")
+    acc = _ratio(F.col("hits"), F.col("support"))
+    is_acc, everyone = kind == 1, F.col("seen") > zero
+    return rows.select(
+        F.when(is_acc & ~everyone, "micro avg").otherwise(F.col("cls")).alias("cls"),
+        *[
+            F.when(is_acc, acc).when(kind == 2, F.col(p) / F.col("n"))
+            .when(kind == 3, _ratio(F.col(p), support)).otherwise(F.col(p)).alias(p)
+            for p in parts
+        ],
+        F.when(is_acc & everyone, acc).otherwise(support).alias("support"),
     )
-    everyone = F.col("least") > 0
-    extra = summary.select(F.explode(F.array(
-        F.struct(
-            F.when(everyone, "accuracy").otherwise("micro avg").alias("cls"),
-            *[F.col("acc").alias(p) for p in parts],
-            F.when(everyone, F.col("acc")).otherwise(F.col("total")).alias("support"),
-        ),
-        F.struct(F.lit("macro avg").alias("cls"),
-                 *[F.col(f"m_{p}").alias(p) for p in parts], F.col("total").alias("support")),
-        F.struct(F.lit("weighted avg").alias("cls"),
-                 *[F.col(f"w_{p}").alias(p) for p in parts], F.col("total").alias("support")),
-    )).alias("s")).select("s.*")
-    return per_class.select(
-        "cls", *parts, F.col("support").cast("double").alias("support")
-    ).unionByName(extra)
 
 
 def accuracy(actual: str, predicted: str) -> Column:
@@ -97,7 +107,7 @@ def accuracy(actual: str, predicted: str) -> Column:
 
 def cross_entropy(probabilities: str, class_id: str) -> Column:
     """Loss of a row: minus the log of the true class's probability (0-based id)."""
-    return -F.log(F.get(F.col(probabilities), F.col(class_id)))
+    return -F.log(F.get(F.col(probabilities), F.col(class_id).cast("int")))
 
 
 def accuracy_and_loss(

@@ -19,7 +19,7 @@ def bronze(pages: DataFrame, order: Sequence[str] = ("dcn", "page")) -> DataFram
     """
     first = Window.partitionBy("_digest", "label").orderBy(*order)
     return (
-        pages.dropna(subset=["text"])
+        pages.where(F.col("text").isNotNull())
         .withColumn("_digest", hashing.text_key(F.col("text")))
         .withColumn("_place", F.row_number().over(first))
         .where("_place = 1")
@@ -72,9 +72,11 @@ def gold(
     For tables where ``(dcn, page)`` identifies a row the position inside the array is
     the index, so no shuffle is needed. See ``gold_shared`` for the other case.
     """
+    # The outer form keeps the optimizer from repeating the array expression in a filter.
     return (
         with_chunks(silver_pages, "text_processed", maxlen, overlap, full_split, drop_empty)
-        .select("dcn", "page", "label", F.posexplode("chunks").alias("_pos", "text_chunk"))
+        .select("dcn", "page", "label", F.posexplode_outer("chunks").alias("_pos", "text_chunk"))
+        .where(F.col("_pos").isNotNull())
         .select("dcn", "page", "text_chunk", (F.col("_pos") + 1).alias("index"), "label")
     )
 
@@ -126,7 +128,8 @@ def gold_shared(
     return (
         with_chunks(joined, "text_processed", maxlen, overlap, full_split)
         .select("dcn", "page", row_id, "label", "_start", "_before",
-                F.posexplode("chunks").alias("_pos", "text_chunk"))
+                F.posexplode_outer("chunks").alias("_pos", "text_chunk"))
+        .where(F.col("_pos").isNotNull())
         .select("dcn", "page", "text_chunk",
                 (F.col("_start") + F.col("_before") + F.col("_pos") + 1).alias("index"),
                 "label", row_id)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quireflow.plans import prepare
+from quireflow.plans import features, models, prepare, retraining, storage, tracking
 
-MODULES = (prepare,)
+MODULES = (prepare, features, models, tracking, retraining, storage)
 
 
 def queries() -> dict:

@@ -27,8 +27,8 @@ def serving_clean(spark, d):
 
 def sentence_split(spark, d):
     parts = text.split_sentences(F.col("text"))
-    return (
-        document_pages(spark, d).select("dcn", "page", F.posexplode(parts).alias("pos", "sentence"))
+    return document_pages(spark, d).select(
+        "dcn", "page", F.posexplode_outer(parts).alias("pos", "sentence")
     )
 
 

@@ -99,11 +99,11 @@ def bayes(source: str, train: str = "true", digits: int = 2) -> str:
       classes AS (SELECT label, count(*) AS n FROM base WHERE training GROUP BY label),
       prior AS (SELECT label, ln(n + 1.0::DOUBLE) - ln(((SELECT sum(n) FROM classes)
           + (SELECT count(*) FROM classes))::DOUBLE) AS lp FROM classes),
-      per AS (SELECT label, b, sum(c) AS s FROM counts WHERE training GROUP BY ALL),
+      sums AS (SELECT label, b, sum(c) AS s FROM counts WHERE training GROUP BY ALL),
       theta AS (SELECT g.label, g.b, ln(coalesce(p.s, 0) + 1.0::DOUBLE)
-          - ln(((SELECT sum(s) FROM per q WHERE q.label = g.label) + {cells})::DOUBLE) AS lt
+          - ln(((SELECT sum(s) FROM sums q WHERE q.label = g.label) + {cells})::DOUBLE) AS lt
         FROM (SELECT label, lower(printf('%0{digits}x', r.range)) AS b
-              FROM prior, range({cells}) r) g LEFT JOIN per p USING (label, b)),
+              FROM prior, range({cells}) r) g LEFT JOIN sums p USING (label, b)),
       parts AS (SELECT c.dcn, c.page, t.label AS cls, sum(c.c * t.lt) AS s
         FROM counts c JOIN theta t USING (b) GROUP BY ALL),
       raw AS (SELECT x.dcn, x.page, x.label, p.label AS cls, p.lp + coalesce(s.s, 0) AS r

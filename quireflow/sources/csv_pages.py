@@ -42,10 +42,12 @@ def sample_files(
     before the exchange. Returns the sampled rows with their file name.
     """
     pages = drop_stray_headers(read_pages(spark, paths, schema, header=True), column)
-    pages = pages.withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    pages = pages.withColumn("_at", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.partitionBy("file").orderBy("_at"))
-    sampled = pages.withColumn("_n", place).where(F.col("_n") <= rows).drop("_n", "_at")
+    pages = pages.withColumns({"_path": F.input_file_name(), "_at": F.monotonically_increasing_id()})
+    place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
+    sampled = (
+        pages.withColumn("_n", place).where(F.col("_n") <= rows)
+        .withColumn("file", F.element_at(F.split("_path", "/"), -1)).drop("_n", "_at", "_path")
+    )
     sampled.write.mode("overwrite").partitionBy("file").options(**_WRITE, header="true").csv(out)
     with_file = T.StructType([*schema.fields, T.StructField("file", T.StringType())])
     return read_pages(spark, out, with_file, header=True)
