@@ -29,35 +29,37 @@ def english_stop_words() -> list[str]:
 
 def keep_printable(c: Column) -> Column:
     """Drop every character outside printable ASCII and the six ASCII blanks."""
-    return F.regexp_replace(c, r"[^\x20-\x7E\t\n\r\x0B\f]", "")
+    return F.regexp_replace(c, r"[^\x20-\x7E\t\n\r\x0B\f]+", "")
 
 
 def mark_paragraphs(c: Column) -> Column:
-    """Replace paragraph breaks with a marker and every other newline with a blank.
+    """Open every paragraph with a marker and fold the newlines inside it to blanks.
 
     A newline breaks a paragraph when the line before ends with a full stop and the line
-    after does not start with a blank. The text gains one leading blank, which decides
-    whether a page number at the very start still counts as a header number.
+    after does not start with a blank. The first paragraph gains one leading blank, which
+    decides whether a page number at the very start still counts as a header number.
     """
-    t = F.concat(F.lit(" "), c)
+    t = F.concat(F.lit(f"{_BREAK} "), c)
     t = F.replace(t, F.lit(".\n "), F.lit(f".{_KEEP} "))
     t = F.replace(t, F.lit(".\n"), F.lit(f".{_BREAK}"))
-    return F.translate(t, f"{_KEEP}\n", "  ")
+    return F.replace(F.replace(t, F.lit(_KEEP), F.lit(" ")), F.lit("\n"), F.lit(" "))
 
 
 def last_paragraph(marked: Column) -> Column:
-    return F.substring_index(marked, _BREAK, -1)
+    return F.concat(F.lit(_BREAK), F.substring_index(marked, _BREAK, -1))
 
 
+# The patterns below match only what they change. A pattern that also matches, say, every
+# single blank costs a replacement per word.
+
 def drop_header_number(c: Column) -> Column:
     """Remove digits that open a paragraph, after at most one blank."""
-    return F.regexp_replace(c, rf"(^|{_BREAK})\s?\d+", "$1")
+    return F.regexp_replace(c, rf"{_BREAK}\s?\d+", _BREAK)
 
 
 def strip_blanks(c: Column) -> Column:
     """Remove all kinds of white space at both ends of each paragraph."""
-    c = F.regexp_replace(c, rf"(^|{_BREAK})\s+", "$1")
-    return F.regexp_replace(c, rf"\s+({_BREAK}|\z)", "$1")
+    return F.regexp_replace(F.regexp_replace(c, rf"{_BREAK}\s+", _BREAK), rf"\s+({_BREAK}|\z)", "$1")
 
 
 def rejoin_hyphens(c: Column) -> Column:
@@ -65,15 +67,20 @@ def rejoin_hyphens(c: Column) -> Column:
 
 
 def tighten_punctuation(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s?([,:;.])", "$1")
+    return F.regexp_replace(c, r"\s([,:;.])", "$1")
 
 
 def collapse_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s+", " ")
+    return F.regexp_replace(c, r"\s{2,}|[\t\n\r\x0B\f]", " ")
 
 
 def collapse_dots(c: Column) -> Column:
-    return F.regexp_replace(c, r"\.+", ".")
+    return F.regexp_replace(c, r"\.{2,}", ".")
+
+
+def letters_only(c: Column) -> Column:
+    """Everything but ASCII letters becomes blanks."""
+    return F.regexp_replace(c, r"[^a-zA-Z ]+", " ")
 
 
 def drop_phrases(c: Column, phrases: Sequence[str]) -> Column:
@@ -87,16 +94,17 @@ def words(c: Column, stop_words: Sequence[str] = ()) -> Column:
     Stop words match exactly and case-sensitively; punctuation stays attached to its word.
     """
     wanted = (lambda w: (w != "") & ~w.isin(list(stop_words))) if stop_words else (lambda w: w != "")
-    return F.filter(F.split(c, r"[\s\x01]+"), wanted)
+    blanks_only = F.regexp_replace(c, r"[\t\n\r\x0B\f\x01]", " ")
+    return F.filter(F.split(blanks_only, " "), wanted)
 
 
-def clean_training(
+def training_words(
     c: Column,
     paragraphs: str = "last",
     noise_phrases: Sequence[str] = (),
     stop_words: Sequence[str] | None = None,
 ) -> Column:
-    """Training-side cleaner.
+    """Words left by the training-side cleaner.
 
     ``paragraphs='last'`` keeps only a page's last paragraph (the compatible result),
     ``'all'`` keeps every paragraph (what the rules are evidently meant to do).
@@ -107,24 +115,39 @@ def clean_training(
     t = mark_paragraphs(keep_printable(c))
     if paragraphs == "last":
         t = last_paragraph(t)
-    for step in (drop_header_number, strip_blanks, rejoin_hyphens, tighten_punctuation,
-                 collapse_blanks, collapse_dots):
-        t = step(t)
-    t = drop_phrases(t, noise_phrases)
-    return F.array_join(words(t, stop_words), " ")
-
-
-def clean_serving(
+    t = drop_header_number(t)
+    # Cutting the text into words removes extra blanks in any case. They only matter
+    # before that when a phrase to delete could meet them.
+    if any(p != p.strip() for p in noise_phrases):
+        t = strip_blanks(t)
+    t = tighten_punctuation(rejoin_hyphens(t))
+    if noise_phrases:
+        t = collapse_blanks(t)
+    t = drop_phrases(collapse_dots(t), noise_phrases)
+    return words(t, stop_words)
+
+
+def serving_words(
     c: Column,
     noise_phrases: Sequence[str] = (),
     stop_words: Sequence[str] | None = None,
 ) -> Column:
-    """Scoring-side cleaner: lower case, letters only, stop words and noise removed."""
+    """Words left by the scoring-side cleaner: lower case, letters only."""
     stop_words = english_stop_words() if stop_words is None else stop_words
-    t = F.regexp_replace(F.lower(c), r"[,.!?]", "")
-    t = F.regexp_replace(t, r"[^a-zA-Z]", " ")
-    t = drop_phrases(collapse_blanks(t), noise_phrases)
-    return F.array_join(words(t, stop_words), " ")
+    t = letters_only(F.regexp_replace(F.lower(c), r"[,.!?]+", ""))
+    if noise_phrases:
+        t = drop_phrases(collapse_blanks(t), noise_phrases)
+    return words(t, stop_words)
+
+
+def clean_training(c: Column, *args, **kwargs) -> Column:
+    """``training_words`` as one text."""
+    return F.array_join(training_words(c, *args, **kwargs), " ")
+
+
+def clean_serving(c: Column, *args, **kwargs) -> Column:
+    """``serving_words`` as one text."""
+    return F.array_join(serving_words(c, *args, **kwargs), " ")
 
 
 def split_sentences(c: Column) -> Column:

@@ -102,7 +102,7 @@ def page_tokens(
     if pooling not in ("all", "first"):
         raise ValueError("pooling must be 'all' or 'first'")
     stride = maxlen - overlap
-    df = df.withColumn("_w", text.words(text.clean_serving(F.col(source), noise_phrases)))
+    df = df.withColumn("_w", text.serving_words(F.col(source), noise_phrases))
     if pooling == "first":
         return df.withColumn(out, F.slice("_w", 1, maxlen)).drop("_w")
     df = df.withColumn("_n", chunks.chunk_count(F.size("_w"), maxlen, overlap))

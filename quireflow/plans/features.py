@@ -12,7 +12,7 @@ from quireflow.plans.tables import document_pages, load, turn_pages
 
 def hashed_embeddings(spark, d):
     """The non-zero entries of every turn's embedding."""
-    tokens = text.words(text.clean_serving(F.col("text")))
+    tokens = text.serving_words(F.col("text"))
     cells = embed.hashed_embedding(turn_pages(spark, d), tokens).select(
         "dcn", "page", F.posexplode("embedding").alias("dim", "v")
     )

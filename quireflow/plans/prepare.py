@@ -97,7 +97,7 @@ def split_60_20_20(spark, d):
 
 
 def _turn_tokens():
-    return text.words(text.clean_serving(F.col("text")))
+    return text.serving_words(F.col("text"))
 
 
 def vocabulary(spark, d):
