@@ -15,16 +15,23 @@ from quireflow.operators.prepare import drop_stray_headers
 
 _READ = {"multiLine": "true", "escape": '"'}
 _WRITE = {
-    "escape": '"', "emptyValue": '""', "nullValue": "",
+    "lineSep": "\n", "escape": '"', "emptyValue": '""', "nullValue": "",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
 
-def read_pages(spark: SparkSession, path, schema: T.StructType, header: bool = False) -> DataFrame:
-    return (
-        spark.read.schema(schema).options(**_READ, header=str(header).lower())
-        .format("csv").load(path)
-    )
+def read_options(header: bool, line_sep: str | None = "\n") -> dict[str, str]:
+    """Reader options, the same for batch and stream. Without a given line end the parser
+    guesses it from the first it meets, which may be one inside a quoted text; pass
+    ``None`` only for files from elsewhere whose line end is not known."""
+    sep = {"lineSep": line_sep} if line_sep else {}
+    return {**_READ, **sep, "header": str(header).lower()}
+
+
+def read_pages(
+    spark: SparkSession, path, schema: T.StructType, header: bool = False, line_sep: str | None = "\n"
+) -> DataFrame:
+    return spark.read.schema(schema).options(**read_options(header, line_sep)).format("csv").load(path)
 
 
 def write_pages(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:

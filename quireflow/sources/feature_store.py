@@ -18,20 +18,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+KEY = "_key"
+
+
 class KeyViolation(ValueError):
     """A primary key is null or occurs twice."""
 
 
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the key as one text. Spark normalises floating-point join keys, which hides
+    the bucketing of such a column; a text key keeps merges in place for any key type."""
+    return df.withColumn(KEY, F.to_json(F.struct(*keys)))
+
+
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail on null or repeated keys. Counts combine before the exchange; the driver sees
-    one row at most."""
+    """Fail on null or repeated keys. The driver sees one row at most."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     bad = (
-        df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-        .where((F.col("_rows") > 1) | missing).first()
+        df.groupBy(KEY).agg(F.count("*").alias("_rows"), F.bool_or(missing).alias("_missing"))
+        .where("_rows > 1 OR _missing").first()
     )
     if bad is not None:
-        raise KeyViolation(f"key {tuple(bad[k] for k in keys)} is null or repeated")
+        raise KeyViolation(f"key {bad[KEY]} is null or repeated")
 
 
 def _states(spark: SparkSession, name: str) -> list[int]:
@@ -48,26 +56,32 @@ def _write_state(df: DataFrame, name: str, keys: Sequence[str], state: int, buck
     spark, table = df.sparkSession, f"{name}__v{state}"
     (
         df.write.mode("errorifexists").format("parquet")
-        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+        .bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(table)
     )
     try:
         check_keys(spark.table(table), keys)
     except KeyViolation:
         spark.sql(f"DROP TABLE {table}")
         raise
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    columns = ", ".join(f"`{c}`" for c in df.columns if c != KEY)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {table}")
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return with_key(df, keys).repartition(buckets, KEY)
 
 
 def create_feature_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """First load. ``buckets`` is for good: choose it so that a bucket stays well below a
     task's memory (about 200 MB per bucket)."""
-    _write_state(df.repartition(buckets, *keys), name, keys, 1, buckets)
+    _write_state(_bucketed(df, keys, buckets), name, keys, 1, buckets)
     return df.sparkSession.table(name)
 
 
-def merge(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``existing`` whose key is not updated, and all of ``updates``."""
-    kept = existing.join(updates.select(*keys), list(keys), "left_anti")
+def merge(existing: DataFrame, updates: DataFrame) -> DataFrame:
+    """Rows of ``existing`` whose key is not updated, and all of ``updates``; both carry
+    the text key."""
+    kept = existing.join(updates.select(KEY), KEY, "left_anti")
     return kept.unionByName(updates)
 
 
@@ -76,7 +90,9 @@ def merge_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int =
     spark = df.sparkSession
     state = _states(spark, name)[-1]
     existing = spark.table(f"{name}__v{state}")
-    merged = merge(existing, df.repartition(buckets, *keys), keys)
+    # Same types as stored, or equal keys could read differently as text.
+    updates = df.select([F.col(f.name).cast(f.dataType) for f in existing.schema.fields if f.name != KEY])
+    merged = merge(existing, _bucketed(updates, keys, buckets))
     _write_state(merged, name, keys, state + 1, buckets)
     return spark.table(name)
 
@@ -84,5 +100,5 @@ def merge_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int =
 def overwrite_features(df: DataFrame, name: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """Replace all rows."""
     state = _states(df.sparkSession, name)[-1]
-    _write_state(df.repartition(buckets, *keys), name, keys, state + 1, buckets)
+    _write_state(_bucketed(df, keys, buckets), name, keys, state + 1, buckets)
     return df.sparkSession.table(name)

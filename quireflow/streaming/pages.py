@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quireflow.functions import hashing
 from quireflow.operators import prepare
+from quireflow.sources.csv_pages import read_options
 
 
 def read_csv_stream(
@@ -25,7 +26,7 @@ def read_csv_stream(
     the work per row outweighs the exchange; a multi-line file is one task otherwise."""
     pages = (
         spark.readStream.schema(schema)
-        .options(header="true", multiLine="true", escape='"', maxFilesPerTrigger=files_per_trigger)
+        .options(**read_options(header=True), maxFilesPerTrigger=files_per_trigger)
         .csv(path)
     )
     return pages.repartition(partitions) if partitions else pages
