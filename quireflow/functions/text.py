@@ -78,9 +78,9 @@ def collapse_dots(c: Column) -> Column:
     return F.regexp_replace(c, r"\.{2,}", ".")
 
 
-def letters_only(c: Column) -> Column:
-    """Everything but ASCII letters becomes blanks."""
-    return F.regexp_replace(c, r"[^a-zA-Z ]+", " ")
+def letters_only(lowered: Column) -> Column:
+    """Everything but ASCII letters becomes blanks, in a text that is lower case already."""
+    return F.regexp_replace(lowered, r"[^a-z ]+", " ")
 
 
 def drop_phrases(c: Column, phrases: Sequence[str]) -> Column:
@@ -88,14 +88,16 @@ def drop_phrases(c: Column, phrases: Sequence[str]) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p), F.lit("")), phrases, c)
 
 
-def words(c: Column, stop_words: Sequence[str] = ()) -> Column:
+def words(c: Column, stop_words: Sequence[str] = (), plain: bool = False) -> Column:
     """Tokens between white space, never an empty one, without the stop words.
 
     Stop words match exactly and case-sensitively; punctuation stays attached to its word.
+    ``plain`` says that blanks are the only white space there can be.
     """
     wanted = (lambda w: (w != "") & ~w.isin(list(stop_words))) if stop_words else (lambda w: w != "")
-    blanks_only = F.regexp_replace(c, r"[\t\n\r\x0B\f\x01]", " ")
-    return F.filter(F.split(blanks_only, " "), wanted)
+    # Tab, newline, vertical tab, form feed, carriage return, and the paragraph marker.
+    spaced = c if plain else F.regexp_replace(c, r"[\x01\x09-\x0D]", " ")
+    return F.filter(F.split(spaced, " "), wanted)
 
 
 def training_words(
@@ -137,7 +139,7 @@ def serving_words(
     t = letters_only(F.regexp_replace(F.lower(c), r"[,.!?]+", ""))
     if noise_phrases:
         t = drop_phrases(collapse_blanks(t), noise_phrases)
-    return words(t, stop_words)
+    return words(t, stop_words, plain=True)
 
 
 def clean_training(c: Column, *args, **kwargs) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import (
     LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel,
 )
-from pyspark.ml.functions import array_to_vector, predict_batch_udf
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +56,8 @@ class CentroidModel:
 def fit_centroids(df: DataFrame, label: str, vector: str) -> CentroidModel:
     """Mean vector per class. The model is fetched only up to a checked size."""
     first = df.select(F.size(vector).alias("d")).first()
+    if first is None:
+        raise ValueError("no vectors to fit")
     limit = MAX_MODEL_VALUES // max(first["d"], 1)
     rows = (
         sequences.pool(df.where(F.col(label).isNotNull()), [label], vector)
@@ -92,17 +94,19 @@ class TextModel:
 
 def page_tokens(
     df: DataFrame, source: str, maxlen: int = 200, overlap: int = 50, pooling: str = "all",
-    noise_phrases=(), out: str = "tokens",
+    noise_phrases=(), digits: int | None = None, out: str = "tokens",
 ) -> DataFrame:
     """The words of all chunks of a page, as cleaned for scoring.
 
     Counting these equals summing the counts of the chunks: words in overlaps appear once
-    per chunk. ``pooling='first'`` looks at the first chunk only. Stays within the row.
+    per chunk. ``pooling='first'`` looks at the first chunk only. With ``digits`` the words
+    are hashed to bucket names before the chunks repeat them. Stays within the row.
     """
     if pooling not in ("all", "first"):
         raise ValueError("pooling must be 'all' or 'first'")
     stride = maxlen - overlap
-    df = df.withColumn("_w", text.serving_words(F.col(source), noise_phrases))
+    found = text.serving_words(F.col(source), noise_phrases)
+    df = df.withColumn("_w", embed.buckets(found, digits) if digits else found)
     if pooling == "first":
         return df.withColumn(out, F.slice("_w", 1, maxlen)).drop("_w")
     df = df.withColumn("_n", chunks.chunk_count(F.size("_w"), maxlen, overlap))
@@ -113,14 +117,21 @@ def page_tokens(
     return df.withColumn(out, F.flatten(windows)).drop("_w", "_n")
 
 
+def _page_counts(df: DataFrame, source: str, digits, maxlen, overlap, pooling, noise) -> DataFrame:
+    ready = page_tokens(df, source, maxlen, overlap, pooling, noise, digits, "_tokens")
+    return embed.bucket_counts(ready, "_tokens", digits, "features").drop("_tokens")
+
+
 def fit_text_model(
     pages: DataFrame, source: str, label: str = "label", digits: int = 2,
     maxlen: int = 200, overlap: int = 50, pooling: str = "all", noise_phrases=(),
     smoothing: float = 1.0,
 ) -> TextModel:
-    indexer = labels.fit_label_indexer(pages.select(label), label, "_y")
-    ready = page_tokens(indexer.transform(pages), source, maxlen, overlap, pooling, noise_phrases)
-    ready = embed.hashed_counts(ready, F.col("tokens"), digits).select("features", "_y")
+    limit = MAX_MODEL_VALUES // 16**digits
+    indexer = labels.fit_label_indexer(pages.select(label), label, "_y", max_classes=limit)
+    ready = _page_counts(
+        indexer.transform(pages), source, digits, maxlen, overlap, pooling, noise_phrases
+    ).select("features", "_y")
     bayes = NaiveBayes(
         modelType="multinomial", smoothing=smoothing, featuresCol="features", labelCol="_y",
         predictionCol="prediction", probabilityCol="probability", rawPredictionCol="raw",
@@ -132,18 +143,15 @@ def fit_text_model(
 
 def apply_text_model(pages: DataFrame, model: TextModel, source: str) -> DataFrame:
     """Add ``class`` and ``score`` (its probability) to every page, in the JVM, no shuffle."""
-    from pyspark.ml.functions import vector_to_array
-
-    ready = page_tokens(
-        pages, source, model.maxlen, model.overlap, model.pooling, model.noise_phrases, "_tokens"
+    ready = _page_counts(
+        pages, source, model.digits, model.maxlen, model.overlap, model.pooling, model.noise_phrases
     )
-    ready = embed.hashed_counts(ready, F.col("_tokens"), model.digits, "features")
     names = F.array(*[F.lit(c) for c in model.classes])
     return (
         model.bayes.transform(ready)
         .withColumn("class", F.get(names, F.col("prediction").cast("int")))
         .withColumn("score", F.array_max(vector_to_array("probability")))
-        .drop("_tokens", "features", "raw", "probability", "prediction")
+        .drop("features", "raw", "probability", "prediction")
     )
 
 
@@ -161,8 +169,6 @@ def fit_logistic(
 
 def apply_logistic(df: DataFrame, model: LogisticRegressionModel, vector: str) -> DataFrame:
     """Add ``prediction`` (class id) and ``probabilities``."""
-    from pyspark.ml.functions import vector_to_array
-
     ready = df.withColumn("features", array_to_vector(vector))
     return (
         model.transform(ready)

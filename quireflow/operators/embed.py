@@ -16,17 +16,26 @@ def bucket_names(digits: int) -> list[str]:
     return [format(i, f"0{digits}x") for i in range(16**digits)]
 
 
+def buckets(tokens: Column, digits: int) -> Column:
+    """Bucket name of each token: the first digits of its md5, which any engine can repeat."""
+    return F.transform(tokens, lambda t: F.substring(F.md5(t), 1, digits))
+
+
+def bucket_counts(df: DataFrame, names: str, digits: int, out: str) -> DataFrame:
+    """How often each bucket occurs in an array of bucket names, as a sparse vector."""
+    counter = CountVectorizerModel.from_vocabulary(
+        bucket_names(digits), inputCol=names, outputCol=out, minTF=1.0
+    )
+    return counter.transform(df)
+
+
 def hashed_counts(df: DataFrame, tokens: Column, digits: int = 2, out: str = "features") -> DataFrame:
-    """Token counts per hash bucket as a sparse vector of ``16 ** digits`` entries.
+    """Token counts per hash bucket as a vector of ``16 ** digits`` entries.
 
-    The first digits of a token's md5 name its bucket, which any engine can repeat.
     Row-local and linear in the number of tokens.
     """
-    named = df.withColumn("_buckets", F.transform(tokens, lambda t: F.substring(F.md5(t), 1, digits)))
-    counter = CountVectorizerModel.from_vocabulary(
-        bucket_names(digits), inputCol="_buckets", outputCol=out, minTF=1.0
-    )
-    return counter.transform(named).drop("_buckets")
+    named = df.withColumn("_buckets", buckets(tokens, digits))
+    return bucket_counts(named, "_buckets", digits, out).drop("_buckets")
 
 
 def hashed_embedding(df: DataFrame, tokens: Column, digits: int = 2, out: str = "embedding") -> DataFrame:

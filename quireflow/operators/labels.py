@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +53,17 @@ def attach_label_id(
     return df.join(side, F.col(label) == F.col("_name")).drop("_name", label)
 
 
-def fit_label_indexer(df: DataFrame, label: str = "label", out: str = "label_id") -> StringIndexerModel:
-    return StringIndexer(
-        inputCol=label, outputCol=out, handleInvalid="skip", stringOrderType="frequencyDesc"
-    ).fit(df)
+def fit_label_indexer(
+    df: DataFrame, label: str = "label", out: str = "label_id", max_classes: int = MAX_CLASSES
+) -> StringIndexerModel:
+    """The dictionary as an ML transformer (same order; unseen and null labels drop out).
+
+    Its names live on the driver, hence the class limit, which fails rather than cuts.
+    """
+    named = label_index(df, label, max_classes).orderBy("label_id").collect()
+    return StringIndexerModel.from_labels(
+        [r["label"] for r in named], inputCol=label, outputCol=out, handleInvalid="skip"
+    )
 
 
 def decode_label(df: DataFrame, model: StringIndexerModel, ids: str, out: str) -> DataFrame:

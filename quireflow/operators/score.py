@@ -76,7 +76,7 @@ def text_predictor(model: TextModel) -> Callable[[], Callable]:
 def prepared_text(pages: DataFrame, model: TextModel, source: str, out: str = "_text") -> DataFrame:
     """The text a Python predictor reads; cleaning and chunking stay native."""
     ready = page_tokens(
-        pages, source, model.maxlen, model.overlap, model.pooling, model.noise_phrases, "_tokens"
+        pages, source, model.maxlen, model.overlap, model.pooling, model.noise_phrases, out="_tokens"
     )
     return ready.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
 

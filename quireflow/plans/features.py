@@ -13,7 +13,7 @@ from quireflow.plans.tables import document_pages, load, turn_pages
 def hashed_embeddings(spark, d):
     """The non-zero entries of every turn's embedding."""
     tokens = text.serving_words(F.col("text"))
-    cells = embed.hashed_embedding(turn_pages(spark, d), tokens).select(
+    cells = embed.hashed_embedding(turn_pages(spark, d, heavy=True), tokens).select(
         "dcn", "page", F.posexplode("embedding").alias("dim", "v")
     )
     return cells.where("v <> 0").select(
@@ -22,7 +22,7 @@ def hashed_embeddings(spark, d):
 
 
 def _turn_chunks(spark, d):
-    return prepare.gold(prepare.silver(turn_pages(spark, d), "all"), 40, 10)
+    return prepare.gold(prepare.silver(turn_pages(spark, d, heavy=True), "all"), 40, 10)
 
 
 def stack_chunks(spark, d):
@@ -32,7 +32,7 @@ def stack_chunks(spark, d):
 
 def stack_segments(spark, d):
     """Long pages come out in several ordered pieces."""
-    chunks = prepare.gold(prepare.silver(document_pages(spark, d), "all"), 40, 10)
+    chunks = prepare.gold(prepare.silver(document_pages(spark, d, heavy=True), "all"), 40, 10)
     stacked = sequences.stack(chunks, ["dcn", "page"], "index", "index", "parts", segment=8)
     return stacked.select(
         "dcn", "page", "segment", F.array_join(F.col("parts").cast("array<string>"), " ").alias("parts")

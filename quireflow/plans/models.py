@@ -9,6 +9,7 @@ from quireflow.operators import classify, embed, evaluate, gate, labels, prepare
 from quireflow.contracts import PREDICTION_COLUMNS
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import document_pages, load, turn_pages
+from quireflow.session import frozen
 
 
 # ---- vectors --------------------------------------------------------------------------
@@ -98,11 +99,11 @@ def _is_training():
 
 
 def _bayes_model(spark, d, pages=document_pages):
-    return classify.fit_text_model(pages(spark, d).where(_is_training()), "text")
+    return classify.fit_text_model(pages(spark, d, heavy=True).where(_is_training()), "text")
 
 
 def _bayes_scored(spark, d):
-    return classify.apply_text_model(document_pages(spark, d), _bayes_model(spark, d), "text")
+    return classify.apply_text_model(document_pages(spark, d, heavy=True), _bayes_model(spark, d), "text")
 
 
 def naive_bayes_lang(spark, d):
@@ -111,14 +112,14 @@ def naive_bayes_lang(spark, d):
 
 def score_pages(spark, d):
     """The scoring wrapper: upper-case label and probability for every page."""
-    pages = document_pages(spark, d).withColumnRenamed("text", "Request")
+    pages = document_pages(spark, d, heavy=True).withColumnRenamed("text", "Request")
     scored = score.score_pages(pages, _bayes_model(spark, d))
     return scored.select("dcn", "page", "pred_label", F.round("pred_score", 6).alias("pred_score"))
 
 
 def score_by_partition(spark, d):
     model = _bayes_model(spark, d)
-    ready = score.prepared_text(document_pages(spark, d), model, "text")
+    ready = score.prepared_text(document_pages(spark, d, heavy=True), model, "text")
     scored = score.score_by_partition(ready, ["dcn", "page"], "_text", score.text_predictor(model))
     return scored.select("dcn", "page", "Label", F.round(F.col("Score").cast("double"), 4).alias("Score"))
 
@@ -126,7 +127,7 @@ def score_by_partition(spark, d):
 def score_column(spark, d):
     """Model as a column function, through the compatible array of strings and back."""
     model = _bayes_model(spark, d)
-    ready = score.prepared_text(document_pages(spark, d), model, "text")
+    ready = score.prepared_text(document_pages(spark, d, heavy=True), model, "text")
     called = ready.select("dcn", "page", score.score_column("_text", score.text_predictor(model)).alias("p"))
     listed = called.select("dcn", "page", score.as_strings("p").alias("predictions"))
     return score.unpack_strings(listed).select(
@@ -134,7 +135,9 @@ def score_column(spark, d):
     )
 
 
-def _logistic(spark, d, vec, frame):
+def _logistic(vec, frame):
+    # Features are made once and stored; fitting passes over them several times.
+    frame = frozen(frame)
     coded = labels.fit_label_indexer(frame).transform(frame)
     named = splits.with_split(coded, "dcn", "page")
     model = classify.fit_logistic(named.where("split = 'train'"), vec, "label_id")
@@ -144,8 +147,10 @@ def _logistic(spark, d, vec, frame):
 def lr_chunk_classifier(spark, d):
     """Every chunk classified by a linear model over its embedding; metrics per split."""
     chunks = prepare.gold(prepare.silver(prepare.bronze(document_pages(spark, d)), "all"))
-    vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk")))
-    scored = _logistic(spark, d, "embedding", vecs).withColumn(
+    vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk"))).select(
+        "dcn", "page", "index", "label", "embedding"
+    )
+    scored = _logistic("embedding", vecs).withColumn(
         "loss", evaluate.cross_entropy("probabilities", "label_id")
     )
     return evaluate.accuracy_and_loss(scored, "label_id", "prediction", "loss", by=("split",))
@@ -156,7 +161,7 @@ def page_sequence_classifier(spark, d):
     chunks = prepare.gold(prepare.silver(prepare.bronze(document_pages(spark, d)), "all"))
     vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk")))
     pages = sequences.pool(vecs, ["dcn", "page", "label"], "embedding")
-    scored = _logistic(spark, d, "mean", pages)
+    scored = _logistic("mean", pages)
     return scored.groupBy("split").agg(
         F.count("*").alias("pages"), evaluate.accuracy("label_id", "prediction").alias("acc")
     )
@@ -184,7 +189,7 @@ def model_embedding(spark, d):
 # ---- gate -----------------------------------------------------------------------------
 
 def _checks(spark, d):
-    pages = document_pages(spark, d).withColumnRenamed("text", "Request")
+    pages = document_pages(spark, d, heavy=True).withColumnRenamed("text", "Request")
     scored = score.score_pages(pages, _bayes_model(spark, d)).withColumn(
         "pred_elapsed_time", F.lit(0.0)
     )

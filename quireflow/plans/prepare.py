@@ -16,13 +16,13 @@ def bronze_dedup(spark, d):
 
 def _silver(mode, noise=()):
     def run(spark, d):
-        return prepare.silver(document_pages(spark, d), mode, noise)
+        return prepare.silver(document_pages(spark, d, heavy=True), mode, noise)
     return run
 
 
 def serving_clean(spark, d):
     cleaned = text.clean_serving(F.col("text"), NOISE)
-    return document_pages(spark, d).select("dcn", "page", cleaned.alias("text_processed"))
+    return document_pages(spark, d, heavy=True).select("dcn", "page", cleaned.alias("text_processed"))
 
 
 def sentence_split(spark, d):
@@ -41,9 +41,7 @@ def _gold(maxlen, overlap, full):
 
 def gold_shared_pages(spark, d):
     """Chunks numbered through per (source, language), where one such page may be huge."""
-    pages = document_pages(spark, d).select(
-        F.col("dcn").alias("doc_source"), "label", "page", "text"
-    ).select(
+    pages = document_pages(spark, d, heavy=True).select(
         "text", "label", F.col("label").alias("dcn"), F.lit(1.0).alias("page"),
         F.col("page").cast("bigint").alias("doc_id"),
     )
@@ -101,7 +99,7 @@ def _turn_tokens():
 
 
 def vocabulary(spark, d):
-    return encode.vocabulary(turn_pages(spark, d), _turn_tokens())
+    return encode.vocabulary(turn_pages(spark, d, heavy=True), _turn_tokens())
 
 
 def encode_fixed_len(spark, d):

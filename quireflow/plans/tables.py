@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireflow.session import use_all_cores
+
 # A phrase that does occur in the generated texts, to exercise phrase removal.
 NOISE = ("of the",)
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def load(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """A table; ``heavy`` announces costly row-local work right on the scan."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    return use_all_cores(table) if heavy else table
 
 
-def document_pages(spark: SparkSession, folder: str) -> DataFrame:
+def document_pages(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """``documents`` as page records: source is the control number, doc_id the page."""
-    return load(spark, folder, "documents").select(
+    return load(spark, folder, "documents", heavy).select(
         "text", F.col("lang").alias("label"), F.col("source").alias("dcn"),
         F.col("doc_id").cast("double").alias("page"),
     )
 
 
-def turn_pages(spark: SparkSession, folder: str) -> DataFrame:
+def turn_pages(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """``conversations`` as page records: conversation and turn are the key, role the label."""
-    return load(spark, folder, "conversations").select(
+    return load(spark, folder, "conversations", heavy).select(
         "text", F.col("role").alias("label"), F.col("conv_id").cast("string").alias("dcn"),
         F.col("turn").cast("double").alias("page"),
     )

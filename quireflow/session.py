@@ -54,6 +54,17 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a small scan before heavy row-local work.
+
+    A scan of few splits would leave most cores idle, so its rows are dealt out evenly. A
+    scan with splits for more than half of the cores stays as it is: for large inputs this
+    adds no exchange. Give it a plain scan; its plan is asked for the number of splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later plans read the same rows in the same partitions, even
     after executors are lost."""

@@ -102,3 +102,10 @@ def overwrite_features(df: DataFrame, name: str, keys: Sequence[str], buckets: i
     state = _states(df.sparkSession, name)[-1]
     _write_state(_bucketed(df, keys, buckets), name, keys, state + 1, buckets)
     return df.sparkSession.table(name)
+
+
+def drop_old_states(spark: SparkSession, name: str, keep: int = 2) -> None:
+    """Remove all but the newest states. Keep at least one spare: running readers may
+    still hold the state the view pointed at before the last merge."""
+    for state in _states(spark, name)[: -max(keep, 1)]:
+        spark.sql(f"DROP TABLE {name}__v{state}")

@@ -68,6 +68,8 @@ def test_upsert(spark, database):
     for _ in range(2):  # merging the same rows again changes nothing
         assert {tuple(r) for r in feature_store.merge_features(change, name, keys, 4).collect()} == want
     assert feature_store.overwrite_features(change, name, keys, 4).count() == 2
+    feature_store.drop_old_states(spark, name)
+    assert feature_store._states(spark, name) == [3, 4] and spark.table(name).count() == 2
 
 
 @pytest.mark.parametrize("rows", [[("a", 1.0, 1), ("a", 1.0, 2)], [(None, 1.0, 1)]])
