@@ -17,7 +17,7 @@ def vocabulary(df: DataFrame, tokens: Column, size: int = VOCABULARY_SIZE) -> Da
     """The ``size`` most frequent tokens as ``(token, token_id, uses)``, ties by token.
 
     A vocabulary has a fixed size, as that of a pre-trained tokenizer; all other tokens
-    encode as unknown. The size also bounds what ``encode`` broadcasts.
+    encode as unknown. The size also bounds what ``encode`` looks up in.
     """
     order = [F.col("uses").desc(), F.col("token")]
     return (
@@ -35,15 +35,17 @@ def encode(
     """``input_ids`` and ``attention_mask`` of exactly ``max_len`` entries per row.
 
     Begin and end marks count towards the length; longer texts are cut before the lookup,
-    so at most ``max_len - 2`` tokens per row travel. ``keys`` must identify a row. The
-    vocabulary is bounded by its size, hence the broadcast.
+    so at most ``max_len - 2`` tokens per row travel. ``keys`` must identify a row.
+
+    No hint on the lookup: the size limit inside ``vocabulary`` lets the planner prove it
+    small and broadcast it. A larger vocabulary is joined by shuffle.
     """
     room = max_len - 2
     if room < 0:
         raise ValueError("max_len must leave room for the two marks")
     looked_up = (
         df.select(*keys, F.posexplode_outer(F.slice(tokens, 1, room)).alias("_pos", "token"))
-        .join(F.broadcast(vocab.select("token", "token_id")), "token", "left")
+        .join(vocab.select("token", "token_id"), "token", "left")
     )
     found = F.when(
         F.col("token").isNotNull(),

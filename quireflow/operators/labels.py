@@ -16,8 +16,8 @@ def label_index(
 ) -> DataFrame:
     """Dictionary ``(label, label_id, rows)``: most frequent first, ties by name.
 
-    With ``max_classes`` the dictionary is proven small (the query fails beyond it) and
-    may be broadcast. ``None`` numbers any count of labels with a distributed sort.
+    With ``max_classes`` the dictionary is proven small, and the query fails beyond it.
+    ``None`` numbers any count of labels with a distributed sort.
     """
     counts = (
         df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
@@ -40,16 +40,14 @@ def label_index(
     )
 
 
-def attach_label_id(
-    df: DataFrame, dictionary: DataFrame, label: str = "label", small: bool = True
-) -> DataFrame:
+def attach_label_id(df: DataFrame, dictionary: DataFrame, label: str = "label") -> DataFrame:
     """Replace the label by its id; rows with null or unseen labels drop out.
 
-    ``small`` says the dictionary came from ``label_index`` with a class limit. The
-    large form leaves the join to the optimizer, whose skew handling splits hot labels.
+    No hint: the class limit inside ``label_index`` proves the dictionary small, and the
+    planner broadcasts it on that ground. A dictionary without the limit is joined by
+    shuffle, where run-time skew handling splits a hot label.
     """
     side = dictionary.select(F.col("label").alias("_name"), "label_id")
-    side = F.broadcast(side) if small else side
     return df.join(side, F.col(label) == F.col("_name")).drop("_name", label)
 
 

@@ -29,9 +29,8 @@ def test_bronze_keeps_first_of_each_text_and_label(spark):
 
 
 def test_bronze_limits_copies_before_the_exchange(spark):
-    plan = prepare.bronze(pages(spark, [("t", "a", "d", 1.0)]))._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical"):]
-    assert "WindowGroupLimit" in physical and "Partial" in physical
+    plan = physical(prepare.bronze(pages(spark, [("t", "a", "d", 1.0)])))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 # ---- chunk numbers --------------------------------------------------------------------
@@ -82,8 +81,35 @@ def test_label_index_refuses_too_many_classes(spark):
 def test_unseen_and_null_labels_drop_out(spark):
     known = labels.label_index(spark.createDataFrame([("a",), ("b",)], "label string"))
     rows = spark.createDataFrame([("a", 1), ("z", 2), (None, 3)], "label string, i int")
-    for small in (True, False):
-        assert [(r.i, r.label_id) for r in labels.attach_label_id(rows, known, small=small).collect()] == [(1, 0)]
+    joined = labels.attach_label_id(rows, known)
+    assert [(r.i, r.label_id) for r in joined.collect()] == [(1, 0)]
+
+
+def physical(df):
+    plan = df._jdf.queryExecution().toString()
+    return plan[plan.index("== Physical"):]
+
+
+def test_planner_broadcasts_only_what_a_limit_bounds(spark):
+    rows = spark.range(100).select(F.col("id").cast("string").alias("label"), F.lit("x y").alias("t"))
+    big = spark.range(10**9).select(F.col("id").cast("string").alias("label"))
+    assert "BroadcastHashJoin" in physical(labels.attach_label_id(big, labels.label_index(big)))
+    unlimited = big.groupBy("label").count().select("label", F.lit(1).alias("label_id"))
+    assert "Broadcast" not in physical(labels.attach_label_id(big, unlimited))
+    many = big.select(F.col("label").alias("t"))
+    tokens = text.words(F.col("t"))
+    coded = encode.encode(many.withColumn("k", F.col("t")), ["k"], tokens, encode.vocabulary(many, tokens), 8)
+    assert "BroadcastHashJoin" in physical(coded)
+
+
+def test_params_become_a_map_or_fail(spark):
+    rows = [(1, "a", "x"), (1, "b", "y"), (2, "a", "z")] + [(3, f"k{i}", "v") for i in range(40)]
+    df = spark.createDataFrame(rows, "run_id int, key string, value string")
+    got = {r.run_id: r.params for r in registry.run_params(df).collect()}
+    assert got[1] == {"a": "x", "b": "y"} and got[2] == {"a": "z"} and len(got[3]) == 40
+    with pytest.raises(Exception, match="more than 39 parameters"):
+        registry.run_params(df, max_params=39).collect()
+    assert "WindowGroupLimit" in physical(registry.run_params(df))
 
 
 # ---- encoding -------------------------------------------------------------------------
