@@ -25,6 +25,50 @@ def serving_clean(spark, d):
     return document_pages(spark, d, heavy=True).select("dcn", "page", cleaned.alias("text_processed"))
 
 
+STEPS = {
+    "printable": text.keep_printable,
+    "hyphens": text.rejoin_hyphens,
+    "punctuation": text.tighten_punctuation,
+    "blanks": text.collapse_blanks,
+    "dots": text.collapse_dots,
+    "letters": lambda c: text.letters_only(F.lower(c)),
+    "phrases": lambda c: text.drop_phrases(c, NOISE),
+    "header": lambda c: text.last_paragraph(text.drop_header_number(F.concat(F.lit("\x01"), c))),
+}
+
+
+def cleaning_steps(spark, d):
+    """Each cleaning step on its own, on the raw texts, as digests."""
+    pages = document_pages(spark, d, heavy=True)
+    return pages.select("dcn", "page", *[
+        F.md5(step(F.col("text")).cast("binary")).alias(name) for name, step in STEPS.items()
+    ])
+
+
+def page_labels_join(spark, d):
+    """Labels kept in a table of their own, attached by page; pages without one stay."""
+    marks = load(spark, d, "labels").select(
+        F.col("doc_id").cast("double").alias("page"), "quality", "toxic"
+    )
+    pages = document_pages(spark, d).select("dcn", "page", "label")
+    return pages.join(marks, "page", "left").select(
+        "dcn", "page", "label", F.coalesce("quality", F.lit(-1)).alias("quality"),
+        F.coalesce("toxic", F.lit(-1)).alias("toxic"),
+    )
+
+
+def first_rows(spark, d):
+    """The first 50 pages in key order: the limit is the feature."""
+    return document_pages(spark, d).select("dcn", "page", "label").orderBy("dcn", "page").limit(50)
+
+
+def spread_pages(spark, d):
+    """Evened-out partitions hold the same rows."""
+    return prepare.spread(document_pages(spark, d), "dcn").groupBy("dcn").agg(
+        F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars")
+    )
+
+
 def sentence_split(spark, d):
     parts = text.split_sentences(F.col("text"))
     return document_pages(spark, d).select(
@@ -121,6 +165,10 @@ QUERIES = {
     "silver_clean_noise": _silver("all", NOISE),
     "serving_clean": serving_clean,
     "sentence_split": sentence_split,
+    "cleaning_steps": cleaning_steps,
+    "page_labels_join": page_labels_join,
+    "first_rows": first_rows,
+    "spread_pages": spread_pages,
     "gold_chunks": _gold(200, 50, False),
     "gold_chunks_full": _gold(40, 10, True),
     "gold_shared_pages": gold_shared_pages,
@@ -171,6 +219,21 @@ def oracles() -> dict[str, str]:
         "sentence_split": f"""SELECT dcn, page, unnest(range(len(ss)))::INT AS pos, unnest(ss) AS sentence
           FROM (SELECT dcn, page, string_split(regexp_replace(text, '([.!?]){q.BLANK}+', '\\1' || chr(1), 'g'), chr(1)) AS ss
                 FROM {q.DOC_PAGES})""",
+        "cleaning_steps": f"""SELECT dcn, page,
+          md5(regexp_replace(text, '[^\\x20-\\x7E\\t\\n\\r\\x0B\\f]', '', 'g')) AS printable,
+          md5(regexp_replace(text, '{q.BLANK}?-{q.BLANK}?', '-', 'g')) AS hyphens,
+          md5(regexp_replace(text, '{q.BLANK}?([,:;.])', '\\1', 'g')) AS punctuation,
+          md5(regexp_replace(text, '{q.BLANK}+', ' ', 'g')) AS blanks,
+          md5(regexp_replace(text, '\\.+', '.', 'g')) AS dots,
+          md5(regexp_replace(lower(text), '[^a-z ]+', ' ', 'g')) AS letters,
+          md5(replace(text, '{NOISE[0]}', '')) AS phrases,
+          md5(chr(1) || regexp_replace(text, '^{q.BLANK}?[0-9]+', '')) AS header FROM {q.DOC_PAGES}""",
+        "page_labels_join": """SELECT source AS dcn, doc_id::DOUBLE AS page, lang AS label,
+          coalesce(quality, -1)::INT AS quality, coalesce(toxic, -1)::INT AS toxic
+          FROM documents LEFT JOIN labels USING (doc_id)""",
+        "first_rows": f"SELECT dcn, page, label FROM {q.DOC_PAGES} ORDER BY dcn, page LIMIT 50",
+        "spread_pages": """SELECT source AS dcn, count(*) AS pages, sum(length(text))::BIGINT AS chars
+          FROM documents GROUP BY source""",
         "gold_chunks": f'SELECT dcn, page, text_chunk, "index", label FROM {chunks}',
         "gold_chunks_full": f"""SELECT dcn, page, text_chunk, "index", label
           FROM {q.chunk_rows(silver_all, 'text_processed', 40, 10, True)}""",
