@@ -13,6 +13,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quireflow.operators.ranking import global_index
+
 IMPUTER_STRATEGY = {"mean": "mean", "median": "median", "most_frequent": "mode"}
 
 
@@ -43,6 +45,23 @@ def impute(train: DataFrame, columns: Sequence[str], strategy: str = "mean"):
     ).fit(train)
 
 
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """Middle value, or the mean of the middle two, whatever the number of rows.
+
+    The imputer's own median is an approximation. This one sorts the column across the
+    cluster and fetches the one or two middle rows.
+    """
+    placed = global_index(df.where(F.col(column).isNotNull()).select(column), column, name="_i")
+    n = placed.count()
+    return placed.where(F.col("_i").isin((n - 1) // 2, n // 2)).agg(F.avg(column).alias("m")).first()["m"]
+
+
+def impute_exact_median(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill nulls of ``df`` with the exact medians of the training rows."""
+    medians = {c: exact_median(train, c) for c in columns}
+    return df.na.fill({c: m for c, m in medians.items() if m is not None})
+
+
 def one_hot_stages(columns: Sequence[str], handle_unknown: str = "ignore") -> list:
     """Index and one-hot. With ``ignore`` unseen values become all zeros: they share an
     extra last index, and the encoder leaves the last one out."""

@@ -18,10 +18,18 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> DataFrame:
+def save_table(
+    df: DataFrame, name: str, mode: str = "errorifexists", even: bool = False
+) -> DataFrame:
     """Write a managed table and return it as read back, so that later layers start from
-    the stored rows instead of computing them again. Files are evened out on the way."""
-    df.hint("rebalance").write.mode(mode).format("parquet").saveAsTable(name)
+    the stored rows instead of computing them again.
+
+    ``even`` evens out file sizes at the price of an exchange; worth it after a filter
+    that left many small partitions, not after a shuffle, which run-time coalescing has
+    already sized.
+    """
+    df = df.hint("rebalance") if even else df
+    df.write.mode(mode).format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -363,6 +363,33 @@ def test_standardise_and_parse(spark):
     assert [r.a for r in got] == [1.5, None, None]
 
 
+def test_exact_median(spark):
+    for values, want in [([5.0, 1.0, 3.0], 3.0), ([4.0, 1.0, 2.0, 2.5], 2.25), ([None, 7.0], 7.0), ([None], None)]:
+        df = spark.createDataFrame([(v,) for v in values], "a double")
+        assert tabular.exact_median(df, "a") == want
+    assert [r.a for r in tabular.impute_exact_median(df, df, ["a"]).collect()] == [None]
+
+
+def test_forest_takes_logged_parameters(spark):
+    rows = [(float(i % 10), "ab"[i % 2], str(i % 7) if i % 5 else "?", 10.0 * (i % 10) + (i % 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, kind string, y string, price double")
+    params = {
+        "preprocessor__numerical__imputer__strategy": "median", "preprocessor__onehot__handle_unknown": "ignore",
+        "preprocessor__remainder": "passthrough", "regressor__bootstrap": "False", "regressor__max_depth": "6",
+        "regressor__max_features": "1.0", "regressor__min_samples_leaf": "0.001",
+        "regressor__n_estimators": "3", "regressor__random_state": "1",
+    }
+    model = tabular.retrain(df, params, ["y"], ["kind"], "price", passthrough=["x"])
+    scored = model.transform(tabular.coerce_numeric(df, ["y"])).withColumn("split", F.lit("all"))
+    r = evaluate.regression_metrics(scored, "price", "prediction", "split").first()
+    assert r.rows == 200 and r.r2 > 0.95 and r.rmse == pytest.approx(math.sqrt(r.mse))
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 3 and forest.getOrDefault("bootstrap") is False
+    # The passed-through column is part of the input, the dropped one is not.
+    narrow = tabular.retrain(df, {**params, "preprocessor__remainder": "drop"}, ["y"], ["kind"], "price", passthrough=["x"])
+    assert model.stages[-1].numFeatures == narrow.stages[-1].numFeatures + 1
+
+
 def test_bucket_depends_on_key_only(spark):
     df = spark.range(10)
     a = [r.b for r in df.select(hashing.stable_bucket(7, "id").alias("b")).collect()]
