@@ -8,6 +8,7 @@ from quireflow.functions import text
 from quireflow.operators import encode, labels, prepare, splits
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import NOISE, document_pages, load, turn_pages
+from quireflow.session import frozen
 
 
 def bronze_dedup(spark, d):
@@ -89,7 +90,8 @@ def gold_shared_pages(spark, d):
         "text", "label", F.col("label").alias("dcn"), F.lit(1.0).alias("page"),
         F.col("page").cast("bigint").alias("doc_id"),
     )
-    cleaned = prepare.silver(pages, "all", keep=["doc_id"])
+    # Stored like a Silver table, as the numbering reads it twice.
+    cleaned = frozen(prepare.silver(pages, "all", keep=["doc_id"]))
     return prepare.gold_shared(cleaned, "doc_id", 200, 50)
 
 

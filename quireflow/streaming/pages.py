@@ -17,6 +17,8 @@ from quireflow.functions import hashing
 from quireflow.operators import prepare
 from quireflow.sources.csv_pages import read_options
 
+MAX_BROADCAST_KEYS = 500_000  # about 50 MB of digests
+
 
 def read_csv_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1,
@@ -70,10 +72,25 @@ def _is_written(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
+    """``fresh`` pages whose ``(digest, label)`` is not among the ``known`` ones.
+
+    The stored side is the large one. Up to a checked number of fresh keys these are
+    broadcast and the stored keys only scanned; a larger batch is joined by shuffle.
+    """
+    keys = fresh.select(F.col("digest").alias("_d"), F.col("label").alias("_l"))
+    small = keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    same = (F.col("digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
+    hits = known.join(F.broadcast(keys) if small else keys, same, "left_semi").select(
+        F.col("digest").alias("_d"), F.col("label").alias("_l")
+    )
+    return fresh.join(hits, same, "left_anti")
+
+
 def bronze_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append only pages whose ``(text, label)`` Bronze does not hold yet.
 
-    Each micro-batch is deduplicated like a batch table and anti-joined with the stored
+    Each micro-batch is deduplicated like a batch table and compared with the stored
     digests (a scan of two narrow columns). It then lands in a folder named after the
     batch; a batch that is run again after a failure finds its folder complete and leaves
     it, so later stages never see a page twice.
@@ -85,15 +102,18 @@ def bronze_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         if _is_written(spark, folder):
             return
         fresh = prepare.bronze(batch).withColumn("digest", hashing.text_key(F.col("text")))
-        if batch_id > 0:
-            known = (
-                spark.read.schema(bronze_schema(batch.schema)).parquet(path)
-                .where(F.col("batch") < batch_id)
-                .select(F.col("digest").alias("_d"), F.col("label").alias("_l"))
-            )
-            same = (F.col("digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
-            fresh = fresh.join(known, same, "left_anti")
-        fresh.write.mode("overwrite").parquet(folder)
+        if batch_id == 0:
+            fresh.write.mode("overwrite").parquet(folder)
+            return
+        known = (
+            spark.read.schema(bronze_schema(batch.schema)).parquet(path)
+            .where(F.col("batch") < batch_id).select("digest", "label")
+        )
+        fresh = fresh.persist()
+        try:
+            _without_known(fresh, known).write.mode("overwrite").parquet(folder)
+        finally:
+            fresh.unpersist()
 
     return (
         pages.writeStream.foreachBatch(land)

@@ -114,7 +114,9 @@ def test_stream_reads_one_file_at_a_time(spark):
     assert streams.stop_all(spark) == 0
 
 
-def test_bronze_stream_dedups_across_batches(spark):
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_bronze_stream_dedups_across_batches(spark, monkeypatch, limit):
+    monkeypatch.setattr(streams, "MAX_BROADCAST_KEYS", limit)
     source, bronze, marks = (fresh_dir(spark, n) for n in ("s", "b", "m"))
     for i, rows in enumerate([
         [("t", "a", "d", 1.0), ("t", "a", "d", 2.0), ("u", None, "d", 3.0)],
@@ -125,3 +127,14 @@ def test_bronze_stream_dedups_across_batches(spark):
         streams.run_to_end(streams.bronze_stream(pages, bronze, marks), 120)
         got = sorted(r.page for r in spark.read.parquet(bronze).select("page").collect())
         assert got == [[1.0, 3.0], [1.0, 3.0, 6.0]][i]
+
+
+def test_a_repeated_batch_leaves_finished_work(spark):
+    """The write of a batch survived, its commit did not: the stream runs it again."""
+    source, bronze, marks = (fresh_dir(spark, n) for n in ("s", "b", "m"))
+    spark.createDataFrame([("t", "a", "d", 1.0)], contracts.PAGE).write.parquet(source)
+    pages = spark.readStream.schema(contracts.PAGE).parquet(source)
+    streams.run_to_end(streams.bronze_stream(pages, bronze, marks), 120)
+    before = spark.read.parquet(bronze).inputFiles()
+    streams.run_to_end(streams.bronze_stream(pages, bronze, marks + "-lost"), 120)
+    assert spark.read.parquet(bronze).inputFiles() == before
