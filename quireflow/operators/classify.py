@@ -8,7 +8,7 @@ from pyspark.ml.classification import (
     LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel,
 )
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,6 +167,17 @@ def fit_logistic(
     ).fit(ready)
 
 
+def loss_history(model: LogisticRegressionModel, run_id: str) -> DataFrame:
+    """Training loss per epoch as metric rows ``(run_id, step, metric, value)``."""
+    rows = [
+        (run_id, str(epoch), "train_loss", float(loss))
+        for epoch, loss in enumerate(model.summary.objectiveHistory)
+    ]
+    return SparkSession.getActiveSession().createDataFrame(
+        rows, "run_id string, step string, metric string, value double"
+    )
+
+
 def apply_logistic(df: DataFrame, model: LogisticRegressionModel, vector: str) -> DataFrame:
     """Add ``prediction`` (class id) and ``probabilities``."""
     ready = df.withColumn("features", array_to_vector(vector))

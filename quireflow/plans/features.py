@@ -103,11 +103,27 @@ def _embedding_sql(source: str, keys: str, tokens: str, digits: int) -> str:
         FROM (SELECT {keys}, unnest({tokens}) AS tk FROM {source}) GROUP BY ALL))"""
 
 
+def _turn_chunks_sql() -> str:
+    silver = f"(SELECT dcn, page, label, {q.clean_all('text')} AS text_processed FROM {q.TURN_PAGES})"
+    return q.chunk_rows(silver, "text_processed", 40, 10)
+
+
+def _turn_vectors_sql() -> str:
+    return _embedding_sql(_turn_chunks_sql(), 'dcn, page, "index"', q.tokens("text_chunk", False), 1)
+
+
+def stacked_sql() -> str:
+    """Chunk counts and cell totals of the stacked turn embeddings."""
+    return f"""SELECT dcn, page, 0::INT AS segment, chunks, round(coalesce(total, 0), 5) AS total
+      FROM (SELECT dcn, page, count(*)::INT AS chunks FROM {_turn_chunks_sql()} GROUP BY ALL)
+      LEFT JOIN (SELECT dcn, page, sum(v::DOUBLE) AS total FROM {_turn_vectors_sql()} GROUP BY ALL) USING (dcn, page)"""
+
+
 def oracles() -> dict[str, str]:
     silver = "(SELECT dcn, page, label, {} AS text_processed FROM {})"
-    turn_chunks = q.chunk_rows(silver.format(q.clean_all("text"), q.TURN_PAGES), "text_processed", 40, 10)
+    turn_chunks = _turn_chunks_sql()
     doc_chunks = q.chunk_rows(silver.format(q.clean_all("text"), q.DOC_PAGES), "text_processed", 40, 10)
-    vecs = _embedding_sql(turn_chunks, 'dcn, page, "index"', q.tokens("text_chunk", False), 1)
+    vecs = _turn_vectors_sql()
     sizes = f"(SELECT dcn, page, count(*)::INT AS steps FROM {turn_chunks} GROUP BY ALL)"
     return {
         "hashed_embeddings": f"""SELECT dcn, page, dim, round(v::DOUBLE, 6) AS value FROM

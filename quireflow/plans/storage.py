@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from quireflow import contracts
-from quireflow.functions import hashing
-from quireflow.operators import classify, prepare, score
+from quireflow.functions import hashing, text, vectors
+from quireflow.operators import classify, embed, prepare, score, sequences
+from quireflow.plans import features as feature_queries
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import document_pages, load, turn_pages
 from quireflow.session import fresh_dir
@@ -96,6 +97,27 @@ def feature_upsert(spark, d):
         spark.catalog.setCurrentDatabase(before)
 
 
+def feature_table_embeddings(spark, d):
+    """Stacked chunk embeddings of all turns, stored under (dcn, page, segment)."""
+    name = f"quire_{uuid.uuid4().hex[:8]}"
+    before = spark.catalog.currentDatabase()
+    chunks = prepare.gold(prepare.silver(turn_pages(spark, d, heavy=True), "all"), 40, 10)
+    vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk")), digits=1)
+    stacked = sequences.stack(vecs, ["dcn", "page"], "index", "embedding")
+    try:
+        tables.use_database(spark, name, fresh_dir(spark, "embeddings"))
+        stored = feature_store.create_feature_table(
+            stacked, f"{name}.emb", ["dcn", "page", "segment"], buckets=8
+        )
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    cells = F.transform(F.flatten("emb"), lambda x: x.cast("double"))
+    return stored.select(
+        "dcn", "page", "segment", F.size("emb").alias("chunks"),
+        F.round(vectors.array_total(cells), 5).alias("total"),
+    )
+
+
 def _scored_stream(spark, d):
     source, sink, marks = (fresh_dir(spark, n) for n in ("pages", "scores", "marks"))
     turns = turn_pages(spark, d)
@@ -134,7 +156,8 @@ def stream_medallion(spark, d):
 
 QUERIES = {
     f.__name__: f for f in (
-        csv_roundtrip, sample_files, table_lifecycle, feature_upsert, stream_scoring, stream_medallion,
+        csv_roundtrip, sample_files, table_lifecycle, feature_upsert, feature_table_embeddings,
+        stream_scoring, stream_medallion,
     )
 }
 
@@ -152,6 +175,7 @@ def oracles() -> dict[str, str]:
             CASE WHEN role = 'assistant' THEN 'merged' ELSE 'first' END AS origin FROM conversations
           UNION ALL SELECT 'copy-' || conv_id, turn::DOUBLE, length(text)::INT, 'merged' FROM conversations
           WHERE role = 'user'""",
+        "feature_table_embeddings": feature_queries.stacked_sql(),
         "stream_scoring": f"""WITH {q.bayes(q.TURN_PAGES)} SELECT dcn || '/' || page::BIGINT AS "ID", label AS "Label_In",
           upper(predicted) AS pred_label, round(score, 6) AS pred_score FROM scored""",
         "stream_medallion": f"""SELECT label, count(*) AS chunks, sum(("index" = 1)::INT)::BIGINT AS pages,

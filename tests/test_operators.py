@@ -240,6 +240,16 @@ def test_nearest_centroid_against_numpy(spark):
     assert got == dict(enumerate(want.tolist()))
 
 
+def test_logistic_learns_and_logs_its_loss(spark):
+    rows = [(i % 2, [1.0 if i % 2 else -1.0, (i % 5) / 5.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "y int, v array<double>")
+    model = classify.fit_logistic(df, "v", "y", epochs=5)
+    losses = [r.value for r in classify.loss_history(model, "r1").collect()]
+    assert 2 <= len(losses) <= 6 and losses[-1] < losses[0]
+    scored = classify.apply_logistic(df, model, "v")
+    assert scored.where("prediction != y").isEmpty()
+
+
 # ---- evaluation -----------------------------------------------------------------------
 
 def test_report_with_missing_class(spark):
