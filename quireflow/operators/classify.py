@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import (
     LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel,
 )
@@ -29,23 +30,19 @@ class CentroidModel:
 
     def scores(self, vector: str) -> Column:
         """Negative squared distance to each centroid, as ``array<double>``."""
-        centroids = self.centroids
+        c = np.asarray(self.centroids, dtype="float64")
+        norms = (c * c).sum(axis=1)
 
         def make_predict():
-            import numpy as np
-
-            c = np.asarray(centroids, dtype="float64")
-            half_norms = (c * c).sum(axis=1)
-
             def predict(batch):
                 x = batch.astype("float64")
-                return -((x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T) + half_norms[None, :])
+                return -((x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T) + norms[None, :])
 
             return predict
 
         udf = predict_batch_udf(
             make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=2048,
-            input_tensor_shapes=[[len(centroids[0])]],
+            input_tensor_shapes=[[c.shape[1]]],
         )
         return udf(vector)
 

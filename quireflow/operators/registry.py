@@ -27,7 +27,7 @@ def best_run(runs: DataFrame, metric: str = "test_acc") -> DataFrame:
 
 def best_run_per(runs: DataFrame, group: str, metric: str = "test_acc") -> DataFrame:
     """The same per group, combined before the exchange."""
-    best = F.max_by(F.struct("run_id", metric), F.struct(F.col(metric), -F.col("run_id")))
+    best = F.min_by(F.struct("run_id", metric), F.struct(-F.col(metric), F.col("run_id")))
     return (
         runs.where(F.col(metric) >= 0).groupBy(group).agg(best.alias("_b"))
         .select(group, "_b.run_id", f"_b.{metric}")

@@ -33,11 +33,12 @@ def text_predictor(model: TextModel) -> Callable[[], Callable]:
     """A loader for the Python routes: builds the model once per worker.
 
     The loaded function maps prepared texts (words joined by blanks) to labels and scores.
-    It carries nothing but plain lists, so workers need no package of ours.
+    It carries nothing but two arrays and the class names, so workers need no package of
+    ours.
     """
     classes = [c.upper() for c in model.classes]
-    prior = model.bayes.pi.toArray().tolist()
-    weights = model.bayes.theta.toArray().tolist()
+    log_prior = model.bayes.pi.toArray()
+    log_weight = model.bayes.theta.toArray().T.copy()
     digits = model.digits
 
     def load():
@@ -45,8 +46,6 @@ def text_predictor(model: TextModel) -> Callable[[], Callable]:
 
         import numpy as np
 
-        log_prior = np.asarray(prior)
-        log_weight = np.asarray(weights).T
         buckets: dict[str, int] = {}
 
         def bucket(token):

@@ -193,7 +193,7 @@ def _checks(spark, d):
     scored = score.score_pages(pages, _bayes_model(spark, d)).withColumn(
         "pred_elapsed_time", F.lit(0.0)
     )
-    return gate.check_rows(pages, scored, PREDICTION_COLUMNS, "page")
+    return gate.check_rows(document_pages(spark, d), scored, PREDICTION_COLUMNS, "page")
 
 
 def validation_report(spark, d):
