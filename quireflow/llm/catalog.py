@@ -40,7 +40,9 @@ def op9_url_filter(spark, d):
     pages = load(spark, d, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.date_add(
         F.lit("2023-01-01").cast("date"), (F.crc32(F.col("page_id").cast("string").cast("binary")) % 900).cast("int")))
-    return urlfilter.judge(captures, dated_entries(pages))
+    judged = urlfilter.judge(captures, dated_entries(pages))
+    return judged.withColumn("fetched_at", F.col("fetched_at").cast("string")).withColumn(
+        "valid_from", F.col("valid_from").cast("string"))
 
 
 def dated_entries(pages):
@@ -133,8 +135,8 @@ WITH RECURSIVE crc_table AS (SELECT i, i AS c, 0 AS k FROM range(256) r(i) UNION
   best AS (SELECT c.page_id, c.host, c.fetched_at, arg_min(CASE WHEN o.name IS NOT NULL THEN
       {{'name': o.name, 'v': o.v, 'at': o.listed_at}} END, depth) AS b
     FROM c ASOF LEFT JOIN one o ON c.name = o.name AND c.fetched_at >= o.listed_at GROUP BY ALL)
-SELECT page_id, host, fetched_at, b.name AS listed_name, b.v.action AS action, b.v.category AS category,
-  b.at AS valid_from, coalesce(b.v.action = 'block', false) AS blocked FROM best"""
+SELECT page_id, host, fetched_at::VARCHAR AS fetched_at, b.name AS listed_name, b.v.action AS action, b.v.category AS category,
+  b.at::VARCHAR AS valid_from, coalesce(b.v.action = 'block', false) AS blocked FROM best"""
 
 
 def oracles() -> dict[str, str]:
