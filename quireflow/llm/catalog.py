@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, licenses, mixing, urlfilter
+from quireflow.llm import chat, licenses, mixing, substrings, urlfilter
 from quireflow.llm.common import load
 
 
@@ -45,6 +45,11 @@ def op9_url_filter(spark, d):
         "valid_from", F.col("valid_from").cast("string"))
 
 
+def op10_substring_dedup(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return substrings.digest(substrings.remove_repeats(docs))
+
+
 def dated_entries(pages):
     """A dated list from the hosts seen: up to three entries for each name, by checksums."""
     names = pages.select(F.explode(urlfilter.names_above(urlfilter.host(F.col("url")))).alias("name")).distinct()
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op6_chat_format": op6_chat_format,
     "op9_url_filter": op9_url_filter,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 
@@ -139,10 +145,26 @@ SELECT page_id, host, fetched_at::VARCHAR AS fetched_at, b.name AS listed_name,
   b.at::VARCHAR AS valid_from, coalesce(b.v.action = 'block', false) AS blocked FROM best"""
 
 
+#: Windows by their words; a word goes if a window over it starts in a smaller document.
+_REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+  least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (k) WHERE m < doc_id),
+  per AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+  words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+    FROM (SELECT words.* FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_mix_sources": _MIX_SQL,
         "op4_license_scan": licenses.oracle(),
         "op6_chat_format": _chat_sql(),
         "op9_url_filter": _url_sql(),
+        "op10_substring_dedup": _REPEATS_SQL,
     }
