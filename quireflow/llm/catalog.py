@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, licenses, mixing, substrings, urlfilter
-from quireflow.llm.common import load
+from quireflow.llm import chat, licenses, lm, mixing, substrings, urlfilter
+from quireflow.llm.common import load, remainder
 
 
 def op1_mix_sources(spark, d):
@@ -13,6 +13,12 @@ def op1_mix_sources(spark, d):
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_lm_score(spark, d):
+    left = remainder("doc_id", 7)
+    use = F.when(left == 2, lm.HELD_OUT).when(left == 3, lm.FOLD).otherwise(lm.TRAIN)
+    return lm.score(load(spark, d, "documents"), use)
+
+
 def op4_license_scan(spark, d):
     found = licenses.scan(load(spark, d, "documents").select("doc_id", "text"))
     return found.select(
@@ -64,6 +70,7 @@ def dated_entries(pages):
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_lm_score": op2_lm_score,
     "op4_license_scan": op4_license_scan,
     "op6_chat_format": op6_chat_format,
     "op9_url_filter": op9_url_filter,
