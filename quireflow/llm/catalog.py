@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, licenses, lm, mixing, substrings, urlfilter
+from quireflow.llm import chat, licenses, lm, mixing, neardup, substrings, urlfilter
 from quireflow.llm.common import load, remainder
 
 
@@ -42,6 +42,10 @@ def op6_chat_format(spark, d):
         F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+def op7_near_dedup(spark, d):
+    return neardup.classes(load(spark, d, "documents").select("doc_id", "text"))
+
+
 def op9_url_filter(spark, d):
     pages = load(spark, d, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.date_add(
@@ -73,6 +77,7 @@ QUERIES = {
     "op2_lm_score": op2_lm_score,
     "op4_license_scan": op4_license_scan,
     "op6_chat_format": op6_chat_format,
+    "op7_near_dedup": op7_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -85,6 +85,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words of all texts in a row, and how many each text has; null has none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = pa.concat_arrays([texts.slice(0, 0), texts])  # a copy: ascii_lower misreads slices
     parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     words = parts.flatten()
     real = pc.not_equal(words, "")
@@ -100,6 +101,18 @@ def hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return coded.indices.to_numpy(), np.fromiter(map(xxhash.xxh3_64_intdigest, names), U64, len(names))
 
 
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SHARD_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``limit`` bytes of text, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))
+        start = 0
+        while start < len(ends):
+            done = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 # Shards
 
 def shards(docs: DataFrame, buckets: int, shard_bytes: int = SHARD_BYTES, text: str = "text") -> DataFrame:
@@ -122,19 +135,12 @@ def shards(docs: DataFrame, buckets: int, shard_bytes: int = SHARD_BYTES, text:
                 [pa.array([base + count], pa.int64()), pa.array([size], pa.int64()),
                  pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["shard", "size", "rows"])
 
-        for batch in batches:
-            bytes_of = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64)
-            start, ends = 0, np.cumsum(bytes_of)
-            while start < len(ends):
-                done = int(ends[start - 1]) if start else 0
-                stop = int(np.searchsorted(ends, done + shard_bytes - size)) + 1
-                piece = batch.slice(start, stop - start)
-                held.append(piece)
-                size += int(ends[min(stop, len(ends)) - 1]) - done
-                start = stop
-                if size >= shard_bytes:
-                    yield one()
-                    count, held, size = count + 1, [], 0
+        for piece in slices(batches, shard_bytes, text):
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece.column(text))).as_py() or 0
+            if size >= shard_bytes // 2:
+                yield one()
+                count, held, size = count + 1, [], 0
         if held:
             yield one()
 
