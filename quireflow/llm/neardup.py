@@ -8,9 +8,10 @@ Two places agree with a chance equal to the weighted Jaccard similarity. A proce
 its time passes the latest one its document's signature holds, so most give one point.
 
 Equal texts are one node from the start. Nodes that agree in a band, or in a band and one of
-the next two bands, are compared with the smallest node there: a star, never all pairs, and
-the narrower keys link those that a crowded band would hide behind its smallest node. Each
-candidate is verified by exact weighted Jaccard on 64-bit shingle hashes; links make classes.
+the next two bands, are compared with the most central node there: a star, never all pairs.
+The most central node shares its bands with the most others, so a text that many others were
+made from is compared with all of them; the narrower keys link those that a crowded band
+would hide behind its centre. Each candidate is verified by exact weighted Jaccard on 64-bit shingle hashes; links make classes.
 With 32 bands of 4 places a pair at 0.8 is a candidate in some band with a chance of
 1 - 5e-8.
 
@@ -114,53 +115,99 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "digest", "bands"])
 
 
-def _band_and_narrow_keys(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+def _bands(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes with words, and their keys ``[nodes, BANDS]``."""
     bands = rows.field("bands")
     keys = np.frombuffer(b"".join(bands.drop_null().to_pylist()), U64).reshape(-1, BANDS)
-    nodes = rows.field("node").filter(bands.is_valid()).to_numpy()
-    narrow = [packed.mix64(keys * _BASE + np.roll(keys, -step, axis=1)) for step in (1, 2)]
-    every = np.hstack([keys, *narrow])
-    return every.ravel(), np.repeat(nodes, every.shape[1])
+    return rows.field("node").filter(bands.is_valid()).to_numpy(), keys
 
 
-def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the smallest node of each, and each item's key number."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
+def _band_requests(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                _, bands = _bands(packed.open_shard(batch, i))
+                keys, counts = np.unique(bands, return_counts=True)
+                yield packed.request_batch(shard, [
+                    (bucket, packed.squeeze_sorted(keys[part]), packed.squeeze(counts[part]))
+                    for bucket, part in packed.by_bucket(keys, bits) if part.stop > part.start])
+    return run
+
+
+def _sizes(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes]:
+    """How many nodes have each key."""
+    parts = [packed.unsqueeze_sorted(k) for k in keys]
+    names, number = np.unique(np.concatenate(parts), return_inverse=True)
+    total = np.bincount(number, np.concatenate([packed.unsqueeze(e) for e in extras]), len(names)).astype(np.int64)
+    return [packed.squeeze(part) for part in np.split(total[number], np.cumsum([len(p) for p in parts])[:-1])]
+
+
+class _Meetings:
+    """The keys under which a shard's nodes meet others, and how central each node is: with
+    how many nodes it shares its bands. A text that others were made from shares most."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        nodes, bands = _bands(packed.open_shard(batch, i))
+        replies = [packed.unsqueeze(r) for _, r in packed.replies_of(batch, "sizes", i)]
+        found = np.concatenate(replies).astype(np.int64) if replies else np.zeros(0, np.int64)
+        _, number = np.unique(bands, return_inverse=True)
+        sizes = found[number.reshape(bands.shape)] if len(found) else np.zeros(bands.shape, np.int64)
+        shared, central = sizes > 1, sizes.sum(axis=1)
+        keys, mine = [bands[shared]], [np.nonzero(shared)[0]]
+        for step in (1, 2):
+            both = shared & np.roll(shared, -step, axis=1)
+            keys.append(packed.mix64(bands[both] * _BASE + np.roll(bands, -step, axis=1)[both]))
+            mine.append(np.nonzero(both)[0])
+        mine = np.concatenate(mine)
+        self.keys, self.nodes, self.central = np.concatenate(keys), nodes[mine], central[mine]
+
+
+def _centres(keys: np.ndarray, nodes: np.ndarray, central: np.ndarray):
+    """Distinct keys, the most central node of each (then the smallest) with its rank, and
+    each item's key number."""
+    order = np.lexsort((nodes, -central, keys))
+    keys, nodes, central = keys[order], nodes[order], central[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     number = np.empty(len(keys), np.int64)
     number[order] = np.cumsum(new) - 1
-    return keys[new], nodes[new], number
+    return keys[new], nodes[new], central[new], number
 
 
-def _key_requests(bits: int):
+def _centre_requests(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
-                keys, least, _ = _stars(*_band_and_narrow_keys(packed.open_shard(batch, i)))
-                yield packed.request_batch(shard, [
-                    (bucket, packed.squeeze_sorted(keys[part]), packed.squeeze(least[part]))
-                    for bucket, part in packed.by_bucket(keys, bits) if part.stop > part.start])
+                meet = _Meetings(batch, i)
+                keys, nodes, central, _ = _centres(meet.keys, meet.nodes, meet.central)
+                rows = []
+                for bucket, part in packed.by_bucket(keys, bits):
+                    if part.stop > part.start:
+                        first = packed.squeeze(nodes[part])
+                        rows.append((bucket, packed.squeeze_sorted(keys[part]),
+                                     len(first).to_bytes(8, "little") + first + packed.squeeze(central[part])))
+                yield packed.request_batch(shard, rows)
     return run
 
 
-def _smallest(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes]:
+def _most_central(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes]:
     parts = [packed.unsqueeze_sorted(k) for k in keys]
-    _, least, number = _stars(np.concatenate(parts), np.concatenate([packed.unsqueeze(e) for e in extras]).astype(np.int64))
-    cuts = np.cumsum([len(p) for p in parts])[:-1]
-    return [packed.squeeze(part) for part in np.split(least[number], cuts)]
+    cuts = [8 + int.from_bytes(e[:8], "little") for e in extras]
+    nodes = np.concatenate([packed.unsqueeze(e[8:c]) for e, c in zip(extras, cuts)]).astype(np.int64)
+    central = np.concatenate([packed.unsqueeze(e[c:]) for e, c in zip(extras, cuts)]).astype(np.int64)
+    _, best, _, number = _centres(np.concatenate(parts), nodes, central)
+    return [packed.squeeze(part) for part in np.split(best[number], np.cumsum([len(p) for p in parts])[:-1])]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(len(batch)):
-            keys, nodes = _band_and_narrow_keys(packed.open_shard(batch, i))
-            _, _, number = _stars(keys, nodes)
-            replies = [packed.unsqueeze(r) for _, r in packed.replies_of(batch, "answers", i)]
-            least = np.concatenate(replies).astype(np.int64)[number] if replies else nodes
-            apart = least != nodes
-            pairs = np.unique(np.stack([least[apart], nodes[apart]], axis=1), axis=0)
+            meet = _Meetings(batch, i)
+            _, _, _, number = _centres(meet.keys, meet.nodes, meet.central)
+            replies = [packed.unsqueeze(r) for _, r in packed.replies_of(batch, "centres", i)]
+            best = np.concatenate(replies).astype(np.int64)[number] if replies else meet.nodes
+            pairs = np.stack([np.minimum(best, meet.nodes), np.maximum(best, meet.nodes)], axis=1)
+            pairs = np.unique(pairs[best != meet.nodes], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
@@ -225,9 +272,12 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                           F.first("bands").alias("bands"))
     nodes = stored(numbered(copies, [F.col("digest")], name="node"), "nodes")
     held = packed.shards(nodes.select("node", "bands"), parts, text="bands")
-    bits = packed.bits_for((held.agg(F.sum("size")).first()[0] or 0) / 8 * 3, KEYS_PER_BUCKET)
-    stars = packed.ask(held.mapInArrow(_key_requests(bits), packed.REQUEST), _smallest, "stars")
-    pairs = stored(held.join(stars, "shard").mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
+    bits = packed.bits_for((held.agg(F.sum("size")).first()[0] or 0) / 8, KEYS_PER_BUCKET)
+    sizes = packed.ask(held.mapInArrow(_band_requests(bits), packed.REQUEST), _sizes, "sizes")
+    sized = held.join(sizes.withColumnRenamed("answers", "sizes"), "shard")
+    centres = packed.ask(sized.mapInArrow(_centre_requests(bits), packed.REQUEST), _most_central, "centres")
+    met = sized.join(centres.withColumnRenamed("answers", "centres"), "shard")
+    pairs = stored(met.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select(
         "node", F.col("digest").alias("__digest"), F.col("first_id").alias("__id"))
