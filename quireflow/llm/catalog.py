@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, licenses, lm, mixing, neardup, substrings, urlfilter
+from quireflow.llm import chat, decontaminate, licenses, lm, mixing, neardup, substrings, urlfilter
 from quireflow.llm.common import load, remainder
 
 
@@ -19,6 +19,15 @@ def op2_lm_score(spark, d):
     return lm.score(load(spark, d, "documents"), use)
 
 
+def op3_decontaminate(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    found = decontaminate.verdicts(decontaminate.find(docs, load(spark, d, "benchmark"), ["doc_id"]))
+    return found.select(
+        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"),
+        F.size("__items").cast("long").alias("n_items"), F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
+        F.col("__contaminated").alias("contaminated"))
+
+
 def op4_license_scan(spark, d):
     found = licenses.scan(load(spark, d, "documents").select("doc_id", "text"))
     return found.select(
@@ -75,6 +84,7 @@ def dated_entries(pages):
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
+    "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
     "op6_chat_format": op6_chat_format,
     "op7_near_dedup": op7_near_dedup,
@@ -172,9 +182,29 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_rem
   sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+_CONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+  b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+  p AS (SELECT DISTINCT item, least(len(ws), 13) AS n, array_to_string(ws[i:i + 12], ' ') AS k
+    FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 11, 2))) AS i FROM b WHERE len(ws) > 0)),
+  win AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS k
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p))),
+  occ AS (SELECT doc_id, i, n, item FROM win JOIN p USING (n, k)),
+  hit AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM occ) GROUP BY doc_id),
+  its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_mix_sources": _MIX_SQL,
+        "op3_decontaminate": _CONTAMINATION_SQL,
         "op4_license_scan": licenses.oracle(),
         "op6_chat_format": _chat_sql(),
         "op9_url_filter": _url_sql(),
