@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, decontaminate, licenses, lm, mixing, neardup, substrings, urlfilter
+from quireflow.llm import chat, decontaminate, fingerprints, licenses, lm, mixing, neardup, substrings, urlfilter
 from quireflow.llm.common import load, remainder
 
 
@@ -55,6 +55,10 @@ def op7_near_dedup(spark, d):
     return neardup.classes(load(spark, d, "documents").select("doc_id", "text"))
 
 
+def op8_fingerprint(spark, d):
+    return fingerprints.with_next(load(spark, d, "documents").select("doc_id", "text"))
+
+
 def op9_url_filter(spark, d):
     pages = load(spark, d, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.date_add(
@@ -88,6 +92,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op6_chat_format": op6_chat_format,
     "op7_near_dedup": op7_near_dedup,
+    "op8_fingerprint": op8_fingerprint,
     "op9_url_filter": op9_url_filter,
     "op10_substring_dedup": op10_substring_dedup,
 }
