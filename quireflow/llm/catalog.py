@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, decontaminate, fingerprints, licenses, lm, mixing, neardup, substrings, urlfilter
+from quireflow.llm import chat, decontaminate, fingerprints, licenses, lm, mixing, neardup, quality, substrings, urlfilter
 from quireflow.llm.common import load, remainder
 
 
@@ -35,6 +35,13 @@ def op4_license_scan(spark, d):
         F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
 
 
+def op5_quality(spark, d):
+    held_out = remainder("doc_id", 3) == 1
+    stats = quality.features(load(spark, d, "documents"))
+    trees = quality.fit(stats, load(spark, d, "labels").filter(~held_out))
+    return quality.scored(stats, trees).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_chat_format(spark, d):
     quote = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
@@ -90,6 +97,7 @@ QUERIES = {
     "op2_lm_score": op2_lm_score,
     "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
+    "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
     "op7_near_dedup": op7_near_dedup,
     "op8_fingerprint": op8_fingerprint,
