@@ -84,7 +84,7 @@ BETWEEN = "( .*)? "
 #: The steps of normalising, in order; the SQL twin applies the same.
 STEPS: tuple[tuple[str, str], ...] = (
     (r"\r\n?", "\n"),                     # one kind of line end
-    (r"\n([a-z])", " {1}"),               # a line that goes on in lower case
+    (r"\n([a-z(])", " {1}"),              # a line that goes on in lower case
     (r"[.!?;:]([ \t\n]|$)", "\n"),        # the end of a sentence
     (r"[^A-Za-z0-9.\n]+", " "),           # words, and numbers with a point
     (r" *\n *", "\n"),
