@@ -36,12 +36,13 @@ KEYS_PER_BUCKET = 2_000_000
 
 
 class _Shard:
-    """Tokens of a shard and the n-gram keys of every order, document after document."""
+    """Tokens of a shard, whose documents are all for one use, and the n-gram keys of every
+    order, document after document."""
 
     def __init__(self, rows: pa.StructArray, order: int):
         words, lengths = packed.words_of(rows.field("text"), lower=True)
         indices, names = packed.hashed(words)
-        self.doc_ids, self.uses = rows.field("doc_id"), rows.field("use").to_numpy(zero_copy_only=False)
+        self.doc_ids, self.use = rows.field("doc_id"), rows.field("use")[0].as_py() if len(rows) else TRAIN
         self.lengths = lengths + 1
         self.ends = np.cumsum(self.lengths)
         tokens = np.empty(int(self.ends[-1]) if len(rows) else 0, U64)
@@ -50,7 +51,6 @@ class _Shard:
         tokens[inner] = names[indices]
         tokens[self.ends - 1] = END
         self.begins = self.ends - self.lengths
-        self.use = np.repeat(self.uses, self.lengths)
         # Order k of a token: its order k - 1 key and the token k - 1 places before it, or a
         # begin mark where that lies before the document.
         self.keys = [tokens]
@@ -76,13 +76,10 @@ def _requests(order: int, bits: int):
                 data = _Shard(packed.open_shard(batch, i), order)
                 rows = []
                 for k, keys in enumerate(data.keys):
-                    names = np.unique(keys)
+                    names, times = np.unique(keys, return_counts=True)
                     counts = []
                     for use in (TRAIN, FOLD):
-                        some, n = np.unique(keys[data.use == use], return_counts=True)
-                        all_n = np.zeros(len(names), np.int64)
-                        all_n[np.searchsorted(names, some)] = n
-                        counts.append(all_n)
+                        counts.append(times if data.use == use else np.zeros(len(names), np.int64))
                     for bucket, part in packed.by_bucket(names, bits, k << bits):
                         if part.stop > part.start:
                             extra = [packed.squeeze(c[part]) for c in counts]
@@ -109,22 +106,22 @@ def _totals(unigram_buckets: int):
         whole = sums[0] + sums[1]
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         replies = []
-        for a, b in zip(np.split(whole[where], cuts), np.split(sums[1][where], cuts)):
-            first = packed.squeeze(a)
-            replies.append(len(first).to_bytes(8, "little") + first + packed.squeeze(b))
+        for a, b, own in zip(np.split(whole[where], cuts), np.split(sums[1][where], cuts), pairs):
+            first = packed.squeeze(a)  # only the fold's own shards need the fold's counts
+            second = packed.squeeze(b if own[1].any() else b[:0])
+            replies.append(len(first).to_bytes(8, "little") + first + second)
         if bucket < unigram_buckets:
             replies.append(np.array([(whole > 0).sum(), whole.sum(), sums[1].sum()], "<i8").tobytes())
         return replies
     return answer
 
 
-def _counts(data: _Shard, replies: list[tuple[int, bytes]], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order: training and fold count of every token's n-gram."""
+def _counts(data: _Shard, replies: list[tuple[int, bytes]], bits: int, side: int) -> list[np.ndarray]:
+    """For each order: training (side 0) or fold (side 1) count of every token's n-gram."""
     found = []
     for k, keys in enumerate(data.keys):
-        pairs = [_pair(r) for b, r in replies if b >> bits == k]
-        spot = np.searchsorted(np.unique(keys), keys)
-        found.append(tuple(np.concatenate([p[side] for p in pairs])[spot].astype(np.int64) for side in (0, 1)))
+        values = np.concatenate([_pair(r)[side] for b, r in replies if b >> bits == k])
+        found.append(values[np.searchsorted(np.unique(keys), keys)].astype(np.int64))
     return found
 
 
@@ -144,14 +141,13 @@ def _fold_estimates(order: int, bits: int, total: int, docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                rows = packed.open_shard(batch, i)
-                data = _Shard(rows, order)
-                counts = _counts(data, packed.replies_of(batch, "answers", i), bits)
-                bucket, p = _estimates(data, [a - b for a, b in counts], total, docs)
-                mine = data.use == FOLD
+                data = _Shard(packed.open_shard(batch, i), order)
+                replies = packed.replies_of(batch, "answers", i)
+                whole, own = (_counts(data, replies, bits, side) for side in (0, 1))
+                bucket, p = _estimates(data, [a - b for a, b in zip(whole, own)], total, docs)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([bucket[mine].astype(np.uint8).tobytes()], pa.binary()),
-                    pa.array([p[:, mine].astype(np.float32).tobytes()], pa.binary())], names=["bucket", "p"])
+                    pa.array([bucket.astype(np.uint8).tobytes()], pa.binary()),
+                    pa.array([p.astype(np.float32).tobytes()], pa.binary())], names=["bucket", "p"])
     return run
 
 
@@ -194,15 +190,15 @@ def _scores(order: int, bits: int, weights: np.ndarray, total: int, distinct: in
         for batch in batches:
             for i in range(len(batch)):
                 data = _Shard(packed.open_shard(batch, i), order)
-                counts = [a for a, _ in _counts(data, packed.replies_of(batch, "answers", i), bits)]
+                counts = _counts(data, packed.replies_of(batch, "answers", i), bits, 0)
                 bucket, p = _estimates(data, counts, total, docs)
                 w = weights[bucket].T
                 mixed = w[0] / (distinct + 1) + (w[1:] * p).sum(axis=0)
                 sums = [np.add.reduceat(x, data.begins) if len(data.begins) else np.zeros(0) for x in (
                     np.log10(mixed), np.log10((counts[0] + 1) / (total + distinct + 1)), (counts[0] > 0).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([
-                    data.doc_ids, pa.array(data.uses == HELD_OUT), pa.array(data.lengths, pa.int64()),
-                    pa.array(sums[2], pa.int64()), pa.array(np.full(len(data.uses), total), pa.int64()),
+                    data.doc_ids, pa.array([data.use == HELD_OUT] * len(data.lengths), pa.bool_()), pa.array(data.lengths, pa.int64()),
+                    pa.array(sums[2], pa.int64()), pa.array(np.full(len(data.lengths), total), pa.int64()),
                     pa.array(sums[1]), pa.array(sums[0])],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
@@ -214,8 +210,7 @@ def score(docs: DataFrame, use: Column, order: int = 2) -> DataFrame:
     ``use`` says what a document is for: ``HELD_OUT``, ``TRAIN`` or ``FOLD``.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), use.cast("int").alias("use"))
-    spark = docs.sparkSession
-    held = packed.shards(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = packed.shards(rows, by="use")
     words = (held.agg(F.sum("size")).first()[0] or 0) / 6
     bits = packed.bits_for(words, KEYS_PER_BUCKET)
     replies = packed.ask(held.mapInArrow(_requests(order, bits), packed.REQUEST), _totals(1 << bits), "counts")
@@ -227,7 +222,7 @@ def score(docs: DataFrame, use: Column, order: int = 2) -> DataFrame:
         F.count("*").alias("n")).collect()}
     train, fold = uses.get(TRAIN, 0), uses.get(FOLD, 0)
     known = held.join(replies, "shard")
-    parts = stored(known.mapInArrow(_fold_estimates(order, bits, total - fold_total, train), "bucket binary, p binary"), "fold")
+    parts = stored(known.filter(F.col("part") == FOLD).mapInArrow(_fold_estimates(order, bits, total - fold_total, train), "bucket binary, p binary"), "fold")
     weights = _learn(parts, order, 1.0 / (distinct + 1))
     return known.mapInArrow(
         _scores(order, bits, weights, total, distinct, train + fold),

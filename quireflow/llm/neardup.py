@@ -263,15 +263,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signed rows ``doc_id, digest`` and nodes ``node, digest, first_id, copies, label, n_links``."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty(F.col("text").cast("string")).alias("text"))
     texts = texts.withColumn("digest", F.md5(F.col("text").cast("binary")))
     signed = stored(texts.mapInArrow(_sign, "doc_id long, digest string, bands binary"), "signed")
     copies = signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
                                           F.first("bands").alias("bands"))
     nodes = stored(numbered(copies, [F.col("digest")], name="node"), "nodes")
-    held = packed.shards(nodes.select("node", "bands"), parts, text="bands")
+    held = packed.shards(nodes.select("node", "bands"), text="bands")
     bits = packed.bits_for((held.agg(F.sum("size")).first()[0] or 0) / 8, KEYS_PER_BUCKET)
     sizes = packed.ask(held.mapInArrow(_band_requests(bits), packed.REQUEST), _sizes, "sizes")
     sized = held.join(sizes.withColumnRenamed("answers", "sizes"), "shard")

@@ -19,11 +19,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quireflow.llm.common import stored
 from quireflow.session import fresh_dir
 
 SHARD_BYTES = 8 << 20
@@ -115,40 +114,57 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SHARD_BYTES, text: st
 
 # Shards
 
-def shards(docs: DataFrame, buckets: int, shard_bytes: int = SHARD_BYTES, text: str = "text") -> DataFrame:
-    """``docs`` stored as rows ``shard, size, rows`` of about ``shard_bytes`` of text.
+def _bucketed(df: DataFrame, buckets: int, name: str) -> DataFrame:
+    """``df`` stored as a table bucketed by shard: joins by shard of two such tables move
+    nothing."""
+    path = fresh_dir(df.sparkSession, name)
+    table = f"{name}_{path.rsplit('-', 1)[1]}"
+    df.write.bucketBy(buckets, "shard").option("path", path).option("compression", "zstd").saveAsTable(table)
+    return df.sparkSession.table(table)
 
-    The table is bucketed by shard, so a join by shard moves only the other side.
+
+def buckets_of(spark: SparkSession) -> int:
+    """Buckets of the stored shards and answers."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES, text: str = "text", by: str | None = None) -> DataFrame:
+    """``docs`` stored as rows ``shard, size, part, rows`` of about ``shard_bytes`` of text.
+
+    With ``by``, an integer column of few values, the documents of a shard agree in it and
+    ``part`` is its value.
     """
     inner = docs.schema
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("size", T.LongType()),
-                           T.StructField("rows", T.ArrayType(inner))])
+                           T.StructField("part", T.IntegerType()), T.StructField("rows", T.ArrayType(inner))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, count, held, size = TaskContext.get().partitionId() << 33, 0, [], 0
+        base, count = TaskContext.get().partitionId() << 33, 0
+        held: dict[int | None, list[pa.RecordBatch]] = {}
+        size: dict[int | None, int] = {}
 
-        def one() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
+        def one(part: int | None) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held.pop(part)).combine_chunks()
             fields = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
             rows = pa.StructArray.from_arrays(fields, fields=list(table.schema))
             return pa.RecordBatch.from_arrays(
-                [pa.array([base + count], pa.int64()), pa.array([size], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["shard", "size", "rows"])
+                [pa.array([base + count], pa.int64()), pa.array([size.pop(part)], pa.int64()), pa.array([part], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["shard", "size", "part", "rows"])
 
         for piece in slices(batches, shard_bytes, text):
-            held.append(piece)
-            size += pc.sum(pc.binary_length(piece.column(text))).as_py() or 0
-            if size >= shard_bytes // 2:
-                yield one()
-                count, held, size = count + 1, [], 0
-        if held:
-            yield one()
+            parts = [None] if by is None else pc.unique(piece.column(by)).to_pylist()
+            for part in parts:
+                mine = piece if by is None else piece.filter(pc.equal(piece.column(by), part))
+                held.setdefault(part, []).append(mine)
+                size[part] = size.get(part, 0) + (pc.sum(pc.binary_length(mine.column(text))).as_py() or 0)
+                if size[part] >= shard_bytes // 2:
+                    yield one(part)
+                    count += 1
+        for part in list(held):
+            yield one(part)
+            count += 1
 
-    path = fresh_dir(docs.sparkSession, "shards")
-    table = "shards_" + path.rsplit("-", 1)[1]
-    docs.mapInArrow(cut, schema).write.bucketBy(buckets, "shard").option("path", path).option(
-        "compression", "zstd").saveAsTable(table)
-    return docs.sparkSession.table(table)
+    return _bucketed(docs.mapInArrow(cut, schema), buckets_of(docs.sparkSession), "shards")
 
 
 def open_shard(batch: pa.RecordBatch, i: int) -> pa.StructArray:
@@ -177,7 +193,8 @@ def request_batch(shard: int, rows: list[tuple[int, bytes, bytes]]) -> pa.Record
 
 def ask(requests: DataFrame, answer: Callable[[int, list[bytes], list[bytes]], list[bytes]],
         name: str) -> DataFrame:
-    """``shard, answers array<struct<bucket,reply>>`` (sorted by bucket), stored.
+    """``shard, answers array<struct<bucket,reply>>`` (sorted by bucket), stored beside the
+    shards.
 
     ``answer(bucket, keys, extras)`` gets all rows of a bucket and returns a reply for each; a
     reply more is a row of the bucket's own, filed under shard -1.
@@ -190,8 +207,8 @@ def ask(requests: DataFrame, answer: Callable[[int, list[bytes], list[bytes]], l
                          "shard": pa.array(owners, pa.int64()), "reply": pa.array(replies, pa.binary())})
 
     replies = requests.groupBy("bucket").applyInArrow(run, "bucket int, shard long, reply binary")
-    return stored(replies.groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "reply"))).alias("answers")), name)
+    return _bucketed(replies.groupBy("shard").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "reply"))).alias("answers")), buckets_of(requests.sparkSession), name)
 
 
 def replies_of(batch: pa.RecordBatch, column: str, i: int) -> list[tuple[int, bytes]]:

@@ -190,9 +190,7 @@ def _apply(window: int, bits: int, fields: list[str]):
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` plus ``__n_words, __n_removed, __kept``: the words left, joined by one blank."""
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = packed.shards(docs, parts)
+    held = packed.shards(docs)
     # About one window for every six bytes of text, and two cells for each window.
     windows = (held.agg(F.sum("size")).first()[0] or 0) / 6
     bits = max(16, packed.bits_for(2 * windows, 1))
