@@ -5,27 +5,29 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import (
-    LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel,
-)
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quireflow.functions import chunks, text, vectors
 from quireflow.operators import embed, labels, sequences
-
-MAX_MODEL_VALUES = 16_000_000  # numbers a model may hold on the driver (128 MB)
+from quireflow.operators.ranking import global_index
+from quireflow.session import stored
 
 
 # ---- nearest centroid ---------------------------------------------------------------
 
 @dataclass(frozen=True)
 class CentroidModel:
-    """One mean vector per class, classes in ascending order."""
+    """One mean vector per class id, and the table ``(label, label_id)`` of the class names.
+
+    Every scored row holds a number per class, so the vectors of all classes fit where a
+    row does. The names stay in their table.
+    """
 
-    classes: list
+    dictionary: DataFrame
     centroids: list[list[float]]
 
     def scores(self, vector: str) -> Column:
@@ -46,41 +48,39 @@ class CentroidModel:
         )
         return udf(vector)
 
-    def name(self, position: Column) -> Column:
-        return F.get(F.array(*[F.lit(c) for c in self.classes]), position)
-
 
 def fit_centroids(df: DataFrame, label: str, vector: str) -> CentroidModel:
-    """Mean vector per class. The model is fetched only up to a checked size."""
-    first = df.select(F.size(vector).alias("d")).first()
-    if first is None:
+    """Mean vector per class; ids follow the order of the class names."""
+    means = sequences.pool(df.where(F.col(label).isNotNull()), [label], vector).select(label, "mean")
+    placed = stored(global_index(means, label, name="label_id").withColumnRenamed(label, "label"), "centroids")
+    rows = placed.select("label_id", "mean").collect()
+    if not rows:
         raise ValueError("no vectors to fit")
-    limit = MAX_MODEL_VALUES // max(first["d"], 1)
-    rows = (
-        sequences.pool(df.where(F.col(label).isNotNull()), [label], vector)
-        .select(label, "mean").limit(limit + 1).collect()
-    )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} classes of {first['d']} values; not a class label")
-    rows.sort(key=lambda r: r[label])
-    return CentroidModel([r[label] for r in rows], [list(r["mean"]) for r in rows])
+    rows.sort(key=lambda r: r["label_id"])
+    dictionary = placed.select("label", F.col("label_id").cast("int").alias("label_id"))
+    return CentroidModel(dictionary, [list(r["mean"]) for r in rows])
 
 
-def classify_by_centroid(df: DataFrame, model: CentroidModel, vector: str) -> DataFrame:
-    """Add ``scores``, ``predicted`` (class) and ``probabilities`` (softmax of the scores)."""
+def classify_by_centroid(df: DataFrame, model: CentroidModel, vector: str, label: str | None = None) -> DataFrame:
+    """Add ``scores``, ``predicted`` (class), ``probabilities`` (softmax of the scores) and,
+    given the ``label`` column, ``label_id``."""
     scored = df.withColumn("scores", model.scores(vector))
-    return vectors.with_softmax(scored, "scores", "probabilities").withColumn(
-        "predicted", model.name(vectors.argmax(F.col("scores")))
-    )
+    ready = vectors.with_softmax(scored, "scores", "probabilities").withColumn("_best", vectors.argmax(F.col("scores")))
+    named = labels.decode_label(ready, model.dictionary, "_best", "predicted").drop("_best")
+    if label is None:
+        return named
+    ids = model.dictionary.select(F.col("label").alias("_name"), "label_id")
+    return named.join(ids, F.col(label) == F.col("_name"), "left").drop("_name")
 
 
 # ---- text pages ---------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class TextModel:
-    """Naive Bayes over hashed words of a page's chunks, with all it takes to apply it."""
+    """Naive Bayes over hashed words of a page's chunks, with all it takes to apply it. The
+    class names are a table ``(label, label_id)``."""
 
-    classes: list[str]
+    dictionary: DataFrame
     bayes: NaiveBayesModel
     digits: int
     maxlen: int
@@ -106,7 +106,7 @@ def page_tokens(
     df = df.withColumn("_w", embed.buckets(found, digits) if digits else found)
     if pooling == "first":
         return df.withColumn(out, F.slice("_w", 1, maxlen)).drop("_w")
-    df = df.withColumn("_n", chunks.chunk_count(F.size("_w"), maxlen, overlap))
+    df = df.withColumn("_n", chunks.chunk_count(F.size("_w"), maxlen, overlap, full_split=True))
     windows = F.transform(
         F.sequence(F.lit(0), F.col("_n") - 1),
         lambda i: F.slice(F.col("_w"), i * stride + 1, F.lit(maxlen)),
@@ -114,72 +114,138 @@ def page_tokens(
     return df.withColumn(out, F.flatten(windows)).drop("_w", "_n")
 
 
-def _page_counts(df: DataFrame, source: str, digits, maxlen, overlap, pooling, noise) -> DataFrame:
-    ready = page_tokens(df, source, maxlen, overlap, pooling, noise, digits, "_tokens")
-    return embed.bucket_counts(ready, "_tokens", digits, "features").drop("_tokens")
+def page_counts(
+    df: DataFrame, source: str, digits: int = 2, maxlen: int = 200, overlap: int = 50, pooling: str = "all",
+    noise_phrases=(), out: str = "features",
+) -> DataFrame:
+    """Adds the hash bucket counts of a page's chunks. Store them when a fit and a scoring
+    both need them: the texts are then read and cleaned once."""
+    ready = page_tokens(df, source, maxlen, overlap, pooling, noise_phrases, digits, "_tokens")
+    return embed.bucket_counts(ready, "_tokens", digits, out).drop("_tokens")
 
 
 def fit_text_model(
-    pages: DataFrame, source: str, label: str = "label", digits: int = 2,
+    pages: DataFrame, source: str | None, label: str = "label", digits: int = 2,
     maxlen: int = 200, overlap: int = 50, pooling: str = "all", noise_phrases=(),
     smoothing: float = 1.0,
 ) -> TextModel:
-    limit = MAX_MODEL_VALUES // 16**digits
-    indexer = labels.fit_label_indexer(pages.select(label), label, "_y", max_classes=limit)
-    ready = _page_counts(
-        indexer.transform(pages), source, digits, maxlen, overlap, pooling, noise_phrases
-    ).select("features", "_y")
+    """Fit on texts, or (``source`` None) on stored ``features``."""
+    if source is not None:
+        pages = page_counts(pages.select(label, source), source, digits, maxlen, overlap, pooling, noise_phrases)
+    dictionary = stored(labels.label_index(pages, label).drop("rows"), "classes")
+    ready = labels.attach_label_id(pages.select("features", label), dictionary, label, "_y")
     bayes = NaiveBayes(
         modelType="multinomial", smoothing=smoothing, featuresCol="features", labelCol="_y",
         predictionCol="prediction", probabilityCol="probability", rawPredictionCol="raw",
     ).fit(ready)
-    return TextModel(
-        list(indexer.labels), bayes, digits, maxlen, overlap, pooling, tuple(noise_phrases)
-    )
+    return TextModel(dictionary, bayes, digits, maxlen, overlap, pooling, tuple(noise_phrases))
 
 
-def apply_text_model(pages: DataFrame, model: TextModel, source: str) -> DataFrame:
-    """Add ``class`` and ``score`` (its probability) to every page, in the JVM, no shuffle."""
-    ready = _page_counts(
-        pages, source, model.digits, model.maxlen, model.overlap, model.pooling, model.noise_phrases
-    )
-    names = F.array(*[F.lit(c) for c in model.classes])
-    return (
-        model.bayes.transform(ready)
-        .withColumn("class", F.get(names, F.col("prediction").cast("int")))
+def apply_text_model(pages: DataFrame, model: TextModel, source: str | None) -> DataFrame:
+    """Add ``class`` and ``score`` (its probability) to every page, in the JVM. Only the
+    class ids meet the table of names."""
+    if source is not None:
+        pages = page_counts(pages, source, model.digits, model.maxlen, model.overlap, model.pooling, model.noise_phrases)
+    scored = (
+        model.bayes.transform(pages)
+        .withColumn("_best", F.col("prediction").cast("int"))
         .withColumn("score", F.array_max(vector_to_array("probability")))
         .drop("features", "raw", "probability", "prediction")
     )
+    return labels.decode_label(scored, model.dictionary, "_best", "class").drop("_best")
 
 
-# ---- pooled sequences ---------------------------------------------------------------
+# ---- linear classifier --------------------------------------------------------------
 
-def fit_logistic(
-    df: DataFrame, vector: str, label_id: str, epochs: int = 5, l2: float = 0.0
-) -> LogisticRegressionModel:
-    """Linear classifier over array vectors (chunk embeddings or pooled pages)."""
-    ready = df.select(array_to_vector(vector).alias("features"), F.col(label_id).cast("double").alias("y"))
-    return LogisticRegression(
-        featuresCol="features", labelCol="y", maxIter=epochs, regParam=l2
-    ).fit(ready)
-
-
-def loss_history(model: LogisticRegressionModel, run_id: str) -> DataFrame:
-    """Training loss per epoch as metric rows ``(run_id, step, metric, value)``."""
-    rows = [
-        (run_id, str(epoch), "train_loss", float(loss))
-        for epoch, loss in enumerate(model.summary.objectiveHistory)
-    ]
-    return SparkSession.getActiveSession().createDataFrame(
-        rows, "run_id string, step string, metric string, value double"
-    )
-
-
-def apply_logistic(df: DataFrame, model: LogisticRegressionModel, vector: str) -> DataFrame:
-    """Add ``prediction`` (class id) and ``probabilities``."""
-    ready = df.withColumn("features", array_to_vector(vector))
-    return (
-        model.transform(ready)
-        .withColumn("probabilities", vector_to_array("probability"))
-        .drop("features", "rawPrediction", "probability")
-    )
+@dataclass(frozen=True)
+class LinearModel:
+    """Weights ``[classes, dimensions + 1]`` (the last is the intercept) and the metric rows
+    ``(epoch, split, rows, hits, loss)`` seen while fitting."""
+
+    weights: np.ndarray
+    history: list[tuple[int, str, int, int, float]]
+
+
+def _pass_over(vector: str, label_id: str, split: str, weights: np.ndarray):
+    """Sums over a task's rows: per split the rows, hits and loss, and the gradient of the
+    training rows."""
+    def run(batches):
+        import pandas as pd
+
+        seen: dict[str, list[float]] = {}
+        grad = np.zeros_like(weights)
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = np.vstack(batch[vector].to_numpy()).astype("float64")
+            x = np.hstack([x, np.ones((len(x), 1))])
+            y = batch[label_id].to_numpy().astype(int)
+            raw = x @ weights.T
+            raw -= raw.max(axis=1, keepdims=True)
+            p = np.exp(raw)
+            p /= p.sum(axis=1, keepdims=True)
+            at = np.arange(len(y))
+            loss, hit = -np.log(p[at, y]), raw.argmax(axis=1) == y
+            p[at, y] -= 1.0
+            train = (batch[split] == "train").to_numpy()
+            grad += p[train].T @ x[train]
+            for name in batch[split].unique():
+                mine = (batch[split] == name).to_numpy()
+                sums = seen.setdefault(name, [0, 0, 0.0])
+                sums[0] += int(mine.sum())
+                sums[1] += int(hit[mine].sum())
+                sums[2] += float(loss[mine].sum())
+        yield pd.DataFrame({
+            "split": [*seen, None], "sums": [*[np.array(v, float) for v in seen.values()], grad.ravel()]})
+    return run
+
+
+def fit_linear(
+    df: DataFrame, vector: str, label_id: str, classes: int, epochs: int = 5, rate: float = 1.0,
+    split: str = "split",
+) -> LinearModel:
+    """Softmax regression by full-batch gradient steps on the rows of the ``train`` split.
+
+    One pass per epoch: each task sends its gradient and the sums behind the metrics of
+    every split, and these few rows are added up. Store ``df`` first. The last history
+    rows are those of the final weights.
+    """
+    first = df.select(F.size(vector).alias("d")).first()
+    if first is None:
+        raise ValueError("no rows to fit")
+    weights, history = np.zeros((classes, first["d"] + 1)), []
+    slim = df.select(vector, label_id, split)
+    for epoch in range(epochs + 1):
+        parts = slim.mapInPandas(_pass_over(vector, label_id, split, weights), "split string, sums array<double>")
+        cells = parts.select("split", F.posexplode("sums").alias("at", "v")).groupBy("split", "at").agg(F.sum("v").alias("v"))
+        sums: dict = {}
+        for row in cells.collect():  # a number per weight, and three per split
+            sums.setdefault(row["split"], {})[row["at"]] = row["v"]
+        grad = sums.pop(None)
+        for name, s in sorted(sums.items()):
+            history.append((epoch, name, int(s[0]), int(s[1]), s[2] / s[0]))
+        if epoch < epochs and "train" in sums:
+            step = np.array([grad[i] for i in range(weights.size)]).reshape(weights.shape)
+            weights = weights - rate * step / sums["train"][0]
+    return LinearModel(weights, history)
+
+
+def linear_metrics(spark: SparkSession, model: LinearModel, run_id: str) -> DataFrame:
+    """The fit's metrics as rows ``(run_id, step, split, metric, value)``."""
+    rows = [(run_id, epoch, split, metric, value) for epoch, split, n, hits, loss in model.history
+            for metric, value in (("loss", float(loss)), ("acc", hits / n))]
+    return spark.createDataFrame(rows, "run_id string, step int, split string, metric string, value double")
+
+
+def linear_scores(df: DataFrame, model: LinearModel, vector: str) -> DataFrame:
+    """Add ``scores`` and ``prediction`` (class id)."""
+    w = model.weights
+
+    def make_predict():
+        def predict(batch):
+            return batch.astype("float64") @ w[:, :-1].T + w[:, -1]
+        return predict
+
+    udf = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=2048,
+                            input_tensor_shapes=[[w.shape[1] - 1]])
+    return df.withColumn("scores", udf(vector)).withColumn("prediction", vectors.argmax(F.col("scores")))

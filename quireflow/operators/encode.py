@@ -4,28 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quireflow.operators.ranking import global_index
+
 # The four reserved ids.
 PAD, UNKNOWN, BEGIN, END = 0, 1, 2, 3
 FIRST_FREE = 4
-VOCABULARY_SIZE = 30_000
 
 
-def vocabulary(df: DataFrame, tokens: Column, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The ``size`` most frequent tokens as ``(token, token_id, uses)``, ties by token.
+def vocabulary(df: DataFrame, tokens: Column) -> DataFrame:
+    """All tokens as ``(token, token_id, uses)``, the most frequent first, ties by token.
 
-    A vocabulary has a fixed size, as that of a pre-trained tokenizer; all other tokens
-    encode as unknown. The size also bounds what ``encode`` looks up in.
+    The ids come from a distributed sort of the counts. Make it on training rows: tokens
+    that only other rows have then encode as unknown.
     """
-    order = [F.col("uses").desc(), F.col("token")]
-    return (
+    counts = (
         df.select(F.explode_outer(tokens).alias("token")).where(F.col("token").isNotNull())
         .groupBy("token").agg(F.count("*").alias("uses"))
-        .orderBy(*order).limit(size)
-        .withColumn("token_id", (F.row_number().over(Window.orderBy(*order)) + FIRST_FREE - 1))
-        .select("token", "token_id", "uses")
+    )
+    return global_index(counts, F.col("uses").desc(), F.col("token"), name="_i").select(
+        "token", (F.col("_i") + FIRST_FREE).alias("token_id"), "uses"
     )
 
 
@@ -37,8 +37,8 @@ def encode(
     Begin and end marks count towards the length; longer texts are cut before the lookup,
     so at most ``max_len - 2`` tokens per row travel. ``keys`` must identify a row.
 
-    No hint on the lookup: the size limit inside ``vocabulary`` lets the planner prove it
-    small and broadcast it. A larger vocabulary is joined by shuffle.
+    No hint on the lookup: the measured size of the vocabulary decides between a broadcast
+    and a shuffle.
     """
     room = max_len - 2
     if room < 0:
@@ -49,19 +49,19 @@ def encode(
     )
     found = F.when(
         F.col("token").isNotNull(),
-        F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN)).alias("id")),
+        F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN).cast("bigint")).alias("id")),
     )
     body = (
         looked_up.groupBy(*keys)
         .agg(F.sort_array(F.collect_list(found)).alias("_body"))
         .withColumn("_ids", F.concat(
-            F.array(F.lit(BEGIN)), F.transform("_body", lambda s: s["id"]), F.array(F.lit(END))
+            F.array(F.lit(BEGIN).cast("bigint")), F.transform("_body", lambda s: s["id"]), F.array(F.lit(END).cast("bigint"))
         ))
     )
     gap = F.lit(max_len) - F.size("_ids")
     return body.select(
         *keys,
-        F.concat("_ids", F.array_repeat(F.lit(PAD), gap)).alias("input_ids"),
+        F.concat("_ids", F.array_repeat(F.lit(PAD).cast("bigint"), gap)).alias("input_ids"),
         F.concat(
             F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), gap)
         ).alias("attention_mask"),

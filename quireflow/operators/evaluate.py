@@ -18,8 +18,12 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def confusion_wide(pairs: DataFrame, classes: list) -> DataFrame:
-    """One row per predicted class, one column per actual class; 0 where none."""
-    return pairs.groupBy("predicted").pivot("actual", classes).agg(F.sum("rows")).na.fill(0)
+    """One row per predicted class, one column per actual class; 0 where none. Fails if a
+    pair has an actual class outside the list, so no row can go missing."""
+    known = F.col("actual").isin(classes)
+    checked = pairs.withColumn("actual", F.when(known, F.col("actual")).otherwise(
+        F.raise_error(F.concat(F.lit("class outside the list: "), F.coalesce(F.col("actual").cast("string"), F.lit("null"))))))
+    return checked.groupBy("predicted").pivot("actual", classes).agg(F.sum("rows")).na.fill(0)
 
 
 def confusion_share(pairs: DataFrame) -> DataFrame:
@@ -105,9 +109,13 @@ def accuracy(actual: str, predicted: str) -> Column:
     return F.avg((F.col(actual) == F.col(predicted)).cast("double"))
 
 
-def cross_entropy(probabilities: str, class_id: str) -> Column:
-    """Loss of a row: minus the log of the true class's probability (0-based id)."""
-    return -F.log(F.get(F.col(probabilities), F.col(class_id).cast("int")))
+def cross_entropy(scores: str, class_id: str) -> Column:
+    """Loss of a row from its class scores (logits) and true class (0-based id): the log of
+    the summed exponentials less the true score. Finite also where the probability of the
+    true class is too small for a number."""
+    top = F.array_max(scores)
+    total = F.aggregate(F.transform(scores, lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
+    return F.log(total) + top - F.get(F.col(scores), F.col(class_id).cast("int"))
 
 
 def accuracy_and_loss(
@@ -128,13 +136,20 @@ def accuracy_and_loss(
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: str) -> DataFrame:
-    """``mse, rmse, mae, r2`` and row count per split, in one pass."""
-    err = F.col(actual) - F.col(predicted)
-    n, sse = F.count("*"), F.sum(err * err)
+    """``mse, rmse, mae, r2`` per split over its complete pairs, in one pass.
+
+    ``rows`` counts these pairs and ``incomplete`` the others; ``r2`` is null for a constant
+    target, and all metrics are null without a pair.
+    """
+    whole = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
+    target = F.when(whole, F.col(actual))
+    err = target - F.col(predicted)
+    n, sse = F.count(err), F.sum(err * err)
     return df.groupBy(by).agg(
         n.alias("rows"),
-        (sse / n).alias("mse"),
-        F.sqrt(sse / n).alias("rmse"),
+        F.count(F.when(~whole, 1)).alias("incomplete"),
+        F.try_divide(sse, n).alias("mse"),
+        F.sqrt(F.try_divide(sse, n)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (1 - sse / (n * F.var_pop(actual))).alias("r2"),
+        (1 - F.try_divide(sse, n * F.var_pop(target))).alias("r2"),
     )

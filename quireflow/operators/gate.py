@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quireflow.session import stored
+
 # The comments that go with the two decisions.
 ACCEPTED = "All tests passed!  Moving to {stage}."
 REJECTED = "Tests failed, moving to archived.  Check the job run to see what happened."
@@ -17,39 +22,43 @@ def schema_matches(df: DataFrame, contract: T.StructType) -> bool:
     return all(have.get(f.name) == f.dataType for f in contract.fields)
 
 
-def check_rows(pages: DataFrame, scored: DataFrame, contract: T.StructType, key: str) -> DataFrame:
+def check_rows(
+    pages: DataFrame, scored: DataFrame, contract: T.StructType, keys: Sequence[str]
+) -> DataFrame:
     """One row per check ``(check, ok, detail)`` about a scored set of pages.
 
-    Input and output are counted in one aggregate over their union, so there is no join
-    and the work is one pass over each.
+    Rows are matched by ``keys``: both sides are counted per key in one aggregate over their
+    union, so a lost row is not made up for by a doubled one.
     """
-    tagged = pages.select(F.lit(0).alias("out"), F.lit("").alias("label"), F.lit(0.0).alias("score"))
-    tagged = tagged.unionByName(scored.select(
-        F.lit(1).alias("out"), F.col("pred_label").alias("label"),
-        F.col("pred_score").cast("double").alias("score"),
-    ))
-    is_out = F.col("out") == 1
-
-    def count_if(cond: Column) -> Column:
-        return F.coalesce(F.sum(cond.cast("bigint")), F.lit(0))
-
-    facts = tagged.agg(
-        count_if(~is_out).alias("rows_in"),
-        count_if(is_out).alias("rows_out"),
-        count_if(is_out & F.col("label").isNull()).alias("no_label"),
-        count_if(is_out & ~F.coalesce(F.col("score").between(0.0, 1.0), F.lit(False))).alias("bad_score"),
-    )
+    keys = list(keys)
+    zero = F.lit(0).cast("bigint")
     fits = schema_matches(scored, contract)
+    label = F.col("pred_label") if "pred_label" in scored.columns else F.lit(None).cast("string")
+    number = F.col("pred_score").cast("double") if "pred_score" in scored.columns else F.lit(None).cast("double")
+    tagged = pages.select(*keys, F.lit(1).alias("side"), zero.alias("bare"), zero.alias("wild")).unionByName(
+        scored.select(
+            *keys, F.lit(-1).alias("side"), label.isNull().cast("bigint").alias("bare"),
+            (~F.coalesce(number.between(0.0, 1.0), F.lit(False))).cast("bigint").alias("wild"),
+        ))
+    per_key = tagged.groupBy(*keys).agg(
+        F.sum("side").alias("gap"), F.sum((F.col("side") == -1).cast("bigint")).alias("out"),
+        F.sum("bare").alias("bare"), F.sum("wild").alias("wild"),
+    )
+    facts = per_key.agg(*[F.coalesce(F.sum(c), zero).alias(n) for n, c in {
+        "out": F.col("out"), "lost": F.greatest("gap", zero), "extra": F.greatest(-F.col("gap"), zero),
+        "bare": F.col("bare"), "wild": F.col("wild"),
+    }.items()])
 
     def check(name: str, ok: Column, detail: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), ok.alias("ok"), detail.cast("string").alias("detail"))
 
     return facts.select(F.explode(F.array(
         check("schema", F.lit(fits), F.lit("Schema OK" if fits else "Schema validation failed")),
-        check("not_empty", F.col("rows_out") > 0, F.col("rows_out")),
-        check("rows_kept", F.col("rows_in") == F.col("rows_out"), F.col("rows_in") - F.col("rows_out")),
-        check("labels_present", F.col("no_label") == 0, F.col("no_label")),
-        check("scores_in_range", F.col("bad_score") == 0, F.col("bad_score")),
+        check("not_empty", F.col("out") > 0, F.col("out")),
+        check("rows_kept", F.col("lost") == 0, F.col("lost")),
+        check("no_extra_rows", F.col("extra") == 0, F.col("extra")),
+        check("labels_present", F.col("bare") == 0, F.col("bare")),
+        check("scores_in_range", F.col("wild") == 0, F.col("wild")),
     )).alias("c")).select("c.*")
 
 
@@ -70,3 +79,12 @@ def is_empty(df: DataFrame) -> bool:
 def empty_predictions(spark, contract: T.StructType) -> DataFrame:
     """What a failed scoring run stands for: the prediction columns without rows."""
     return spark.createDataFrame([], contract)
+
+
+def predictions_or_empty(spark, run: Callable[[], DataFrame], contract: T.StructType) -> DataFrame:
+    """The scored rows, stored, or the empty frame if scoring fails or gives none."""
+    try:
+        scored = stored(run(), "scored")
+    except PySparkException:
+        return empty_predictions(spark, contract)
+    return empty_predictions(spark, contract) if is_empty(scored) else scored

@@ -2,71 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, StringIndexerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.operators.ranking import global_index
 
-MAX_CLASSES = 100_000
 
-
-def label_index(
-    df: DataFrame, label: str = "label", max_classes: int | None = MAX_CLASSES
-) -> DataFrame:
+def label_index(df: DataFrame, label: str = "label") -> DataFrame:
     """Dictionary ``(label, label_id, rows)``: most frequent first, ties by name.
 
-    With ``max_classes`` the dictionary is proven small, and the query fails beyond it.
-    ``None`` numbers any count of labels with a distributed sort.
+    Numbered by a distributed sort, so there may be any number of classes.
     """
     counts = (
         df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
         .agg(F.count("*").alias("rows"))
     )
-    order = [F.col("rows").desc(), F.col("label")]
-    if max_classes is None:
-        return global_index(counts, *order, name="_i").select(
-            "label", F.col("_i").cast("int").alias("label_id"), "rows"
-        )
-    place = F.row_number().over(Window.orderBy(*order))
-    guarded = F.when(
-        F.col("_p") > max_classes,
-        F.raise_error(F.lit(f"more than {max_classes} classes; use max_classes=None")),
-    ).otherwise(F.col("_p") - 1)
-    return (
-        counts.orderBy(*order).limit(max_classes + 1)
-        .withColumn("_p", place)
-        .select("label", guarded.cast("int").alias("label_id"), "rows")
+    return global_index(counts, F.col("rows").desc(), F.col("label"), name="_i").select(
+        "label", F.col("_i").cast("int").alias("label_id"), "rows"
     )
 
 
-def attach_label_id(df: DataFrame, dictionary: DataFrame, label: str = "label") -> DataFrame:
+def attach_label_id(
+    df: DataFrame, dictionary: DataFrame, label: str = "label", out: str = "label_id"
+) -> DataFrame:
     """Replace the label by its id; rows with null or unseen labels drop out.
 
-    No hint: the class limit inside ``label_index`` proves the dictionary small, and the
-    planner broadcasts it on that ground. A dictionary without the limit is joined by
-    shuffle, where run-time skew handling splits a hot label.
+    No hint: the dictionary's measured size decides between a broadcast and a shuffle, and
+    run-time skew handling splits a hot label.
     """
-    side = dictionary.select(F.col("label").alias("_name"), "label_id")
+    side = dictionary.select(F.col("label").alias("_name"), F.col("label_id").alias(out))
     return df.join(side, F.col(label) == F.col("_name")).drop("_name", label)
 
 
-def fit_label_indexer(
-    df: DataFrame, label: str = "label", out: str = "label_id", max_classes: int = MAX_CLASSES
-) -> StringIndexerModel:
-    """The dictionary as an ML transformer (same order; unseen and null labels drop out).
-
-    Its names live on the driver, hence the class limit, which fails rather than cuts.
-    """
-    named = label_index(df, label, max_classes).orderBy("label_id").collect()
-    return StringIndexerModel.from_labels(
-        [r["label"] for r in named], inputCol=label, outputCol=out, handleInvalid="skip"
-    )
-
-
-def decode_label(df: DataFrame, model: StringIndexerModel, ids: str, out: str) -> DataFrame:
-    """Names for ids, taken from the very indexer that made them."""
-    return IndexToString(inputCol=ids, outputCol=out, labels=model.labels).transform(df)
+def decode_label(df: DataFrame, dictionary: DataFrame, ids: str, out: str) -> DataFrame:
+    """Names for ids, taken from the very dictionary that made them."""
+    side = dictionary.select(F.col("label").alias(out), F.col("label_id").alias("_id"))
+    return df.join(side, F.col(ids) == F.col("_id"), "left").drop("_id")
 
 
 def class_count(df: DataFrame, label: str = "label") -> DataFrame:

@@ -3,28 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.functions import chunks, hashing, text
+from quireflow.operators.ranking import running_total
+from quireflow.session import stored
 
 
 def bronze(pages: DataFrame, order: Sequence[str] = ("dcn", "page")) -> DataFrame:
     """Pages with text, one per ``(text, label)``; the first in ``order`` survives.
 
-    The group key is a digest, so long texts are neither compared nor used as keys. The
-    ``= 1`` filter becomes a group limit before the exchange: of a group of copies each
-    map task sends one row, however many it holds.
+    Texts do not travel. Digests are grouped with map-side combine to find each group's
+    first page; the keys of all other pages are stored, and an anti-join removes them. Their
+    measured size decides whether they are broadcast. Pages that agree in text, label and
+    ``order`` cannot be told apart and are copies: of these any one is kept.
     """
-    first = Window.partitionBy("_digest", "label").orderBy(*order)
-    return (
-        pages.where(F.col("text").isNotNull())
-        .withColumn("_digest", hashing.text_key(F.col("text")))
-        .withColumn("_place", F.row_number().over(first))
-        .where("_place = 1")
-        .drop("_digest", "_place")
+    keys = ["_digest", "label", *order]
+    kept = pages.where(F.col("text").isNotNull()).withColumn("_digest", hashing.text_key(F.col("text")))
+    counted = kept.groupBy(*keys).agg(F.count("*").alias("_n"))
+    first = kept.groupBy(F.col("_digest").alias("_d"), F.col("label").alias("_l")).agg(
+        F.min(F.struct(*order)).alias("_first"))
+    group = (F.col("_digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
+    copies = stored(
+        counted.join(first, group).withColumn("_lost", ~F.struct(*order).eqNullSafe(F.col("_first")))
+        .where("_lost OR _n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lost"), "copies",
     )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    alone = kept.join(copies, same, "left_anti")
+    repeated = copies.where("NOT _lost")
+    if not repeated.isEmpty():  # rows that repeat whole: keep one of each
+        again = kept.join(repeated, same, "left_semi")
+        alone = alone.unionByName(again.dropDuplicates(keys))
+    return alone.drop("_digest")
 
 
 def silver(
@@ -87,51 +100,29 @@ def gold_shared(
     maxlen: int = 200,
     overlap: int = 50,
     full_split: bool = False,
-    shards: int = 1024,
+    drop_empty: bool = False,
 ) -> DataFrame:
     """Chunks numbered through when several rows share one ``(dcn, page)``.
 
-    Rows of a page are spread over shards by a hash of ``row_id`` and ordered by
-    ``(shard, row_id)``. Each shard counts its own chunks; a page's shard totals (at most
-    ``shards`` small rows) give the starting numbers. A page holding a third of all rows
-    is so worked on by many tasks. ``row_id`` must tell the rows of a page apart.
+    Rows of a page follow each other by ``row_id``, which must tell them apart. Each row's
+    first number comes from a running total of chunk counts over a range-partitioned sort,
+    which cuts through a page of any size. Only keys and counts are sorted; the numbers are
+    joined to the texts once. Give it a stored table: it is read twice.
     """
     keys = ["dcn", "page"]
-    sized = silver_pages.withColumn(
-        "_shard", hashing.stable_bucket(shards, row_id, seed="shard")
-    ).withColumn(
-        "_made",
-        chunks.chunk_count(F.size(text.words(F.col("text_processed"))), maxlen, overlap, full_split),
-    )
-    within = (
-        Window.partitionBy(*keys, "_shard").orderBy(row_id)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        sized.groupBy(*keys, "_shard").agg(F.sum("_made").alias("_total"))
-        .select(
-            F.col("dcn").alias("_dcn"), F.col("page").alias("_page"),
-            F.col("_shard").alias("_s"),
-            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"),
-        )
-    )
-    placed = sized.withColumn("_before", F.coalesce(F.sum("_made").over(within), F.lit(0)))
-    same_shard = (
-        F.col("dcn").eqNullSafe(F.col("_dcn"))
-        & F.col("page").eqNullSafe(F.col("_page"))
-        & (F.col("_shard") == F.col("_s"))
-    )
-    joined = placed.join(starts, same_shard)
+    made = chunks.chunk_count(
+        F.size(text.words(F.col("text_processed"))), maxlen, overlap, full_split, drop_empty)
+    counts = silver_pages.select(*keys, row_id, made.alias("_made"))
+    starts = running_total(counts, keys, [row_id], "_made", "_start").select(
+        *[F.col(k).alias(f"_k_{k}") for k in (*keys, row_id)], "_start")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*keys, row_id)])
+    joined = silver_pages.join(starts, same)
     return (
-        with_chunks(joined, "text_processed", maxlen, overlap, full_split)
-        .select("dcn", "page", row_id, "label", "_start", "_before",
+        with_chunks(joined, "text_processed", maxlen, overlap, full_split, drop_empty)
+        .select("dcn", "page", row_id, "label", "_start",
                 F.posexplode_outer("chunks").alias("_pos", "text_chunk"))
         .where(F.col("_pos").isNotNull())
-        .select("dcn", "page", "text_chunk",
-                (F.col("_start") + F.col("_before") + F.col("_pos") + 1).alias("index"),
+        .select("dcn", "page", "text_chunk", (F.col("_start") + F.col("_pos") + 1).alias("index"),
                 "label", row_id)
     )
 

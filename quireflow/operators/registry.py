@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTIVE_STAGES = ["Staging", "Production"]
-MAX_PARAMS = 999  # group limits reach the map side up to 1000 rows
 
 
 def metric_rows(df: DataFrame, run_id: str, by: str, **metrics: Column) -> DataFrame:
@@ -84,27 +83,22 @@ def apply_transitions(versions: DataFrame, moves: DataFrame) -> DataFrame:
     )
 
 
-def run_params(params: DataFrame, max_params: int = MAX_PARAMS) -> DataFrame:
-    """``(run_id, params)`` with the key/value rows of a run as a map.
+def run_params(params: DataFrame) -> DataFrame:
+    """Parameters as rows ``(run_id, key, value)``, one per run and key (the greatest value)."""
+    return params.groupBy("run_id", "key").agg(F.max("value").alias("value"))
 
-    A map is one value, so a run may have at most ``max_params`` keys; more fail the query.
-    The row number turns into a group limit before the exchange, which keeps a broken run
-    with endless keys from piling up in one task.
-    """
-    once = params.groupBy("run_id", "key").agg(F.max("value").alias("value"))
-    place = F.row_number().over(Window.partitionBy("run_id").orderBy("key"))
-    bounded = once.withColumn("_p", place).where(F.col("_p") <= max_params + 1)
-    whole = F.map_from_entries(F.collect_list(F.struct("key", "value")))
-    too_many = F.raise_error(F.lit(f"a run has more than {max_params} parameters"))
-    return bounded.groupBy("run_id").agg(whole.alias("_all"), F.max("_p").alias("_n")).select(
-        "run_id", F.when(F.col("_n") > max_params, too_many).otherwise(F.col("_all")).alias("params")
-    )
+
+def params_of(params: DataFrame, run_id) -> dict[str, str]:
+    """The parameters of one chosen run, for configuring a job."""
+    rows = run_params(params.where(F.col("run_id") == F.lit(run_id))).collect()
+    return {r["key"]: r["value"] for r in rows}
 
 
 def production_params(versions: DataFrame, params: DataFrame) -> DataFrame:
-    """Parameters behind each model's newest Production version."""
+    """Parameter rows behind each model's newest Production version; a version whose run
+    logged none has one row without key."""
     newest = latest_versions(versions, "Production").select("name", "version", "run_id")
     wanted = params.join(newest.select("run_id").distinct(), "run_id", "left_semi")
     return newest.join(run_params(wanted), "run_id", "left").select(
-        "name", "version", "run_id", "params"
+        "name", "version", "run_id", "key", "value"
     )

@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.functions import predict_batch_udf
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quireflow.contracts import PREDICTION
-from quireflow.operators.classify import TextModel, apply_text_model, page_tokens
+from quireflow.operators.classify import TextModel, apply_text_model
+from quireflow.operators.labels import decode_label
 
 SCORED = T.StructType([
-    T.StructField("label", T.StringType()),
+    T.StructField("class_id", T.IntegerType()),
     T.StructField("score", T.DoubleType()),
-    T.StructField("elapsed_ms", T.LongType()),
+    T.StructField("elapsed_us", T.LongType()),
 ])
 
 
-def score_pages(pages: DataFrame, model: TextModel, source: str = "Request") -> DataFrame:
+def score_pages(pages: DataFrame, model: TextModel, source: str | None = "Request") -> DataFrame:
     """Every page with ``pred_label`` (upper case) and ``pred_score``; works on streams too."""
     return (
         apply_text_model(pages, model, source)
@@ -29,86 +30,74 @@ def score_pages(pages: DataFrame, model: TextModel, source: str = "Request") ->
     )
 
 
-def text_predictor(model: TextModel) -> Callable[[], Callable]:
+def count_predictor(model: TextModel) -> Callable[[], Callable]:
     """A loader for the Python routes: builds the model once per worker.
 
-    The loaded function maps prepared texts (words joined by blanks) to labels and scores.
-    It carries nothing but two arrays and the class names, so workers need no package of
-    ours.
+    The loaded function maps a batch of count vectors to class ids and probabilities by one
+    matrix product. It carries two arrays, so workers need no package of ours.
     """
-    classes = [c.upper() for c in model.classes]
     log_prior = model.bayes.pi.toArray()
     log_weight = model.bayes.theta.toArray().T.copy()
-    digits = model.digits
 
     def load():
-        import hashlib
-
         import numpy as np
 
-        buckets: dict[str, int] = {}
-
-        def bucket(token):
-            found = buckets.get(token)
-            if found is None:
-                found = int(hashlib.md5(token.encode()).hexdigest()[:digits], 16)
-                if len(buckets) < 1_000_000:
-                    buckets[token] = found
-            return found
-
-        def predict(texts):
-            counts = np.zeros((len(texts), log_weight.shape[0]))
-            for i, t in enumerate(texts):
-                if t:
-                    np.add.at(counts[i], [bucket(w) for w in t.split(" ")], 1.0)
-            raw = counts @ log_weight + log_prior
+        def predict(counts):
+            raw = counts.astype("float64") @ log_weight + log_prior
             e = np.exp(raw - raw.max(axis=1, keepdims=True))
             p = e / e.sum(axis=1, keepdims=True)
             best = p.argmax(axis=1)
-            return [classes[b] for b in best], p[np.arange(len(best)), best]
+            return best, p[np.arange(len(best)), best]
 
         return predict
 
     return load
 
 
-def prepared_text(pages: DataFrame, model: TextModel, source: str, out: str = "_text") -> DataFrame:
-    """The text a Python predictor reads; cleaning and chunking stay native."""
-    ready = page_tokens(
-        pages, source, model.maxlen, model.overlap, model.pooling, model.noise_phrases, out="_tokens"
-    )
-    return ready.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
+def count_arrays(features: DataFrame, out: str = "counts") -> DataFrame:
+    """Count vectors as arrays, which is what a Python predictor reads."""
+    return features.withColumn(out, vector_to_array("features", dtype="float32")).drop("features")
+
+
+def with_names(df: DataFrame, model: TextModel, ids: str, out: str) -> DataFrame:
+    """Upper-case class names for predicted ids."""
+    return decode_label(df, model.dictionary, ids, out).withColumn(out, F.upper(out)).drop(ids)
 
 
 def score_by_partition(
     df: DataFrame, keys: Sequence[str], source: str, load: Callable[[], Callable]
 ) -> DataFrame:
-    """``mapInPandas`` scoring: the key and ``Label, Score, ElapsedTime`` for every row.
+    """``mapInPandas`` scoring: the key and ``class_id, Score, ElapsedTime`` for every row.
 
-    The model loads once per task and sees whole Arrow batches; the measured time of a
-    batch is shared out among its rows.
+    The model loads once per task and sees whole Arrow batches. ``ElapsedTime`` is a row's
+    share of its batch's time in microseconds, rounded up.
     """
     keys = list(keys)
     narrow = df.select(*keys, source)
-    schema = T.StructType([narrow.schema[k] for k in keys] + PREDICTION.fields)
+    schema = T.StructType([narrow.schema[k] for k in keys] + [
+        T.StructField("class_id", T.IntegerType()), *PREDICTION.fields[1:]])
 
     def run(batches):
         import time
 
+        import numpy as np
+
         predict = load()
         for batch in batches:
-            start = time.time()
-            names, scores = predict(batch[source].tolist())
-            spent = (time.time() - start) * 1000 / max(len(batch), 1)
+            start = time.perf_counter()
+            if not len(batch):
+                continue
+            ids, scores = predict(np.vstack(batch[source].to_numpy()))
+            spent = (time.perf_counter() - start) * 1e6 / len(batch)
             out = batch[keys].copy()
-            out["Label"], out["Score"], out["ElapsedTime"] = names, scores, int(spent)
+            out["class_id"], out["Score"], out["ElapsedTime"] = ids.astype("int32"), scores.astype("float32"), int(spent) + 1
             yield out
 
     return narrow.mapInPandas(run, schema)
 
 
-def score_column(source: str, load: Callable[[], Callable], batch_size: int = 512) -> Column:
-    """Model as a column function returning ``struct<label, score, elapsed_ms>``."""
+def score_column(source: str, load: Callable[[], Callable], width: int, batch_size: int = 2048) -> Column:
+    """Model as a column function returning ``struct<class_id, score, elapsed_us>``."""
 
     def make_predict():
         import time
@@ -117,33 +106,30 @@ def score_column(source: str, load: Callable[[], Callable], batch_size: int = 51
 
         predict = load()
 
-        def run(texts):
-            start = time.time()
-            names, scores = predict([t for t in texts.reshape(-1)])
-            spent = int((time.time() - start) * 1000 / max(len(texts), 1))
-            return {
-                "label": np.asarray(names, dtype=object),
-                "score": np.asarray(scores, dtype="float64"),
-                "elapsed_ms": np.full(len(names), spent, dtype="int64"),
-            }
+        def run(counts):
+            start = time.perf_counter()
+            ids, scores = predict(counts)
+            spent = int((time.perf_counter() - start) * 1e6 / max(len(ids), 1)) + 1
+            return {"class_id": ids.astype("int32"), "score": scores, "elapsed_us": np.full(len(ids), spent, "int64")}
 
         return run
 
-    return predict_batch_udf(make_predict, return_type=SCORED, batch_size=batch_size)(source)
+    return predict_batch_udf(
+        make_predict, return_type=SCORED, batch_size=batch_size, input_tensor_shapes=[[width]])(source)
 
 
 def unpack_struct(df: DataFrame, column: str = "predictions") -> DataFrame:
+    """``class_id, pred_score, pred_elapsed_time`` (microseconds) from a struct column."""
     return df.select(
-        "*",
-        F.col(f"{column}.label").alias("pred_label"),
-        F.col(f"{column}.score").alias("pred_score"),
-        F.col(f"{column}.elapsed_ms").alias("pred_elapsed_time"),
-    ).drop(column)
+        *[c for c in df.columns if c != column],
+        F.col(f"{column}.class_id").alias("class_id"), F.col(f"{column}.score").alias("pred_score"),
+        F.col(f"{column}.elapsed_us").cast("double").alias("pred_elapsed_time"),
+    )
 
 
-def as_strings(prediction: str) -> Column:
+def as_strings(label: str, score: str, elapsed: str) -> Column:
     """The compatible shape: label, score and time as an array of strings."""
-    return F.array(*[F.col(f"{prediction}.{f.name}").cast("string") for f in SCORED.fields])
+    return F.array(*[F.col(c).cast("string") for c in (label, score, elapsed)])
 
 
 def unpack_strings(df: DataFrame, column: str = "predictions") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.functions import vectors
@@ -39,33 +39,28 @@ def stack(
     )
 
 
-def longest(seq: str, batch: str) -> Column:
-    """Length of the longest sequence of a batch, on each of its rows."""
-    return F.max(F.size(seq)).over(Window.partitionBy(batch))
-
-
 def pad_batches(
     df: DataFrame,
-    order: Sequence[Column | str],
+    keys: Sequence[str],
     seq: str,
     dim: int,
     batch_size: int,
     fill: float = -99.0,
 ) -> DataFrame:
-    """Cut the ordered rows into batches and pad each to its longest sequence.
+    """Cut the rows, ordered by ``keys``, into batches and pad each to its longest sequence.
 
     Every row is kept, also those of a last, smaller batch. Adds ``batch_id``,
-    ``timesteps`` (the padded length), ``steps`` (the real one) and ``padded``.
+    ``timesteps`` (the padded length), ``steps`` (the real one) and ``padded``. The keys must
+    identify a row: only they and the lengths are numbered, and the sequences are joined to
+    the result once. Give it a stored table: it is read twice.
     """
-    numbered = global_index(df, *order, name="_i").withColumn(
+    numbered = global_index(df.select(*keys, F.size(seq).alias("steps")), *keys, name="_i").withColumn(
         "batch_id", F.floor(F.col("_i") / batch_size).cast("bigint")
     )
-    return (
-        numbered.withColumn("timesteps", longest(seq, "batch_id"))
-        .withColumn("steps", F.size(seq))
-        .withColumn("padded", vectors.pad_sequence(F.col(seq), F.col("timesteps"), dim, fill))
-        .drop("_i")
-    )
+    longest = numbered.groupBy("batch_id").agg(F.max("steps").alias("timesteps"))
+    placed = numbered.join(longest, "batch_id").drop("_i")
+    return df.join(placed, list(keys)).withColumn(
+        "padded", vectors.pad_sequence(F.col(seq), F.col("timesteps"), dim, fill))
 
 
 def pool(df: DataFrame, keys: Sequence[str], value: str, order: str | None = None) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.ml.feature import (
     Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quireflow.operators.ranking import global_index
+from quireflow.session import stored
 
 IMPUTER_STRATEGY = {"mean": "mean", "median": "median", "most_frequent": "mode"}
 
@@ -48,12 +48,22 @@ def impute(train: DataFrame, columns: Sequence[str], strategy: str = "mean"):
 def exact_median(df: DataFrame, column: str) -> float | None:
     """Middle value, or the mean of the middle two, whatever the number of rows.
 
-    The imputer's own median is an approximation. This one sorts the column across the
-    cluster and fetches the one or two middle rows.
+    Equal values are counted first, so a value that many rows share is one row. The counts
+    are sorted across the cluster and added up by partition: the middle lies where the rows
+    so far reach it, and two rows at most are fetched.
     """
-    placed = global_index(df.where(F.col(column).isNotNull()).select(column), column, name="_i")
-    n = placed.count()
-    return placed.where(F.col("_i").isin((n - 1) // 2, n // 2)).agg(F.avg(column).alias("m")).first()["m"]
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    placed = stored(counts.orderBy("v").withColumn("p", F.spark_partition_id()), "counts")
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    parts = placed.groupBy("p").agg(F.sum("n").alias("_n")).select(
+        "p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = placed.join(parts, "p").withColumn(
+        "_from", F.col("_start") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    total = placed.agg(F.sum("n")).first()[0] or 0
+    middle = [F.lit((total - 1) // 2), F.lit(total // 2)]
+    holds = [(F.col("_from") <= m) & (m < F.col("_from") + F.col("n")) for m in middle]
+    return ranged.where(holds[0] | holds[1]).agg(F.avg("v").alias("m")).first()["m"]
 
 
 def impute_exact_median(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -93,15 +103,11 @@ def standardise(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> Dat
     })
 
 
-def forest_pipeline(
-    params: Mapping[str, str], numeric: Sequence[str], categorical: Sequence[str], target: str,
-    passthrough: Sequence[str] = (),
-) -> Pipeline:
-    """The retraining pipeline, configured by logged (text) parameters.
-
-    Leaf and split fractions: Spark has a weight fraction per leaf, which is the leaf
-    parameter; the split fraction has no counterpart beyond it.
-    """
+def feature_stages(
+    params: Mapping[str, str], numeric: Sequence[str], categorical: Sequence[str], passthrough: Sequence[str] = (),
+) -> list:
+    """Impute, one-hot and route columns into the vector ``assembled``: numbers first, then
+    the one-hot groups, then what the parameters let through."""
     numeric, categorical = list(numeric), list(categorical)
     rest = list(passthrough) if params.get("preprocessor__remainder") == "passthrough" else []
     imputer = Imputer(
@@ -113,6 +119,18 @@ def forest_pipeline(
         inputCols=numeric + [f"{c}_hot" for c in categorical] + rest,
         outputCol="assembled", handleInvalid="keep",
     )
+    return [imputer, *hot, assemble]
+
+
+def forest_pipeline(
+    params: Mapping[str, str], numeric: Sequence[str], categorical: Sequence[str], target: str,
+    passthrough: Sequence[str] = (),
+) -> Pipeline:
+    """The retraining pipeline, configured by logged (text) parameters.
+
+    Leaf and split fractions: Spark has a weight fraction per leaf, which is the leaf
+    parameter; the split fraction has no counterpart beyond it.
+    """
     # Divides by the sample deviation. ``standardise`` has the population one; the constant
     # factor between them changes no split of a tree.
     scale = StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True)
@@ -120,14 +138,14 @@ def forest_pipeline(
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         numTrees=int(params["regressor__n_estimators"]),
-        maxDepth=min(int(params["regressor__max_depth"]), 30),
+        maxDepth=int(params["regressor__max_depth"]),
         featureSubsetStrategy="all" if features >= 1.0 else str(features),
-        minWeightFractionPerNode=min(float(params["regressor__min_samples_leaf"]), 0.499),
+        minWeightFractionPerNode=float(params["regressor__min_samples_leaf"]),
         bootstrap=as_bool(params["regressor__bootstrap"]),
         impurity="variance",
         seed=int(params["regressor__random_state"]),
     )
-    return Pipeline(stages=[imputer, *hot, assemble, scale, forest])
+    return Pipeline(stages=[*feature_stages(params, numeric, categorical, passthrough), scale, forest])
 
 
 def retrain(

@@ -8,12 +8,13 @@ from quireflow.functions import text, vectors
 from quireflow.operators import embed, prepare, sequences
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import document_pages, load, turn_pages
+from quireflow.session import stored
 
 
 def hashed_embeddings(spark, d):
     """The non-zero entries of every turn's embedding."""
     tokens = text.serving_words(F.col("text"))
-    cells = embed.hashed_embedding(turn_pages(spark, d, heavy=True), tokens).select(
+    cells = embed.hashed_embedding(turn_pages(spark, d), tokens).select(
         "dcn", "page", F.posexplode("embedding").alias("dim", "v")
     )
     return cells.where("v <> 0").select(
@@ -22,17 +23,17 @@ def hashed_embeddings(spark, d):
 
 
 def _turn_chunks(spark, d):
-    return prepare.gold(prepare.silver(turn_pages(spark, d, heavy=True), "all"), 40, 10)
+    return prepare.gold(prepare.silver(turn_pages(spark, d), "all"), 40, 10, full_split=True, drop_empty=True)
 
 
 def stack_chunks(spark, d):
     stacked = sequences.stack(_turn_chunks(spark, d), ["dcn", "page", "label"], "index", "text_chunk", "chunks")
-    return stacked.select("dcn", "page", "label", F.array_join("chunks", " | ").alias("chunks"))
+    return stacked.select("dcn", "page", "label", "segment", F.array_join("chunks", " | ").alias("chunks"))
 
 
 def stack_segments(spark, d):
     """Long pages come out in several ordered pieces."""
-    chunks = prepare.gold(prepare.silver(document_pages(spark, d, heavy=True), "all"), 40, 10)
+    chunks = prepare.gold(prepare.silver(document_pages(spark, d), "all"), 40, 10, full_split=True, drop_empty=True)
     stacked = sequences.stack(chunks, ["dcn", "page"], "index", "index", "parts", segment=8)
     return stacked.select(
         "dcn", "page", "segment", F.array_join(F.col("parts").cast("array<string>"), " ").alias("parts")
@@ -42,11 +43,11 @@ def stack_segments(spark, d):
 def batch_pad(spark, d):
     chunks = _turn_chunks(spark, d)
     vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk")), digits=1)
-    seqs = sequences.stack(vecs, ["dcn", "page"], "index", "embedding")
+    seqs = stored(sequences.stack(vecs, ["dcn", "page"], "index", "embedding"), "sequences")
     padded = sequences.pad_batches(seqs, ["dcn", "page", "segment"], "emb", dim=16, batch_size=16)
     flat = F.flatten("padded")
     return padded.select(
-        "dcn", "page", "batch_id", "timesteps", "steps", F.size(flat).alias("cells"),
+        "dcn", "page", "segment", "batch_id", "timesteps", "steps", F.size(flat).alias("cells"),
         F.size(F.filter(flat, lambda x: x == -99)).alias("fill_cells"),
     )
 
@@ -96,7 +97,7 @@ QUERIES = {
 }
 
 
-def _embedding_sql(source: str, keys: str, tokens: str, digits: int) -> str:
+def embedding_sql(source: str, keys: str, tokens: str, digits: int) -> str:
     """Rows ``keys, dim, v`` for the non-zero entries."""
     return f"""(SELECT {keys}, dim, (c / sqrt(sum(c * c) OVER (PARTITION BY {keys}))::DOUBLE)::FLOAT AS v
       FROM (SELECT {keys}, ('0x' || substr(md5(tk), 1, {digits}))::INT AS dim, count(*)::DOUBLE AS c
@@ -105,37 +106,42 @@ def _embedding_sql(source: str, keys: str, tokens: str, digits: int) -> str:
 
 def _turn_chunks_sql() -> str:
     silver = f"(SELECT dcn, page, label, {q.clean_all('text')} AS text_processed FROM {q.TURN_PAGES})"
-    return q.chunk_rows(silver, "text_processed", 40, 10)
+    return q.chunk_rows(silver, "text_processed", 40, 10, True, drop_empty=True)
 
 
 def _turn_vectors_sql() -> str:
-    return _embedding_sql(_turn_chunks_sql(), 'dcn, page, "index"', q.tokens("text_chunk", False), 1)
+    return embedding_sql(_turn_chunks_sql(), 'dcn, page, "index"', q.tokens("text_chunk", False), 1)
+
+
+SEGMENT_SQL = f'((("index" - 1) // {sequences.SEGMENT})::INT)'
 
 
 def stacked_sql() -> str:
     """Chunk counts and cell totals of the stacked turn embeddings."""
-    return f"""SELECT dcn, page, 0::INT AS segment, chunks, round(coalesce(total, 0), 5) AS total
-      FROM (SELECT dcn, page, count(*)::INT AS chunks FROM {_turn_chunks_sql()} GROUP BY ALL)
-      LEFT JOIN (SELECT dcn, page, sum(v::DOUBLE) AS total FROM {_turn_vectors_sql()} GROUP BY ALL) USING (dcn, page)"""
+    return f"""SELECT dcn, page, segment, chunks, round(coalesce(total, 0), 5) AS total
+      FROM (SELECT dcn, page, {SEGMENT_SQL} AS segment, count(*)::INT AS chunks FROM {_turn_chunks_sql()} GROUP BY ALL)
+      LEFT JOIN (SELECT dcn, page, {SEGMENT_SQL} AS segment, sum(v::DOUBLE) AS total FROM {_turn_vectors_sql()} GROUP BY ALL)
+      USING (dcn, page, segment)"""
 
 
 def oracles() -> dict[str, str]:
     silver = "(SELECT dcn, page, label, {} AS text_processed FROM {})"
     turn_chunks = _turn_chunks_sql()
-    doc_chunks = q.chunk_rows(silver.format(q.clean_all("text"), q.DOC_PAGES), "text_processed", 40, 10)
+    doc_chunks = q.chunk_rows(silver.format(q.clean_all("text"), q.DOC_PAGES), "text_processed", 40, 10, True, drop_empty=True)
     vecs = _turn_vectors_sql()
     sizes = f"(SELECT dcn, page, count(*)::INT AS steps FROM {turn_chunks} GROUP BY ALL)"
+    pieces = f"(SELECT dcn, page, {SEGMENT_SQL} AS segment, count(*)::INT AS steps FROM {turn_chunks} GROUP BY ALL)"
     return {
         "hashed_embeddings": f"""SELECT dcn, page, dim, round(v::DOUBLE, 6) AS value FROM
-          {_embedding_sql(q.TURN_PAGES, 'dcn, page', q.tokens(q.clean_serving('text'), False), 2)}""",
-        "stack_chunks": f"""SELECT dcn, page, label, string_agg(text_chunk, ' | ' ORDER BY "index") AS chunks
+          {embedding_sql(q.TURN_PAGES, 'dcn, page', q.tokens(q.clean_serving('text'), False), 2)}""",
+        "stack_chunks": f"""SELECT dcn, page, label, {SEGMENT_SQL} AS segment, string_agg(text_chunk, ' | ' ORDER BY "index") AS chunks
           FROM {turn_chunks} GROUP BY ALL""",
         "stack_segments": f"""SELECT dcn, page, ((("index" - 1) // 8)::INT) AS segment,
           string_agg("index"::VARCHAR, ' ' ORDER BY "index") AS parts FROM {doc_chunks} GROUP BY ALL""",
         # Pages without tokens have all-zero vectors, which are not filling.
-        "batch_pad": f"""SELECT dcn, page, batch_id, timesteps, steps, (timesteps * 16)::INT AS cells,
+        "batch_pad": f"""SELECT dcn, page, segment, batch_id, timesteps, steps, (timesteps * 16)::INT AS cells,
           ((timesteps - steps) * 16)::INT AS fill_cells FROM (SELECT *, max(steps) OVER (PARTITION BY batch_id) AS timesteps
-          FROM (SELECT *, (row_number() OVER (ORDER BY dcn, page) - 1) // 16 AS batch_id FROM {sizes}))""",
+          FROM (SELECT *, (row_number() OVER (ORDER BY dcn, page, segment) - 1) // 16 AS batch_id FROM {pieces}))""",
         "pooled_embeddings": """SELECT label, count(*) AS vectors, dim, round(avg(v), 6) AS mean, round(max(v), 6) AS max
           FROM (SELECT label, unnest(range(64))::INT AS dim, unnest(embedding)::DOUBLE AS v FROM embeddings)
           GROUP BY label, dim""",

@@ -8,7 +8,11 @@ from quireflow.functions import text
 from quireflow.operators import encode, labels, prepare, splits
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import NOISE, document_pages, load, turn_pages
-from quireflow.session import frozen
+from quireflow.session import stored
+
+
+# A phrase with blanks of its own, which meet those at the ends of a paragraph.
+STAMP = (" of the ", " and ")
 
 
 def bronze_dedup(spark, d):
@@ -17,13 +21,13 @@ def bronze_dedup(spark, d):
 
 def _silver(mode, noise=()):
     def run(spark, d):
-        return prepare.silver(document_pages(spark, d, heavy=True), mode, noise)
+        return prepare.silver(document_pages(spark, d), mode, noise)
     return run
 
 
 def serving_clean(spark, d):
     cleaned = text.clean_serving(F.col("text"), NOISE)
-    return document_pages(spark, d, heavy=True).select("dcn", "page", cleaned.alias("text_processed"))
+    return document_pages(spark, d).select("dcn", "page", cleaned.alias("text_processed"))
 
 
 STEPS = {
@@ -40,7 +44,7 @@ STEPS = {
 
 def cleaning_steps(spark, d):
     """Each cleaning step on its own, on the raw texts, as digests."""
-    pages = document_pages(spark, d, heavy=True)
+    pages = document_pages(spark, d)
     return pages.select("dcn", "page", *[
         F.md5(step(F.col("text")).cast("binary")).alias(name) for name, step in STEPS.items()
     ])
@@ -86,19 +90,18 @@ def _gold(maxlen, overlap, full):
 
 def gold_shared_pages(spark, d):
     """Chunks numbered through per (source, language), where one such page may be huge."""
-    pages = document_pages(spark, d, heavy=True).select(
+    pages = document_pages(spark, d).select(
         "text", "label", F.col("label").alias("dcn"), F.lit(1.0).alias("page"),
         F.col("page").cast("bigint").alias("doc_id"),
     )
-    # Stored like a Silver table, as the numbering reads it twice.
-    cleaned = frozen(prepare.silver(pages, "all", keep=["doc_id"]))
-    return prepare.gold_shared(cleaned, "doc_id", 200, 50)
+    cleaned = stored(prepare.silver(pages, "all", keep=["doc_id"]), "silver")
+    return prepare.gold_shared(cleaned, "doc_id", 200, 50, full_split=True, drop_empty=True)
 
 
 def chunk_stats_by_label(spark, d):
     """Flagship: dedup, clean, chunk, and count per label."""
     pages = prepare.silver(prepare.bronze(document_pages(spark, d)), "all")
-    return prepare.chunk_stats(prepare.gold(pages, 200, 50), "label")
+    return prepare.chunk_stats(prepare.gold(pages, 200, 50, full_split=True, drop_empty=True), "label")
 
 
 def label_index(spark, d):
@@ -106,9 +109,9 @@ def label_index(spark, d):
 
 
 def label_index_large(spark, d):
-    """The distributed form, on a label with many values."""
+    """On a label with many values."""
     pages = load(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("label"))
-    return labels.label_index(pages, max_classes=None)
+    return labels.label_index(pages)
 
 
 def label_attach(spark, d):
@@ -118,10 +121,10 @@ def label_attach(spark, d):
 
 def label_decode_roundtrip(spark, d):
     pages = document_pages(spark, d).select("dcn", "page", "label")
-    model = labels.fit_label_indexer(pages)
-    coded = model.transform(pages)
-    return labels.decode_label(coded, model, "label_id", "decoded").select(
-        "dcn", "page", "label", F.col("label_id").cast("int").alias("label_id"), "decoded"
+    dictionary = labels.label_index(pages)
+    coded = labels.attach_label_id(pages.withColumn("name", F.col("label")), dictionary)
+    return labels.decode_label(coded, dictionary, "label_id", "decoded").select(
+        "dcn", "page", F.col("name").alias("label"), "label_id", "decoded"
     )
 
 
@@ -145,13 +148,14 @@ def _turn_tokens():
 
 
 def vocabulary(spark, d):
-    return encode.vocabulary(turn_pages(spark, d, heavy=True), _turn_tokens())
+    return encode.vocabulary(turn_pages(spark, d), _turn_tokens())
 
 
 def encode_fixed_len(spark, d):
+    """Over the dictionary of the training split, so that other turns have unknown tokens."""
     pages = turn_pages(spark, d)
-    # Fewer entries than distinct tokens, so that some are unknown.
-    vocab = encode.vocabulary(pages, _turn_tokens(), size=500)
+    training = splits.with_split(pages, "dcn", "page").where("split = 'train'")
+    vocab = encode.vocabulary(training, _turn_tokens())
     coded = encode.encode(pages, ["dcn", "page"], _turn_tokens(), vocab, 64)
     return coded.select(
         "dcn", "page",
@@ -165,6 +169,7 @@ QUERIES = {
     "silver_clean_last": _silver("last"),
     "silver_clean_all": _silver("all"),
     "silver_clean_noise": _silver("all", NOISE),
+    "silver_clean_stamp": _silver("all", STAMP),
     "serving_clean": serving_clean,
     "sentence_split": sentence_split,
     "cleaning_steps": cleaning_steps,
@@ -193,30 +198,32 @@ def _index_sql(source: str, label: str) -> str:
       count(*) AS "rows" FROM {source} GROUP BY {label}"""
 
 
-def _vocab_sql(size: int) -> str:
-    return f"""(SELECT token, (row_number() OVER (ORDER BY uses DESC, token) + 3)::INT AS token_id, uses
+def _vocab_sql(where: str = "true") -> str:
+    return f"""(SELECT token, row_number() OVER (ORDER BY uses DESC, token) + 3 AS token_id, uses
       FROM (SELECT token, count(*) AS uses FROM (SELECT unnest({q.tokens(q.clean_serving('text'), False)}) AS token
-        FROM {q.TURN_PAGES}) GROUP BY token ORDER BY uses DESC, token LIMIT {size}))"""
+        FROM {q.TURN_PAGES} WHERE {where}) GROUP BY token))"""
 
 
 def oracles() -> dict[str, str]:
     clean_all = q.clean_all("text")
     silver_all = f"(SELECT dcn, page, label, {clean_all} AS text_processed FROM {q.BRONZE})"
     chunks = q.chunk_rows(silver_all, "text_processed", 200, 50)
-    shared = f"""(SELECT lang AS dcn, 1.0::DOUBLE AS page, lang AS label, doc_id,
-        {q.bucket(1024, 'doc_id', seed='shard')} AS shard, {clean_all} AS text_processed FROM documents)"""
-    shared_chunks = q.chunk_rows(shared, "text_processed", 200, 50, keep="dcn, page, label, doc_id, shard")
+    shared = f"""(SELECT lang AS dcn, 1.0::DOUBLE AS page, lang AS label, doc_id, {clean_all} AS text_processed FROM documents)"""
+    shared_chunks = q.chunk_rows(shared, "text_processed", 200, 50, True, "dcn, page, label, doc_id", drop_empty=True)
+    full = q.chunk_rows(silver_all, "text_processed", 200, 50, True, drop_empty=True)
+    training = f"{q.bucket(1000, 'dcn', 'page')} < 900"
     coded = f"""(SELECT dcn, page, list(coalesce(v.token_id, 1) ORDER BY pos) FILTER (pos IS NOT NULL) AS body
       FROM (SELECT dcn, page, p.token, p.pos FROM {q.TURN_PAGES} t LEFT JOIN
         (SELECT dcn, page, unnest(w) AS token, unnest(range(len(w))) AS pos FROM
           (SELECT dcn, page, ({q.tokens(q.clean_serving('text'), False)})[1:62] AS w FROM {q.TURN_PAGES})) p
-        USING (dcn, page)) x LEFT JOIN {_vocab_sql(500)} v USING (token) GROUP BY dcn, page)"""
+        USING (dcn, page)) x LEFT JOIN {_vocab_sql(training)} v USING (token) GROUP BY dcn, page)"""
     silver = "SELECT dcn, page, {} AS text_processed, label FROM " + q.DOC_PAGES
     return {
         "bronze_dedup": f"SELECT text, label, dcn, page FROM {q.BRONZE}",
         "silver_clean_last": silver.format(q.clean_last("text")),
         "silver_clean_all": silver.format(clean_all),
         "silver_clean_noise": silver.format(q.clean_all("text", NOISE)),
+        "silver_clean_stamp": silver.format(q.clean_all("text", STAMP)),
         "serving_clean": f"SELECT dcn, page, {q.clean_serving('text', NOISE)} AS text_processed FROM {q.DOC_PAGES}",
         "sentence_split": f"""SELECT dcn, page, unnest(range(len(ss)))::INT AS pos, unnest(ss) AS sentence
           FROM (SELECT dcn, page, string_split(regexp_replace(text, '([.!?]){q.BLANK}+', '\\1' || chr(1), 'g'), chr(1)) AS ss
@@ -240,9 +247,9 @@ def oracles() -> dict[str, str]:
         "gold_chunks_full": f"""SELECT dcn, page, text_chunk, "index", label
           FROM {q.chunk_rows(silver_all, 'text_processed', 40, 10, True)}""",
         "gold_shared_pages": f"""SELECT dcn, page, text_chunk, row_number() OVER
-          (PARTITION BY dcn, page ORDER BY shard, doc_id, "index") AS "index", label, doc_id FROM {shared_chunks}""",
+          (PARTITION BY dcn, page ORDER BY doc_id, "index") AS "index", label, doc_id FROM {shared_chunks}""",
         "chunk_stats_by_label": f"""SELECT label, count(*) AS chunks, sum(("index" = 1)::INT)::BIGINT AS pages,
-          sum(len({q.tokens('text_chunk', False)}))::BIGINT AS words FROM {chunks} GROUP BY label""",
+          sum(len({q.tokens('text_chunk', False)}))::BIGINT AS words FROM {full} GROUP BY label""",
         "label_index": _index_sql("documents", "lang"),
         "label_index_large": _index_sql("orders", "o_custkey::VARCHAR"),
         "label_attach": f"""SELECT dcn, page, label_id FROM {q.TURN_PAGES}
@@ -254,7 +261,7 @@ def oracles() -> dict[str, str]:
           {q.split_name(q.bucket(1000, 'conv_id', 'turn'), splits.CUTS_90_5_5)} AS split FROM conversations""",
         "split_60_20_20": f"""SELECT p_partkey, p_retailprice,
           {q.split_name(q.bucket(1000, 'p_partkey', seed='600418151'), splits.CUTS_60_20_20)} AS split FROM part""",
-        "vocabulary": f"SELECT * FROM {_vocab_sql(encode.VOCABULARY_SIZE)}",
+        "vocabulary": f"SELECT * FROM {_vocab_sql()}",
         "encode_fixed_len": f"""SELECT dcn, page,
           array_to_string(list_resize(ids, 64, 0), ' ') AS input_ids,
           array_to_string(list_resize(list_transform(ids, lambda x: 1), 64, 0), ' ') AS attention_mask

@@ -60,14 +60,15 @@ def clean_serving(text: str, noise=()) -> str:
 
 
 def chunk_rows(source: str, text: str, maxlen: int, overlap: int, full: bool = False,
-               keep: str = "dcn, page, label") -> str:
-    """Rows ``keep, text_chunk, index`` for every window of every text."""
+               keep: str = "dcn, page, label", drop_empty: bool = False) -> str:
+    """Rows ``keep, text_chunk, index`` for every window of every text. Only the last
+    window of a text can be empty."""
     stride, more = maxlen - overlap, 1 if full else 0
     return f"""(SELECT {keep}, {joined(f"w[i * {stride} + 1 : i * {stride} + {maxlen}]")} AS text_chunk,
       (i + 1)::INT AS "index"
       FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *,
         CASE WHEN len(w) // {stride} > 0 THEN len(w) // {stride} + {more} ELSE 1 END AS n
-        FROM (SELECT *, {tokens(text, drop=False)} AS w FROM {source}))))"""
+        FROM (SELECT *, {tokens(text, drop=False)} AS w FROM {source}))){" WHERE i * " + str(stride) + " < len(w)" if drop_empty else ""})"""
 
 
 DOC_PAGES = """(SELECT text, lang AS label, source AS dcn, doc_id::DOUBLE AS page FROM documents)"""
@@ -89,7 +90,7 @@ def split_name(b: str, cuts) -> str:
 def bayes(source: str, train: str = "true", digits: int = 2) -> str:
     """CTEs that train and apply the hashed Bayes model on page records; the last one,
     ``scored``, has ``dcn, page, label, predicted, score``."""
-    toks = """flatten(list_transform(range(CASE WHEN len(w) // 150 > 0 THEN len(w) // 150 ELSE 1 END),
+    toks = """flatten(list_transform(range(len(w) // 150 + 1),
       lambda ci: w[ci * 150 + 1 : ci * 150 + 200]))"""
     cells = 16**digits
     return f"""base AS (SELECT dcn, page, label, {tokens(clean_serving("text"), drop=False)} AS w,

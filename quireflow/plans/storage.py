@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quireflow import contracts
@@ -12,7 +14,7 @@ from quireflow.operators import classify, embed, prepare, score, sequences
 from quireflow.plans import features as feature_queries
 from quireflow.plans import sqltext as q
 from quireflow.plans.tables import document_pages, load, turn_pages
-from quireflow.session import fresh_dir
+from quireflow.session import fresh_dir, stored
 from quireflow.sources import csv_pages, feature_store, tables
 from quireflow.streaming import pages as streams
 
@@ -45,7 +47,16 @@ def sample_files(spark, d):
         .csv(source)
     )
     sampled = csv_pages.sample_files(spark, [f"{source}/*/*.csv"], out, contracts.STREAMED_PAGE)
-    return sampled.select("ID", "Label_In", hashing.text_key(F.col("Request")).alias("digest"))
+    part = F.regexp_extract("file", "part_([0-9]+)", 1).cast("bigint")
+    return sampled.select(
+        "ID", "Label_In", hashing.text_key(F.col("Request")).alias("digest"), part.alias("part"),
+        F.approx_count_distinct("file").over(Window.partitionBy(part)).alias("folders"))
+
+
+def _drop(spark, name, before):
+    """Back to the database before; the scratch one goes."""
+    spark.catalog.setCurrentDatabase(before)
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 def table_lifecycle(spark, d):
@@ -54,23 +65,20 @@ def table_lifecycle(spark, d):
     before = spark.catalog.currentDatabase()
     try:
         tables.use_database(spark, name, fresh_dir(spark, "db"))
-        stored = tables.save_table(prepare.bronze(document_pages(spark, d)), f"{name}.bronze")
-        cleaned = tables.save_table(prepare.silver(stored), f"{name}.silver")
+        kept = tables.save_table(prepare.bronze(document_pages(spark, d)), f"{name}.bronze")
+        cleaned = tables.save_table(prepare.silver(kept), f"{name}.silver")
         path = fresh_dir(spark, "predictions")
         scored = cleaned.select("dcn", "page", F.upper("label").alias("pred_label"))
         tables.append_predictions(scored, f"{name}.predictions", path)
         tables.append_predictions(scored, f"{name}.predictions", path)
         tables.replace_external(spark, f"{name}.replaced", path)
+        counts = [
+            tables.read_table(spark, f"{name}.{t}").agg(F.lit(t).alias("table"), F.count("*").alias("rows"))
+            for t in ("bronze", "silver", "predictions", "replaced")
+        ]
+        return stored(reduce(DataFrame.unionByName, counts), "counts")
     finally:
-        spark.catalog.setCurrentDatabase(before)
-    counts = [
-        tables.read_table(spark, f"{name}.{t}").agg(F.lit(t).alias("table"), F.count("*").alias("rows"))
-        for t in ("bronze", "silver", "predictions", "replaced")
-    ]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+        _drop(spark, name, before)
 
 
 def feature_upsert(spark, d):
@@ -92,30 +100,31 @@ def feature_upsert(spark, d):
             F.concat(F.lit("copy-"), "dcn").alias("dcn"), "page",
             F.length("text").alias("chars"), F.lit("merged").alias("origin"),
         )
-        return feature_store.merge_features(changed.unionByName(added), f"{name}.turns", keys, buckets=8)
+        updates = stored(changed.unionByName(added), "updates")
+        return stored(feature_store.merge_features(updates, f"{name}.turns", keys, buckets=8), "merged")
     finally:
-        spark.catalog.setCurrentDatabase(before)
+        _drop(spark, name, before)
 
 
 def feature_table_embeddings(spark, d):
     """Stacked chunk embeddings of all turns, stored under (dcn, page, segment)."""
     name = f"quire_{uuid.uuid4().hex[:8]}"
     before = spark.catalog.currentDatabase()
-    chunks = prepare.gold(prepare.silver(turn_pages(spark, d, heavy=True), "all"), 40, 10)
+    chunks = prepare.gold(prepare.silver(turn_pages(spark, d), "all"), 40, 10, full_split=True, drop_empty=True)
     vecs = embed.hashed_embedding(chunks, text.words(F.col("text_chunk")), digits=1)
     stacked = sequences.stack(vecs, ["dcn", "page"], "index", "embedding")
     try:
         tables.use_database(spark, name, fresh_dir(spark, "embeddings"))
-        stored = feature_store.create_feature_table(
+        kept = feature_store.create_feature_table(
             stacked, f"{name}.emb", ["dcn", "page", "segment"], buckets=8
         )
+        cells = F.transform(F.flatten("emb"), lambda x: x.cast("double"))
+        return stored(kept.select(
+            "dcn", "page", "segment", F.size("emb").alias("chunks"),
+            F.round(vectors.array_total(cells), 5).alias("total"),
+        ), "totals")
     finally:
-        spark.catalog.setCurrentDatabase(before)
-    cells = F.transform(F.flatten("emb"), lambda x: x.cast("double"))
-    return stored.select(
-        "dcn", "page", "segment", F.size("emb").alias("chunks"),
-        F.round(vectors.array_total(cells), 5).alias("total"),
-    )
+        _drop(spark, name, before)
 
 
 def _scored_stream(spark, d):
@@ -126,10 +135,13 @@ def _scored_stream(spark, d):
         F.col("text").alias("Request"), F.col("label").alias("Label_In"),
         F.concat_ws("/", "dcn", F.col("page").cast("bigint")).alias("ID"), F.lit("turn").alias("Type"),
     )
-    csv_pages.write_pages(streamed.repartition(4), source)
-    pages = streams.read_csv_stream(spark, f"{source}/*.csv", contracts.STREAMED_PAGE)
+    csv_pages.write_pages(streamed, source)
+    # A multi-line file is one task: the work after it is spread over the cores.
+    pages = streams.read_csv_stream(
+        spark, f"{source}/*.csv", contracts.STREAMED_PAGE, partitions=spark.sparkContext.defaultParallelism)
     query = streams.score_stream(pages, lambda p: score.score_pages(p, model), sink, marks)
     streams.run_to_end(query)
+    streams.stop_all(spark)
     return spark.read.parquet(sink)
 
 
@@ -150,7 +162,8 @@ def stream_medallion(spark, d):
     streams.run_to_end(streams.silver_stream(
         spark, bronze, contracts.PAGE, silver, f"{marks}/s", paragraphs="all"))
     cleaned = spark.read.parquet(silver)
-    streams.run_to_end(streams.gold_stream(spark, silver, cleaned.schema, gold, f"{marks}/g"))
+    streams.run_to_end(streams.gold_stream(
+        spark, silver, cleaned.schema, gold, f"{marks}/g", full_split=True, drop_empty=True))
     return prepare.chunk_stats(spark.read.parquet(gold), "label")
 
 
@@ -166,7 +179,8 @@ def oracles() -> dict[str, str]:
     silver_all = f"(SELECT dcn, page, label, {q.clean_all('text')} AS text_processed FROM {q.BRONZE})"
     return {
         "csv_roundtrip": f"SELECT dcn, page, label, sha256(text) AS digest FROM {q.DOC_PAGES}",
-        "sample_files": """SELECT doc_id::VARCHAR AS "ID", lang AS "Label_In", sha256(text) AS digest FROM
+        "sample_files": """SELECT doc_id::VARCHAR AS "ID", lang AS "Label_In", sha256(text) AS digest,
+          doc_id // 100 AS part, 1::BIGINT AS folders FROM
           (SELECT *, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 50""",
         "table_lifecycle": f"""SELECT unnest(['bronze', 'silver', 'predictions', 'replaced']) AS "table",
           unnest([n, n, 2 * n, 2 * n])::BIGINT AS "rows" FROM (SELECT count(*) AS n FROM {q.BRONZE})""",
@@ -180,5 +194,5 @@ def oracles() -> dict[str, str]:
           upper(predicted) AS pred_label, round(score, 6) AS pred_score FROM scored""",
         "stream_medallion": f"""SELECT label, count(*) AS chunks, sum(("index" = 1)::INT)::BIGINT AS pages,
           sum(len({q.tokens('text_chunk', False)}))::BIGINT AS words
-          FROM {q.chunk_rows(silver_all, 'text_processed', 200, 50)} GROUP BY label""",
+          FROM {q.chunk_rows(silver_all, 'text_processed', 200, 50, True, drop_empty=True)} GROUP BY label""",
     }

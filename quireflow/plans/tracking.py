@@ -60,18 +60,12 @@ def _params(spark, d):
     )
 
 
-def _flat(column):
-    entries = F.array_sort(F.map_entries(column))
-    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
-
-
 def params_map(spark, d):
-    return registry.run_params(_params(spark, d)).select("run_id", _flat("params").alias("params"))
+    return registry.run_params(_params(spark, d))
 
 
 def production_params(spark, d):
-    found = registry.production_params(versions(spark, d), _params(spark, d))
-    return found.select("name", "version", "run_id", _flat("params").alias("params"))
+    return registry.production_params(versions(spark, d), _params(spark, d))
 
 
 def column_list_parse(spark, d):
@@ -86,10 +80,6 @@ def column_list_parse(spark, d):
     )
 
 
-def select_from_params(spark, d):
-    return tabular.select_named(load(spark, d, "part"), "['p_size', 'p_retailprice']", ["p_partkey"])
-
-
 def stray_headers(spark, d):
     """Rows that repeat the column's own name, here ``view``, drop out."""
     kinds = load(spark, d, "events").select("event_id", F.col("event_type").alias("view"))
@@ -100,7 +90,7 @@ QUERIES = {
     f.__name__: f for f in (
         best_run, best_run_per_experiment, latest_version, latest_production, ready_versions,
         stage_transitions, parse_events, route_events, params_map, production_params,
-        column_list_parse, select_from_params, stray_headers,
+        column_list_parse, stray_headers,
     )
 }
 
@@ -108,9 +98,8 @@ QUERIES = {
 def oracles() -> dict[str, str]:
     latest = """SELECT name, arg_max(version, version::BIGINT) AS version, arg_max(stage, version::BIGINT) AS stage,
       arg_max(status, version::BIGINT) AS status, arg_max(run_id, version::BIGINT) AS run_id FROM {} GROUP BY name"""
-    params = """(SELECT run_id, string_agg(key || '=' || value, ',' ORDER BY key) AS params
-      FROM (SELECT l_orderkey AS run_id, 'p' || l_linenumber AS key, max(l_quantity::INT::VARCHAR) AS value
-        FROM lineitem GROUP BY ALL) GROUP BY run_id)"""
+    params = """(SELECT l_orderkey AS run_id, 'p' || l_linenumber AS key, max(l_quantity::INT::VARCHAR) AS value
+      FROM lineitem GROUP BY ALL)"""
     production = latest.format(f"(SELECT * FROM {VERSIONS_SQL} WHERE stage = 'Production')")
     k = "json_extract_string(props, '$.k')"
     return {
@@ -140,10 +129,9 @@ def oracles() -> dict[str, str]:
           CASE event_type WHEN 'error' THEN 'no event' WHEN 'click' THEN 'other event' WHEN 'view' THEN 'no stage'
             ELSE 'accepted' END AS reason FROM events""",
         "params_map": f"SELECT * FROM {params}",
-        "production_params": f"""SELECT p.name, p.version, p.run_id, x.params FROM ({production}) p
+        "production_params": f"""SELECT p.name, p.version, p.run_id, x.key, x.value FROM ({production}) p
           LEFT JOIN {params} x USING (run_id)""",
         "column_list_parse": """SELECT o_orderkey, 2::INT AS n, o_orderstatus AS first_name,
           o_orderpriority AS second_name FROM orders""",
-        "select_from_params": "SELECT p_partkey, p_size, p_retailprice FROM part",
         "stray_headers": "SELECT event_id, event_type AS \"view\" FROM events WHERE event_type <> 'view'",
     }

@@ -1,7 +1,8 @@
-"""Session helpers: a tuned local session, shared scratch folders, lineage cuts."""
+"""Session helpers: a tuned session, shared scratch folders, stored intermediate tables."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,10 @@ def get_spark(app: str = "quireflow", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # A scan is cut into a task per core at least, small tables into fewer.
+        "spark.sql.files.openCostInBytes": "131072",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -43,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="quireflow-", dir="/tmp"))
     return sc.getCheckpointDir()
@@ -54,19 +59,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a small scan before heavy row-local work.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back.
 
-    A scan of few splits would leave most cores idle, so its rows are dealt out evenly. A
-    scan with splits for more than half of the cores stays as it is: for large inputs this
-    adds no exchange. Give it a plain scan; its plan is asked for the number of splits.
+    Cuts the lineage like a checkpoint and keeps columns, statistics and pruning; later
+    plans read the same rows even after executors are lost.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
-def frozen(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later plans read the same rows in the same partitions, even
-    after executors are lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

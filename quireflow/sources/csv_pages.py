@@ -46,14 +46,19 @@ def sample_files(
     """The first ``rows`` rows of every input file, written to one folder per file.
 
     One job for all files: a per-file row number in reading order, which Spark limits
-    before the exchange. Returns the sampled rows with their file name.
+    before the exchange. A folder is named by the last two steps of its file's path and a
+    digest of the whole path, so files of equal names in different folders stay apart.
+    Returns the sampled rows with their ``file``.
     """
     pages = drop_stray_headers(read_pages(spark, paths, schema, header=True), column)
     pages = pages.withColumns({"_path": F.input_file_name(), "_at": F.monotonically_increasing_id()})
     place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
     sampled = (
         pages.withColumn("_n", place).where(F.col("_n") <= rows)
-        .withColumn("file", F.element_at(F.split("_path", "/"), -1)).drop("_n", "_at", "_path")
+        .withColumn("file", F.concat_ws(
+            "-", F.regexp_replace(F.substring_index("_path", "/", -2), "[^A-Za-z0-9.]+", "_"),
+            F.substring(F.md5("_path"), 1, 12)))
+        .drop("_n", "_at", "_path")
     )
     sampled.write.mode("overwrite").partitionBy("file").options(**_WRITE, header="true").csv(out)
     with_file = T.StructType([*schema.fields, T.StructField("file", T.StringType())])

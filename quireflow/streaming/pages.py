@@ -1,11 +1,12 @@
 """Pages as streams: scoring and the Bronze, Silver, Gold tables step by step.
 
 The transforms are the batch ones. Silver, Gold and scoring are stateless and use the
-exactly-once file sink; Bronze keeps its keys in its own table.
+exactly-once file sink; Bronze keeps its keys in the stream's state.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,22 +16,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quireflow.functions import hashing
 from quireflow.operators import prepare
+from quireflow.session import stored
 from quireflow.sources.csv_pages import read_options
 
-MAX_BROADCAST_KEYS = 500_000  # about 50 MB of digests
-
 
 def read_csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1,
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """File source for multi-line CSV with header. ``partitions`` spreads each batch when
     the work per row outweighs the exchange; a multi-line file is one task otherwise."""
-    pages = (
-        spark.readStream.schema(schema)
-        .options(**read_options(header=True), maxFilesPerTrigger=files_per_trigger)
-        .csv(path)
-    )
+    limit = {"maxFilesPerTrigger": files_per_trigger} if files_per_trigger else {}
+    pages = spark.readStream.schema(schema).options(**read_options(header=True), **limit).csv(path)
     return pages.repartition(partitions) if partitions else pages
 
 
@@ -67,56 +64,44 @@ def score_stream(
 
 # ---- incremental Bronze, Silver, Gold -------------------------------------------------
 
-def _is_written(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
-    """``fresh`` pages whose ``(digest, label)`` is not among the ``known`` ones.
-
-    The stored side is the large one. Up to a checked number of fresh keys these are
-    broadcast and the stored keys only scanned; a larger batch is joined by shuffle.
-    """
-    keys = fresh.select(F.col("digest").alias("_d"), F.col("label").alias("_l"))
-    small = keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    """``fresh`` pages whose ``(digest, label)`` is not among the ``known`` ones. No hint: the
+    measured sizes decide how they are joined."""
     same = (F.col("digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
-    hits = known.join(F.broadcast(keys) if small else keys, same, "left_semi").select(
-        F.col("digest").alias("_d"), F.col("label").alias("_l")
-    )
-    return fresh.join(hits, same, "left_anti")
+    keys = known.select(F.col("digest").alias("_d"), F.col("label").alias("_l"))
+    return fresh.join(keys, same, "left_anti")
 
 
 def bronze_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append only pages whose ``(text, label)`` Bronze does not hold yet.
 
-    Each micro-batch is deduplicated like a batch table and compared with the stored
-    digests (a scan of two narrow columns). It then lands in a folder named after the
-    batch; a batch that is run again after a failure finds its folder complete and leaves
-    it, so later stages never see a page twice.
+    The stream's keyed state drops what this query has seen, so a batch costs what it holds
+    and never scans the query's own output. What remains is compared with the pages of other
+    queries (an earlier checkpoint, a second source) and of an earlier attempt at the same
+    batch; both are found by the folder names ``query=…/batch=…``, and only their digests are
+    read. Each batch is appended, so stages behind see a page once.
+
+    Two queries that meet the same new page at the same moment can both write it: run the
+    sources of one Bronze table one after another, or as one stream.
     """
+    digests = pages.where(F.col("text").isNotNull()).withColumn("digest", hashing.text_key(F.col("text")))
+    unseen = digests.dropDuplicates(["digest", "label"])
+    # A checkpoint is what makes two runs the same query.
+    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = f"{path}/batch={batch_id}"
-        if _is_written(spark, folder):
-            return
-        fresh = prepare.bronze(batch).withColumn("digest", hashing.text_key(F.col("text")))
-        if batch_id == 0:
-            fresh.write.mode("overwrite").parquet(folder)
-            return
-        known = (
-            spark.read.schema(bronze_schema(batch.schema)).parquet(path)
-            .where(F.col("batch") < batch_id).select("digest", "label")
-        )
-        fresh = fresh.persist()
-        try:
-            _without_known(fresh, known).write.mode("overwrite").parquet(folder)
-        finally:
-            fresh.unpersist()
+        fresh = batch.withColumns({"query": F.lit(query), "batch": F.lit(batch_id).cast("bigint")})
+        schema = bronze_schema(pages.schema)
+        if batch_id == 0:  # an append of no rows: from here on the folder can be read
+            spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        known = spark.read.schema(schema).option("basePath", path).parquet(path).where(
+            (F.col("query") != query) | (F.col("batch") == batch_id)).select("digest", "label")
+        rows = stored(_without_known(fresh, known), "bronze")
+        rows.write.mode("append").partitionBy("query", "batch").parquet(path)
 
     return (
-        pages.writeStream.foreachBatch(land)
+        unseen.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
@@ -124,7 +109,8 @@ def bronze_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 def bronze_schema(pages: T.StructType) -> T.StructType:
     return T.StructType(
         [f for f in pages.fields]
-        + [T.StructField("digest", T.StringType()), T.StructField("batch", T.LongType())]
+        + [T.StructField("digest", T.StringType()), T.StructField("query", T.StringType()),
+           T.StructField("batch", T.LongType())]
     )
 
 

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quireflow.functions import events, hashing, text, vectors
 from quireflow.operators import (
@@ -28,9 +29,13 @@ def test_bronze_keeps_first_of_each_text_and_label(spark):
     assert got == {("t", "a", "d1", 2.0), ("t", "b", "d3", 1.0), ("t", None, "d3", 9.0), ("", "a", "d6", 1.0)}
 
 
-def test_bronze_limits_copies_before_the_exchange(spark):
-    plan = physical(prepare.bronze(pages(spark, [("t", "a", "d", 1.0)])))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+def test_bronze_keeps_texts_where_they_are(spark):
+    rows = [("t", "a", "d", float(i)) for i in range(5)] + [("t", "a", "d", 0.0), ("u", "b", "d", 1.0)]
+    kept = prepare.bronze(pages(spark, rows[:5] + rows[6:]))
+    assert sorted(r.page for r in kept.collect()) == [0.0, 1.0]
+    plan = physical(kept)
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert sorted(r.page for r in prepare.bronze(pages(spark, rows)).collect()) == [0.0, 1.0]  # a row that repeats whole
 
 
 # ---- chunk numbers --------------------------------------------------------------------
@@ -39,12 +44,12 @@ def test_shared_pages_number_through(spark):
     rnd = random.Random(1)
     rows = [(i, "hot" if i % 3 else f"d{i}", 1.0, " ".join("w" * rnd.randint(0, 90)), "l") for i in range(300)]
     df = spark.createDataFrame(rows, "id int, dcn string, page double, text_processed string, label string")
-    got = prepare.gold_shared(df, "id", 10, 2, shards=7).collect()
+    got = prepare.gold_shared(df, "id", 10, 2, full_split=True, drop_empty=True).collect()
     per_page = {}
     for r in got:
         per_page.setdefault(r.dcn, []).append(r["index"])
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_page.values())
-    assert len(got) == sum(max(len(t.split()) // 8, 1) for _, _, _, t, _ in rows)
+    assert len(got) == sum(-(-len(t.split()) // 8) for _, _, _, t, _ in rows)
     # A row's chunks are neighbours, in text order.
     by_row = {}
     for r in got:
@@ -65,17 +70,10 @@ def test_global_index(spark):
 def test_label_index_orders_by_count_then_name(spark):
     df = spark.createDataFrame([(x,) for x in ["b", "b", "a", "a", "c", None]], "label string")
     want = {"a": 0, "b": 1, "c": 2}
-    for limit in (10, None):
-        got = {r.label: r.label_id for r in labels.label_index(df, max_classes=limit).collect()}
-        assert got == want
-    model = labels.fit_label_indexer(df)
-    assert list(model.labels) == ["a", "b", "c"]
-
-
-def test_label_index_refuses_too_many_classes(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(5)], "label string")
-    with pytest.raises(Exception, match="more than 3 classes"):
-        labels.label_index(df, max_classes=3).collect()
+    found = labels.label_index(df)
+    assert {r.label: r.label_id for r in found.collect()} == want
+    ids = spark.createDataFrame([(2,), (0,), (9,)], "i int")
+    assert {r.i: r.name for r in labels.decode_label(ids, found, "i", "name").collect()} == {2: "c", 0: "a", 9: None}
 
 
 def test_unseen_and_null_labels_drop_out(spark):
@@ -90,26 +88,11 @@ def physical(df):
     return plan[plan.index("== Physical"):]
 
 
-def test_planner_broadcasts_only_what_a_limit_bounds(spark):
-    rows = spark.range(100).select(F.col("id").cast("string").alias("label"), F.lit("x y").alias("t"))
-    big = spark.range(10**9).select(F.col("id").cast("string").alias("label"))
-    assert "BroadcastHashJoin" in physical(labels.attach_label_id(big, labels.label_index(big)))
-    unlimited = big.groupBy("label").count().select("label", F.lit(1).alias("label_id"))
-    assert "Broadcast" not in physical(labels.attach_label_id(big, unlimited))
-    many = big.select(F.col("label").alias("t"))
-    tokens = text.words(F.col("t"))
-    coded = encode.encode(many.withColumn("k", F.col("t")), ["k"], tokens, encode.vocabulary(many, tokens), 8)
-    assert "BroadcastHashJoin" in physical(coded)
-
-
-def test_params_become_a_map_or_fail(spark):
-    rows = [(1, "a", "x"), (1, "b", "y"), (2, "a", "z")] + [(3, f"k{i}", "v") for i in range(40)]
+def test_params_stay_rows(spark):
+    rows = [(1, "a", "x"), (1, "b", "y"), (2, "a", "z"), (2, "a", "zz")] + [(3, f"k{i}", "v") for i in range(2000)]
     df = spark.createDataFrame(rows, "run_id int, key string, value string")
-    got = {r.run_id: r.params for r in registry.run_params(df).collect()}
-    assert got[1] == {"a": "x", "b": "y"} and got[2] == {"a": "z"} and len(got[3]) == 40
-    with pytest.raises(Exception, match="more than 39 parameters"):
-        registry.run_params(df, max_params=39).collect()
-    assert "WindowGroupLimit" in physical(registry.run_params(df))
+    assert registry.run_params(df).count() == 2003
+    assert registry.params_of(df, 1) == {"a": "x", "b": "y"} and registry.params_of(df, 2) == {"a": "zz"}
 
 
 # ---- encoding -------------------------------------------------------------------------
@@ -117,8 +100,9 @@ def test_params_become_a_map_or_fail(spark):
 def test_encode(spark):
     df = spark.createDataFrame([(1, "x y x z"), (2, ""), (3, None), (4, "x y z x y")], "i int, t string")
     tokens = text.words(F.col("t"))
-    vocab = encode.vocabulary(df, tokens, size=2)
-    assert {r.token: r.token_id for r in vocab.collect()} == {"x": 4, "y": 5}
+    vocab = encode.vocabulary(df.where("i = 1"), tokens)
+    assert {r.token: r.token_id for r in vocab.collect()} == {"x": 4, "y": 5, "z": 6}
+    vocab = vocab.where("token <> 'z'")
     got = {r.i: (r.input_ids, r.attention_mask) for r in encode.encode(df, ["i"], tokens, vocab, 6).collect()}
     assert got[1] == ([2, 4, 5, 4, 1, 3], [1] * 6)
     assert got[2] == got[3] == ([2, 3, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0])
@@ -204,14 +188,16 @@ def test_every_row_is_scored_on_all_routes(spark, text_model):
         (r.dcn, r.page): (r.pred_label, r.pred_score)
         for r in score.score_pages(everything.withColumnRenamed("text", "Request"), model).collect()
     }
-    ready = score.prepared_text(everything, model, "text")
-    load = score.text_predictor(model)
-    mapped = {
-        (r.dcn, r.page): (r.Label, r.Score)
-        for r in score.score_by_partition(ready.repartition(3), ["dcn", "page"], "_text", load).collect()
-    }
-    called = ready.select("dcn", "page", score.score_column("_text", load).alias("predictions"))
-    column = {(r.dcn, r.page): (r.pred_label, r.pred_score) for r in score.unpack_struct(called).collect()}
+    counted = score.count_arrays(classify.page_counts(everything, "text"))
+    load = score.count_predictor(model)
+    scored = score.score_by_partition(counted.repartition(3), ["dcn", "page"], "counts", load)
+    rows = score.with_names(scored, model, "class_id", "Label").collect()
+    assert all(r.ElapsedTime > 0 for r in rows)
+    mapped = {(r.dcn, r.page): (r.Label, r.Score) for r in rows}
+    called = counted.select("dcn", "page", score.score_column("counts", load, 256).alias("predictions"))
+    rows = score.with_names(score.unpack_struct(called), model, "class_id", "pred_label").collect()
+    assert all(r.pred_elapsed_time > 0 for r in rows)
+    column = {(r.dcn, r.page): (r.pred_label, r.pred_score) for r in rows}
     assert set(native) == set(mapped) == set(column) and len(native) == 16
     for key, (label, p) in native.items():
         assert mapped[key][0] == column[key][0] == label
@@ -225,7 +211,7 @@ def test_first_pooling_reads_one_chunk(spark):
         classify.page_tokens(df, "text", pooling=p).select(F.size("tokens").alias("n")).first().n
         for p in ("all", "first")
     ]
-    assert sizes == [4 * 200, 200]
+    assert sizes == [4 * 200 + 100, 200]
 
 
 def test_nearest_centroid_against_numpy(spark):
@@ -240,14 +226,27 @@ def test_nearest_centroid_against_numpy(spark):
     assert got == dict(enumerate(want.tolist()))
 
 
-def test_logistic_learns_and_logs_its_loss(spark):
-    rows = [(i % 2, [1.0 if i % 2 else -1.0, (i % 5) / 5.0]) for i in range(60)]
-    df = spark.createDataFrame(rows, "y int, v array<double>")
-    model = classify.fit_logistic(df, "v", "y", epochs=5)
-    losses = [r.value for r in classify.loss_history(model, "r1").collect()]
-    assert 2 <= len(losses) <= 6 and losses[-1] < losses[0]
-    scored = classify.apply_logistic(df, model, "v")
-    assert scored.where("prediction != y").isEmpty()
+def test_linear_steps_against_numpy(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(90, 3)).astype("float32"), rng.integers(0, 3, 90)
+    split = ["train" if i % 3 else "val" for i in range(90)]
+    df = spark.createDataFrame([(x[i].tolist(), int(y[i]), split[i]) for i in range(90)], "v array<float>, y int, split string")
+    model = classify.fit_linear(df.repartition(4), "v", "y", 3, epochs=4, rate=0.5)
+    w, ones = np.zeros((3, 4)), np.hstack([x.astype(float), np.ones((90, 1))])
+    train = np.array([s == "train" for s in split])
+    for epoch in range(5):
+        p = np.exp(ones @ w.T)
+        p /= p.sum(axis=1, keepdims=True)
+        loss = -np.log(p[np.arange(90), y])
+        seen = {s: (n, loss_s) for e, s, n, _, loss_s in model.history if e == epoch}
+        assert seen["train"] == (60, pytest.approx(loss[train].mean())) and seen["val"] == (30, pytest.approx(loss[~train].mean()))
+        if epoch < 4:
+            w -= 0.5 * ((p - np.eye(3)[y])[train].T @ ones[train]) / 60
+    assert np.allclose(w, model.weights)
+    rows = classify.linear_metrics(spark, model, "r").collect()
+    assert len(rows) == 5 * 2 * 2
+    got = [r.prediction for r in classify.linear_scores(df, model, "v").collect()]
+    assert got == (ones @ w.T).argmax(axis=1).tolist()
 
 
 # ---- evaluation -----------------------------------------------------------------------
@@ -279,6 +278,26 @@ def test_batched_loss_is_a_mean_of_means(spark):
     assert r.acc == pytest.approx(2 / 3) and r.loss == 6.0
 
 
+def test_loss_of_a_vanishing_probability(spark):
+    df = spark.createDataFrame([([0.0, -5000.0], 1), ([0.0, 0.0], 0)], "s array<double>, y int")
+    assert [round(r.l, 6) for r in df.select(evaluate.cross_entropy("s", "y").alias("l")).collect()] == [5000.0, round(math.log(2), 6)]
+
+
+def test_regression_metrics_count_gaps_apart(spark):
+    rows = [("a", 1.0, 3.0), ("a", 2.0, None), ("a", 4.0, 4.0), ("c", 5.0, 4.0), ("c", 5.0, 6.0), ("n", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, y double, p double")
+    got = {r.k: r for r in evaluate.regression_metrics(df, "y", "p", "k").collect()}
+    assert (got["a"].rows, got["a"].incomplete, got["a"].mse, got["a"].mae) == (2, 1, 2.0, 1.0)
+    assert got["c"].r2 is None and got["c"].mse == 1.0 and got["n"].mse is None and got["n"].incomplete == 1
+
+
+def test_wide_matrix_refuses_unlisted_classes(spark):
+    pairs = evaluate.confusion(spark.createDataFrame([(1, 1), (2, 1)], "y int, p int"), "y", "p")
+    assert evaluate.confusion_wide(pairs, [1, 2]).count() == 1
+    with pytest.raises(Exception, match="outside the list"):
+        evaluate.confusion_wide(pairs, [1]).collect()
+
+
 # ---- registry -------------------------------------------------------------------------
 
 def test_versions_compare_as_numbers(spark):
@@ -336,20 +355,23 @@ def test_event_messages(spark):
 
 def test_gate_rejects_lost_rows_and_bad_scores(spark):
     given = pages(spark, [("a", "l", "d", 1.0), ("b", "l", "d", 2.0)])
-    schema = "pred_label string, pred_score double, pred_elapsed_time double"
-    good = spark.createDataFrame([("L", 0.4, 1.0), ("L", 1.0, 1.0)], schema)
-    bad = spark.createDataFrame([(None, 1.4, 1.0)], schema)
+    schema = "dcn string, page double, pred_label string, pred_score double, pred_elapsed_time double"
+    good = spark.createDataFrame([("d", 1.0, "L", 0.4, 1.0), ("d", 2.0, "L", 1.0, 1.0)], schema)
+    bad = spark.createDataFrame([("d", 1.0, None, 1.4, 1.0), ("d", 1.0, "L", 0.4, 1.0)], schema)
+    names = ["schema", "not_empty", "rows_kept", "no_extra_rows", "labels_present", "scores_in_range"]
 
     def run(scored):
-        checks = gate.check_rows(given, scored, contracts.PREDICTION_COLUMNS, "page")
+        checks = gate.check_rows(given, scored, contracts.PREDICTION_COLUMNS, ["dcn", "page"])
         return {r.check: r.ok for r in checks.collect()}, gate.decide(checks, "Production").first().decision
 
-    assert run(good) == (dict.fromkeys(["schema", "not_empty", "rows_kept", "labels_present", "scores_in_range"], True), "approve")
-    checks, decision = run(bad)
+    assert run(good) == (dict.fromkeys(names, True), "approve")
+    checks, decision = run(bad)  # as many rows as given, but one lost and one doubled
     assert decision == "reject" and [k for k, ok in checks.items() if ok] == ["schema", "not_empty"]
-    none = gate.empty_predictions(spark, contracts.PREDICTION_COLUMNS)
+    contract = T.StructType([*given.select("dcn", "page").schema.fields, *contracts.PREDICTION_COLUMNS.fields])
+    none = gate.predictions_or_empty(spark, lambda: good.withColumn("page", F.raise_error(F.lit("x")).cast("double")), contract)
     assert run(none)[1] == "reject" and gate.is_empty(none)
-    assert not gate.schema_matches(good.drop("pred_score"), contracts.PREDICTION_COLUMNS)
+    assert gate.predictions_or_empty(spark, lambda: good, contract).count() == 2
+    assert run(good.drop("pred_score"))[0]["schema"] is False
 
 
 # ---- tabular --------------------------------------------------------------------------
