@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quireflow.session import fresh_dir
+from quireflow.session import stored  # noqa: F401 - shared by the operators
 
 #: A word is a run of anything but ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,16 +20,6 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a fresh path of the shared folder and read back.
-
-    Later plans read these rows, in these partitions' files, whatever happens to executors.
-    """
-    path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(column: Column | str = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

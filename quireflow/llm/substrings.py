@@ -84,14 +84,23 @@ class _Shard:
 
     def keys(self, alive: np.ndarray):
         """Distinct window keys with the shard's smallest id, and each window's key number."""
-        order = np.lexsort((self.ids[alive], self.two[alive], self.one[alive]))
-        mine = alive[order]
-        one, two = self.one[mine], self.two[mine]
-        new = np.ones(len(mine), bool)
-        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        number = np.empty(len(mine), np.int64)
-        number[order] = np.cumsum(new) - 1
-        return one[new], two[new], self.ids[mine][new], number
+        return _grouped(self.one[alive], self.two[alive], self.ids[alive])
+
+
+def _grouped(one: np.ndarray, two: np.ndarray, ids: np.ndarray):
+    """Distinct pairs in order, the smallest id of each, and each item's pair number."""
+    order = np.argsort(one)
+    a, b = one[order], two[order]
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != a[:-1]
+    if (b[1:] != b[:-1])[~new[1:]].any():  # one hash shared by two windows: order by both
+        order = np.lexsort((two, one))
+        a, b = one[order], two[order]
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    number = np.empty(len(a), np.int64)
+    number[order] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(new)) if len(a) else ids
+    return a[new], b[new], least, number
 
 
 def _range_bits(bits: int) -> int:
@@ -153,15 +162,9 @@ def _smallest(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes
     sides = [_ids_of(e) for e in extras]
     one, two = np.concatenate(parts), np.concatenate([s[0] for s in sides])
     ids = np.concatenate([s[1] for s in sides])
-    order = np.lexsort((ids, two, one))
-    one, two = one[order], two[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    least = np.empty(len(ids), np.int64)
-    least[order] = ids[order][new][np.cumsum(new) - 1]
-    # Whether the smallest id is below the asker's own tells all it cannot know itself.
+    _, _, least, number = _grouped(one, two, ids)
     cuts = np.cumsum([len(p) for p in parts])[:-1]
-    return [_with_ids(np.zeros(0, np.uint32), part) for part in np.split(least, cuts)]
+    return [_with_ids(np.zeros(0, np.uint32), part) for part in np.split(least[number], cuts)]
 
 
 def _apply(window: int, bits: int, fields: list[str]):
