@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quireflow.llm import packed
-from quireflow.llm.common import lower_ascii, text_or_empty
+from quireflow.llm.common import lower_ascii, stored, text_or_empty
 
 WINDOW = 13
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -222,9 +222,10 @@ def _search(block, keep: list[str]):
     return run
 
 
-def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[Phrases]:
-    """The benchmark in blocks of about ``BLOCK_WORDS`` words. Long items go in pieces that
-    overlap by a window less one word, so each phrase is whole in one of them."""
+def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[tuple[bool, Phrases]]:
+    """The benchmark in blocks of about ``BLOCK_WORDS`` words, one at a time, and whether it
+    is the last. Long items go in pieces that overlap by a window less one word, so each
+    phrase is whole in one of them. There is one block at least."""
     words = F.regexp_extract_all(lower_ascii(text_or_empty(F.col("text").cast("string"))), F.lit(PATTERN), F.lit(0))
     items = benchmark.select(text_or_empty(F.col("item_id").cast("string")).alias("item"), words.alias("words")).filter(
         F.size("words") > 0)
@@ -232,11 +233,11 @@ def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[Phrases]:
     pieces = items.select("item", "words", F.explode(starts).alias("at")).select(
         "item", F.slice("words", F.col("at"), F.lit(PIECE + window - 1)).alias("words"))
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
-    count = -(-total // BLOCK_WORDS)
-    number = F.pmod(F.xxhash64("item", "words"), F.lit(max(count, 1)))
+    count = max(1, -(-total // BLOCK_WORDS))
+    number = F.pmod(F.xxhash64("item", "words"), F.lit(count))
     for block in range(count):
         rows = pieces.filter(number == block).collect()  # about BLOCK_WORDS words
-        yield Phrases([(r.item, r.words) for r in rows], window)
+        yield block == count - 1, Phrases([(r.item, r.words) for r in rows], window)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW) -> DataFrame:
@@ -246,12 +247,13 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, w
     docs = docs.withColumn("text", F.col("text").cast("string"))
     found = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__spans": F.lit(None).cast(SPANS),
                               "__items": F.lit(None).cast("array<string>")})
-    all_blocks = list(blocks(benchmark, window)) or [Phrases([], window)]
     extra = found.schema.fields[-3:]
-    for i, block in enumerate(all_blocks):
-        shown = keep if i == len(all_blocks) - 1 else docs.columns
+    for last, block in blocks(benchmark, window):
+        shown = keep if last else docs.columns
         schema = T.StructType([*[docs.schema[c] for c in shown], *extra])
         found = found.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(block), shown), schema)
+        if not last:  # one block in the workers' memory at a time
+            found = stored(found, "block")
     return found
 
 

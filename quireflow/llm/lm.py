@@ -116,6 +116,14 @@ def _totals(unigram_buckets: int):
     return answer
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The unigram buckets' own replies as numbers."""
+    for batch in batches:
+        found = [np.frombuffer(r, "<i8") for i in range(len(batch)) for _, r in packed.replies_of(batch, "answers", i)]
+        rows = np.array(found, np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(3)], names=["n_distinct", "n_all", "n_fold"])
+
+
 def _counts(data: _Shard, replies: list[tuple[int, bytes]], bits: int, side: int) -> list[np.ndarray]:
     """For each order: training (side 0) or fold (side 1) count of every token's n-gram."""
     found = []
@@ -214,10 +222,8 @@ def score(docs: DataFrame, use: Column, order: int = 2) -> DataFrame:
     words = (held.agg(F.sum("size")).first()[0] or 0) / 6
     bits = packed.bits_for(words, KEYS_PER_BUCKET)
     replies = packed.ask(held.mapInArrow(_requests(order, bits), packed.REQUEST), _totals(1 << bits), "counts")
-    stats = np.zeros(3, np.int64)
-    for row in replies.filter("shard = -1").selectExpr("inline(answers)").select("reply").toLocalIterator():
-        stats += np.frombuffer(row.reply, "<i8")
-    distinct, total, fold_total = map(int, stats)
+    own = replies.filter("shard < 0").mapInArrow(_sums, "n_distinct long, n_all long, n_fold long")
+    distinct, total, fold_total = (x or 0 for x in own.agg(*[F.sum(c) for c in own.columns]).first())
     uses = {r.use: r.n for r in held.select(F.explode("rows.use").alias("use")).groupBy("use").agg(
         F.count("*").alias("n")).collect()}
     train, fold = uses.get(TRAIN, 0), uses.get(FOLD, 0)

@@ -197,12 +197,12 @@ def ask(requests: DataFrame, answer: Callable[[int, list[bytes], list[bytes]], l
     shards.
 
     ``answer(bucket, keys, extras)`` gets all rows of a bucket and returns a reply for each; a
-    reply more is a row of the bucket's own, filed under shard -1.
+    reply more is the bucket's own, filed under shard ``-1 - bucket``.
     """
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         replies = answer(bucket, table["keys"].to_pylist(), table["extra"].to_pylist())
-        owners = table["shard"].to_pylist() + [-1] * (len(replies) - len(table))
+        owners = table["shard"].to_pylist() + [-1 - bucket] * (len(replies) - len(table))
         return pa.table({"bucket": pa.array([bucket] * len(replies), pa.int32()),
                          "shard": pa.array(owners, pa.int64()), "reply": pa.array(replies, pa.binary())})
 
