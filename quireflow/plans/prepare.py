@@ -140,7 +140,7 @@ def split_90_5_5(spark, d):
 
 def split_60_20_20(spark, d):
     parts = load(spark, d, "part").select("p_partkey", "p_retailprice")
-    return splits.with_split(parts, "p_partkey", cuts=splits.CUTS_60_20_20, seed=600418151)
+    return splits.with_split(parts, "p_partkey", cuts=splits.CUTS_60_20_20)
 
 
 def _turn_tokens():
@@ -260,7 +260,7 @@ def oracles() -> dict[str, str]:
         "split_90_5_5": f"""SELECT conv_id, turn, role,
           {q.split_name(q.bucket(1000, 'conv_id', 'turn'), splits.CUTS_90_5_5)} AS split FROM conversations""",
         "split_60_20_20": f"""SELECT p_partkey, p_retailprice,
-          {q.split_name(q.bucket(1000, 'p_partkey', seed='600418151'), splits.CUTS_60_20_20)} AS split FROM part""",
+          {q.split_name(q.bucket(1000, 'p_partkey'), splits.CUTS_60_20_20)} AS split FROM part""",
         "vocabulary": f"SELECT * FROM {_vocab_sql()}",
         "encode_fixed_len": f"""SELECT dcn, page,
           array_to_string(list_resize(ids, 64, 0), ' ') AS input_ids,
