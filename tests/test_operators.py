@@ -57,6 +57,15 @@ def test_shared_pages_number_through(spark):
     assert all(max(v) - min(v) == len(v) - 1 for v in by_row.values())
 
 
+def test_full_split_keeps_every_word(spark):
+    rows = [(f"d{n}", 1.0, " ".join(f"w{i}" for i in range(n)), "l") for n in (0, 1, 149, 150, 151, 200, 299, 300, 1000)]
+    df = spark.createDataFrame(rows, "dcn string, page double, text_processed string, label string")
+    got = prepare.gold(df, 200, 50, full_split=True, drop_empty=True).collect()
+    for dcn, _, whole, _ in rows:
+        parts = [r.text_chunk.split() for r in sorted(got, key=lambda r: r["index"]) if r.dcn == dcn]
+        assert all(parts) and {w for p in parts for w in p} == set(whole.split())
+
+
 def test_global_index(spark):
     df = spark.createDataFrame([(random.Random(i).random() < 0.4, i) for i in range(1000)], "hot boolean, i int")
     got = ranking.global_index(df.repartition(5), F.col("hot").desc(), "i").collect()
