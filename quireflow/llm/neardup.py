@@ -8,12 +8,17 @@ Two places agree with a chance equal to the weighted Jaccard similarity. A proce
 its time passes the latest one its document's signature holds, so most give one point.
 
 Equal texts are one node from the start. Nodes that agree in a band, or in a band and one of
-the next two bands, are compared with the most central node there: a star, never all pairs.
-The most central node shares its bands with the most others, so a text that many others were
-made from is compared with all of them; the narrower keys link those that a crowded band
-would hide behind its centre. Each candidate is verified by exact weighted Jaccard on 64-bit shingle hashes; links make classes.
-With 32 bands of 4 places a pair at 0.8 is a candidate in some band with a chance of
-1 - 5e-8.
+the next two bands, are first compared with the most central node there: a star. The most
+central node shares its bands with the most others, so a text that many others were made from
+is compared with all of them. Each candidate is verified by exact weighted Jaccard on 64-bit
+shingle hashes; links make classes.
+
+A band with three nodes or more that the stars have not made one class may hold pairs that no
+centre met. All nodes of such bands go through an exact prefix join: a node's shingles stand
+in one order, rare ones first, and two nodes at 0.8 have one of their first shingles in common,
+at places that leave room for enough others. No pair of theirs at 0.8 is left out, whatever the
+centres were; pairs of one class are not compared again. So classes are exact for all pairs
+that share a band: with 32 bands of 4 places a pair at 0.8 does with a chance of 1 - 5e-8.
 
 Defined cases: a null text counts as empty; texts without words are near-duplicates of equal
 texts only; a text of one to four words is one shingle; a null ``doc_id`` is kept and never
@@ -41,6 +46,7 @@ KEYS_PER_BUCKET = 2_000_000
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _KEY_BITS = 44                     # of a shingle's hash, beside a document's number in its slice
+CELL_BITS = 20                     # of the counts that say which shingles are rare
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -242,6 +248,133 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+class _Crowds:
+    """The keys of a shard that three nodes or more have, with the least and the greatest
+    class among the shard's own nodes there, and each item's node and key number."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        nodes, bands = _bands(packed.open_shard(batch, i))
+        replies = [packed.unsqueeze(r) for _, r in packed.replies_of(batch, "sizes", i)]
+        found = np.concatenate(replies).astype(np.int64) if replies else np.zeros(0, np.int64)
+        _, number = np.unique(bands, return_inverse=True)
+        sizes = found[number.reshape(bands.shape)] if len(found) else np.zeros(bands.shape, np.int64)
+        marks = batch.column("marks")[i].as_py() or []
+        known = dict(zip([m["node"] for m in marks], [m["label"] for m in marks]))
+        labels = np.array([known.get(n, n) for n in nodes.tolist()], np.int64)
+        crowded = sizes > 2
+        at = np.nonzero(crowded)[0]
+        self.nodes, mine = nodes[at], labels[at]
+        self.keys, self.number = np.unique(bands[crowded], return_inverse=True)
+        self.low = np.full(len(self.keys), np.iinfo(np.int64).max)
+        self.high = np.full(len(self.keys), -1)
+        np.minimum.at(self.low, self.number, mine)
+        np.maximum.at(self.high, self.number, mine)
+
+
+def _crowd_requests(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                crowds = _Crowds(batch, i)
+                rows = []
+                for bucket, part in packed.by_bucket(crowds.keys, bits):
+                    if part.stop > part.start:
+                        first = packed.squeeze(crowds.low[part])
+                        rows.append((bucket, packed.squeeze_sorted(crowds.keys[part]),
+                                     len(first).to_bytes(8, "little") + first + packed.squeeze(crowds.high[part])))
+                yield packed.request_batch(shard, rows)
+    return run
+
+
+def _divided(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes]:
+    """Whether the nodes of each key are in more than one class."""
+    parts = [packed.unsqueeze_sorted(k) for k in keys]
+    cuts = [8 + int.from_bytes(e[:8], "little") for e in extras]
+    names, number = np.unique(np.concatenate(parts), return_inverse=True)
+    low, high = np.full(len(names), np.iinfo(np.int64).max), np.full(len(names), -1)
+    np.minimum.at(low, number, np.concatenate([packed.unsqueeze(e[8:c]) for e, c in zip(extras, cuts)]).astype(np.int64))
+    np.maximum.at(high, number, np.concatenate([packed.unsqueeze(e[c:]) for e, c in zip(extras, cuts)]).astype(np.int64))
+    divided = (low != high)[number].astype(np.uint8)
+    return [packed.squeeze(part) for part in np.split(divided, np.cumsum([len(p) for p in parts])[:-1])]
+
+
+def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            crowds = _Crowds(batch, i)
+            replies = [packed.unsqueeze(r) for _, r in packed.replies_of(batch, "divided", i)]
+            divided = np.concatenate(replies).astype(bool) if replies else np.zeros(len(crowds.keys), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(crowds.nodes[divided[crowds.number]]))], names=["node"])
+
+
+def _elements(blob: bytes) -> np.ndarray:
+    """A bag as a set: a hash for each occurrence of each shingle."""
+    keys, n = _bag(blob)
+    turn = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return packed.mix64(np.repeat(keys, n) * _BASE + turn.astype(U64))
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if len(batch):
+            found = np.concatenate([_elements(b) for b in batch.column("bag").to_pylist()]) >> U64(64 - CELL_BITS)
+            cells, n = np.unique(found.astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], names=["cell", "n"])
+
+
+def _prefixes(counts, shorter: bool):
+    """The first elements of each node, rare ones first, with their places from 1: as many as
+    a pair at SIMILARITY can do without and one, for its ``shorter`` or its longer text."""
+    part, whole = SIMILARITY
+    if shorter:
+        part, whole = 2 * part, part + whole  # of the shorter text, by the overlap of two equal lengths
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for blob in batch.column("bag").to_pylist():
+                found = _elements(blob)
+                order = np.lexsort((found, counts.value[(found >> U64(64 - CELL_BITS)).astype(np.int64)]))
+                rows.append((len(found), found[order[:len(found) + 1 - -(-part * len(found) // whole)]]))
+            lengths = np.array([len(r) for _, r in rows], np.int64)
+            each = np.repeat(np.arange(len(rows)), lengths)
+            first = np.concatenate([r for _, r in rows]) if rows else np.zeros(0, U64)
+            places = np.arange(len(first)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(first.view(np.int64)), batch.column("node").take(pa.array(each)),
+                batch.column("label").take(pa.array(each)), pa.array(np.array([n for n, _ in rows], np.int64)[each]),
+                pa.array(places)], names=["element", "node", "label", "size", "place"])
+    return run
+
+
+def _prefix_pairs(bags: DataFrame) -> DataFrame:
+    """Pairs of ``node, label, bag`` rows of different labels, all those at SIMILARITY among them.
+
+    The join meets the first element that a pair has in common, too; from there on the rest of
+    the two texts bounds how many others they can share."""
+    spark = bags.sparkSession
+    found = bags.mapInArrow(_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(1 << CELL_BITS, np.int64)  # the driver holds these counts, whatever the input
+    cells[found["cell"].to_numpy()] = found["n"].to_numpy()
+    counts = spark.sparkContext.broadcast(cells)
+    schema = "element long, node long, label long, size long, place long"
+    short = bags.mapInArrow(_prefixes(counts, True), schema).toDF("element", "s_node", "s_label", "s_size", "s_place")
+    long = bags.mapInArrow(_prefixes(counts, False), schema)
+    part, whole = SIMILARITY
+    room = F.least(F.col("s_size") - F.col("s_place"), F.col("size") - F.col("place")) + 1
+    match = (F.col("s_label") != F.col("label")) & (F.col("s_size") <= F.col("size")) & (
+        whole * F.col("s_size") >= part * F.col("size")) & ((part + whole) * room >= part * (F.col("s_size") + F.col("size")))
+    met = short.join(long, "element").filter(match)
+    return met.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")).distinct()
+
+
+def _linked(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs that are as similar as SIMILARITY."""
+    with_a = pairs.join(bags.withColumnsRenamed({"node": "a", "bag": "bag_a"}), "a")
+    return stored(with_a.join(bags.withColumnsRenamed({"node": "b", "bag": "bag_b"}), "b").select(
+        "a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a long, b long"), "verified")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label``: the smallest node that each linked node can reach. Labels run along
     the links and jump to their label's label, until nothing changes."""
@@ -282,11 +415,25 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     match = (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     found = texts.join(wanted, match).select("node", "text").mapInArrow(_bags, "node long, bag binary")
     bags = stored(found.groupBy("node").agg(F.first("bag").alias("bag")), "bags")
-    with_a = pairs.join(bags.withColumnsRenamed({"node": "a", "bag": "bag_a"}), "a")
-    links = stored(with_a.join(bags.withColumnsRenamed({"node": "b", "bag": "bag_b"}), "b").select(
-        "a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a long, b long"), "verified")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    links = _linked(pairs, bags)
     labels = components(links)
+
+    # What the stars leave undecided: bands whose nodes are still in several classes.
+    places = held.select("shard", F.explode("rows.node").alias("node"))
+    marks = places.join(labels, "node").groupBy("shard").agg(F.collect_list(F.struct("node", "label")).alias("marks"))
+    marked = sized.join(stored(marks, "marks"), "shard", "left")
+    divided = packed.ask(marked.mapInArrow(_crowd_requests(bits), packed.REQUEST), _divided, "divided")
+    left = stored(marked.join(divided.withColumnRenamed("answers", "divided"), "shard").mapInArrow(
+        _unsettled, "node long"), "unsettled")
+    if not left.isEmpty():
+        again = stored(bags.join(left, "node").join(labels, "node", "left").select(
+            "node", F.coalesce("label", "node").alias("label"), "bag"), "again")
+        more = stored(_prefix_pairs(again), "pairs")
+        found = _linked(more, again.select("node", "bag"))
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     marked = nodes.drop("bands").join(labels, "node", "left").join(degree, "node", "left").select(
         "node", "digest", "first_id", "copies", F.coalesce("label", "node").alias("label"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))

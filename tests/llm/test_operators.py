@@ -346,6 +346,65 @@ def test_star_of_satellites_round_a_hub(spark):
     assert len(like) > 40 and all(got[k] == 0 for k in like) and all(got[100 + k] == 100 + k for k in range(80))
 
 
+def brute_classes(texts):
+    """The class of each id by all pairs at 0.8."""
+    bags = [(i, bag(t)) for i, t in texts]
+    sizes, classes = [sum(b.values()) for _, b in bags], {i: i for i, _ in bags}
+
+    def root(i):
+        while classes[i] != i:
+            i = classes[i]
+        return i
+
+    for x, (i, a) in enumerate(bags):
+        for y in range(x):
+            if a and bags[y][1] and 5 * min(sizes[x], sizes[y]) >= 4 * max(sizes[x], sizes[y]):
+                shared = sum(min(n, bags[y][1][k]) for k, n in a.items() if k in bags[y][1])
+                if 9 * shared >= 4 * (sizes[x] + sizes[y]):
+                    one, two = sorted((root(i), root(bags[y][0])))
+                    classes[two] = one
+    return {i: root(i) for i in classes}
+
+
+def test_pairs_among_pages_of_one_template(spark):
+    """Each page is under 0.8 to the template and to all others, but for one planted partner
+    at 0.80 to 0.85, and some for a chain of them."""
+    rng = np.random.default_rng(8)
+    docs = []
+
+    def page(at, own):
+        return " ".join([f"t{i}" for i in range(at)] + own + [f"t{i}" for i in range(at + len(own), 300)])
+
+    for k in range(400):
+        at = int(rng.integers(10, 250))
+        own = [f"p{k}w{i}" for i in range(32)]
+        docs.append((k, page(at, own)))
+        for copy in range(3 if k % 40 == 0 else 1 if k < 120 else 0):
+            fresh = int(rng.integers(22, 29))
+            own = own[:32 - fresh] + [f"q{k}c{copy}w{i}" for i in range(fresh)]
+            docs.append((1000 + 10 * k + copy, page(at, own)))
+    rows = neardup.classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    want = brute_classes(docs)
+    assert sum(i != c for i, c in want.items()) > 120
+    assert {r.doc_id: r.class_id for r in rows} == want
+
+
+def test_prefix_pairs_hold_all_similar_pairs(spark):
+    rng = np.random.default_rng(9)
+    docs = []
+    for k in range(150):
+        mine = [f"v{x}" for x in rng.integers(0, 12, 60)] if k % 3 == 0 else docs[-1][1].split()
+        for spot in rng.integers(0, len(mine), 2 if k % 3 else 0):
+            mine[spot] = f"z{k}" if k % 2 else "v1 v1 v1"
+        docs.append((k, " ".join(mine)))
+    docs += [(1000 + k, "again " * (20 + k)) for k in range(12)] + [(2000, "one"), (2001, "one two three four five six")]
+    bags = spark.createDataFrame(docs, "node long, text string").mapInArrow(neardup._bags, "node long, bag binary")
+    got = {(r.a, r.b) for r in neardup._prefix_pairs(bags.withColumn("label", F.col("node"))).collect()}
+    real = [(i, bag(t)) for i, t in docs]
+    want = {(i, j) for i, a in real for j, b in real if i < j and 5 * sum((a & b).values()) >= 4 * sum((a | b).values())}
+    assert len(want) > 40 and want <= got
+
+
 # 8 fingerprints
 
 def test_fingerprints_of_odd_rows(spark, odd, none):
