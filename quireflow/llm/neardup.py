@@ -395,7 +395,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signed rows ``doc_id, digest`` and nodes ``node, digest, first_id, copies, label, n_links``."""
+    """Signed rows ``doc_id, digest`` and nodes ``node, digest, first_id, copies, label``."""
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty(F.col("text").cast("string")).alias("text"))
     texts = texts.withColumn("digest", F.md5(F.col("text").cast("binary")))
     signed = stored(texts.mapInArrow(_sign, "doc_id long, digest string, bands binary"), "signed")
@@ -431,22 +431,18 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         more = stored(_prefix_pairs(again), "pairs")
         found = _linked(more, again.select("node", "bag"))
         if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    marked = nodes.drop("bands").join(labels, "node", "left").join(degree, "node", "left").select(
-        "node", "digest", "first_id", "copies", F.coalesce("label", "node").alias("label"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+            labels = components(links.union(found))
+    marked = nodes.drop("bands").join(labels, "node", "left").select(
+        "node", "digest", "first_id", "copies", F.coalesce("label", "node").alias("label"))
     return signed.select("doc_id", "digest"), stored(marked, "classes")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id, class_size, n_links`` per row: the smallest id of the row's class,
-    its rows, and the verified links of the row's text to other texts."""
+    """``doc_id, class_id, class_size`` per row: the smallest id of the row's class, and its rows."""
     signed, nodes = _classed(docs)
     heads = nodes.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    return signed.join(nodes.join(heads, "label").select("digest", "class_id", "class_size", "n_links"), "digest").select(
-        "doc_id", "class_id", "class_size", "n_links")
+    return signed.join(nodes.join(heads, "label").select("digest", "class_id", "class_size"), "digest").select(
+        "doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -389,6 +389,10 @@ def test_pairs_among_pages_of_one_template(spark):
     assert {r.doc_id: r.class_id for r in rows} == want
 
 
+def test_classes_promise_no_count_of_links(odd):
+    assert neardup.classes(odd.limit(2)).columns == ["doc_id", "class_id", "class_size"]
+
+
 def test_prefix_pairs_hold_all_similar_pairs(spark):
     rng = np.random.default_rng(9)
     docs = []
