@@ -8,7 +8,8 @@ DataFrame functions only, within the row: no exchange at all. The tables are par
 program, so their size is fixed; pass others to scan for other licenses.
 
 Defined cases: a null or empty text has no sentences and no licenses; a line that goes on in
-lower case on the next line is one sentence; repeated sentences repeat in the sequence; an
+lower case on the next line is one sentence, as is a long line in capitals that goes on in them;
+indentation and comment marks before a line do not count; repeated sentences repeat in the sequence; an
 empty table gives an empty result. Only the key and the text are read; other columns stay.
 """
 
@@ -28,11 +29,19 @@ SENTENCES: dict[str, str] = {
     "mit-spdx": "spdx license identifier mit",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software "
                  "and associated documentation files the software to deal in the software without restriction",
+    "mit-grant-whole": "permission is hereby granted free of charge to any person obtaining a copy of this software "
+                       "and associated documentation files the software to deal in the software without restriction "
+                       "including without limitation the rights to use copy modify merge publish distribute "
+                       "sublicense and or sell copies of the software and to permit persons to whom the software is "
+                       "furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or "
                   "substantial portions of the software",
     "as-is": "the software is provided as is without warranty of any kind express or implied",
+    "as-is-whole": "the software is provided as is without warranty of any kind express or implied including but not "
+                   "limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     "apache-name": "licensed under the apache license version 2.0",
     "apache-name-2": "released under the apache license version 2.0",
+    "apache-name-whole": "licensed under the apache license version 2.0 the license",
     "apache-title": "apache license",
     "apache-version": "version 2.0 january 2004",
     "apache-spdx": "spdx license identifier apache 2.0",
@@ -68,7 +77,10 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-name",)), ("MIT", ("mit-name-2",)), ("MIT", ("mit-spdx",)),
     ("MIT", ("mit-title", "mit-grant")), ("MIT", ("mit-title-2", "mit-grant")),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
+    ("MIT", ("mit-title", "mit-grant-whole")), ("MIT", ("mit-title-2", "mit-grant-whole")),
+    ("MIT", ("mit-grant-whole", "mit-notice", "as-is-whole")),
     ("Apache-2.0", ("apache-name",)), ("Apache-2.0", ("apache-name-2",)), ("Apache-2.0", ("apache-spdx",)),
+    ("Apache-2.0", ("apache-name-whole",)),
     ("Apache-2.0", ("apache-title", "apache-version")), ("Apache-2.0", ("apache-use", "apache-copy")),
     ("GPL-3.0", ("gpl3-name",)), ("GPL-3.0", ("gpl3-name-2",)), ("GPL-3.0", ("gpl3-spdx",)),
     ("GPL-3.0", ("gpl-title", "gpl3-version")), ("GPL-3.0", ("gpl-free", "gpl-terms")),
@@ -84,7 +96,10 @@ BETWEEN = "( .*)? "
 #: The steps of normalising, in order; the SQL twin applies the same.
 STEPS: tuple[tuple[str, str], ...] = (
     (r"\r\n?", "\n"),                     # one kind of line end
+    (r"(^|\n)[ \t]*(//+|/[*]+|[*]+/?|#+|;+|--+|%+|<!--+)?[ \t]*", "{1}"),  # indentation and comment marks
     (r"\n([a-z(])", " {1}"),              # a line that goes on in lower case
+    (r"([^\n]{40}[A-Z ][A-Z],?)[ \t]*\n", "{1}\n~|~"),  # a long line that ends in capitals
+    (r"\n~[|]~([A-Z]+[ ,.])", " {1}"),   # and goes on in them; other marks are no words
     (r"[.!?;:]([ \t\n]|$)", "\n"),        # the end of a sentence
     (r"[^A-Za-z0-9.\n]+", " "),           # words, and numbers with a point
     (r" *\n *", "\n"),

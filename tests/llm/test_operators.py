@@ -229,6 +229,51 @@ def test_license_rules(spark):
     assert got == {1: ["MIT"], 2: ["Apache-2.0"], 3: [], 4: [], 5: [], 6: ["GPL-3.0"], 7: [], 8: ["CC-BY-NC-4.0", "MIT"]}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * ", "   ", ";; "])
+def test_published_licenses_in_comments(spark, mark):
+    texts = {"MIT": MIT, "BSD": BSD, "Apache-2.0": APACHE, "GPL-3.0": GPL}
+    commented = {k: "\n".join((mark + line).rstrip() for line in v.split("\n")) for k, v in texts.items()}
+    docs = spark.createDataFrame(list(commented.items()), "doc_id string, text string")
+    assert {r.doc_id: r.licenses for r in licenses.scan(docs).collect()} == {k: [k] for k in texts}
+
+
 # 5 quality
 
 def test_trees_learn_a_rule_and_are_walked_in_order():
