@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quireflow.llm import chat, decontaminate, fingerprints, licenses, lm, mixing, neardup, quality, substrings, urlfilter
-from quireflow.llm.common import load, remainder
+from quireflow.llm import (chat, decontaminate, divergence, fingerprints, licenses, lm, mixing, neardup, negatives, quality,
+                           rules, substrings, urlfilter)
+from quireflow.llm.common import load, remainder, stored
 
 
 def op1_mix_sources(spark, d):
@@ -80,6 +81,23 @@ def op10_substring_dedup(spark, d):
     return substrings.digest(substrings.remove_repeats(docs))
 
 
+def op11_hard_negatives(spark, d):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = load(spark, d, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_quality_rules(spark, d):
+    measured = stored(rules.measure(load(spark, d, "documents").select("doc_id", "text")), "measured")
+    learned = rules.fit(measured, load(spark, d, "labels").filter(remainder("doc_id", 3) != 1))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"]
+    return rules.judged(measured, learned).select("doc_id", *[F.col(f"__{n}").alias(n) for n in names])
+
+
+def op13_source_divergence(spark, d):
+    return divergence.audit(load(spark, d, "documents"))
+
+
 def dated_entries(pages):
     """A dated list from the hosts seen: up to three entries for each name, by checksums."""
     names = pages.select(F.explode(urlfilter.names_above(urlfilter.host(F.col("url")))).alias("name")).distinct()
@@ -103,6 +121,9 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_url_filter": op9_url_filter,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
@@ -222,4 +243,6 @@ def oracles() -> dict[str, str]:
         "op6_chat_format": _chat_sql(),
         "op9_url_filter": _url_sql(),
         "op10_substring_dedup": _REPEATS_SQL,
+        "op11_hard_negatives": negatives.oracle(),
+        "op13_source_divergence": divergence.oracle(),
     }
