@@ -71,15 +71,22 @@ class _Shard:
         for row in range(DEPTH):
             flags = [np.unpackbits(np.frombuffer(r[8:], np.uint8), count=int.from_bytes(r[:8], "little"))
                      for b, r in replies if b // by_row == row]
-            if not flags:
+            if not flags or not len(alive):
                 return alive[:0]
-            cells = self.cells(row, bits)
-            hot = np.unique(cells)[np.concatenate(flags).astype(bool)]
-            if not len(hot):
-                return alive[:0]
-            mine = cells[alive]
-            spot = np.minimum(np.searchsorted(hot, mine), len(hot) - 1)
-            alive = alive[hot[spot] == mine]
+            flags, cells = np.concatenate(flags).astype(bool), self.cells(row, bits)
+            if row == 0:  # all windows: follow their order instead of looking each one up
+                order = np.argsort(cells)
+                cells = cells[order]
+                new = np.ones(len(cells), bool)
+                new[1:] = cells[1:] != cells[:-1]
+                alive = np.sort(order[flags[np.cumsum(new) - 1]])
+            else:
+                hot, mine = np.unique(cells)[flags], cells[alive]
+                if not len(hot):
+                    return alive[:0]
+                order = np.argsort(mine)
+                spot = np.minimum(np.searchsorted(hot, mine[order]), len(hot) - 1)
+                alive = np.sort(alive[order[hot[spot] == mine[order]]])
         return alive
 
     def keys(self, alive: np.ndarray):
@@ -133,17 +140,26 @@ def _merge_sketches(bucket: int, keys: list[bytes], extras: list[bytes]) -> list
 
 
 def _exact_requests(window: int, bits: int, key_bits: int):
+    """Requests of the windows left, and one row for the shard itself: where these windows
+    are and which key each one has, so that the last pass need not work it out again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
                 data = _Shard(packed.open_shard(batch, i), window)
-                one, two, ids, _ = data.keys(data.repeated(packed.replies_of(batch, "flags", i), bits))
-                yield packed.request_batch(shard, [
+                alive = data.repeated(packed.replies_of(batch, "flags", i), bits)
+                one, two, ids, number = data.keys(alive)
+                own = [(_own_bucket(shard), packed.squeeze_sorted(data.at[alive].astype(U64)), packed.squeeze(number))]
+                yield packed.request_batch(shard, own * bool(len(alive)) + [
                     (bucket, packed.squeeze_sorted(one[part]), _with_ids(two[part], ids[part]))
                     for bucket, part in packed.by_bucket(one, key_bits) if part.stop > part.start])
     return run
 
 
+def _own_bucket(shard: int) -> int:
+    """A bucket below 0, of few shards each."""
+    return -1 - (shard * 0x9E3779B1 >> 7) % (1 << 30)
+
+
 def _with_ids(two: np.ndarray, ids: np.ndarray) -> bytes:
     low = int(ids.min())
     packed_ids = packed.squeeze(ids.view(U64) - U64(low & (2**64 - 1)))
@@ -158,6 +174,8 @@ def _ids_of(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _smallest(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes]:
+    if bucket < 0:
+        return [len(k).to_bytes(8, "little") + k + e for k, e in zip(keys, extras)]
     parts = [packed.unsqueeze_sorted(k) for k in keys]
     sides = [_ids_of(e) for e in extras]
     one, two = np.concatenate(parts), np.concatenate([s[0] for s in sides])
@@ -167,25 +185,31 @@ def _smallest(bucket: int, keys: list[bytes], extras: list[bytes]) -> list[bytes
     return [_with_ids(np.zeros(0, np.uint32), part) for part in np.split(least[number], cuts)]
 
 
-def _apply(window: int, bits: int, fields: list[str]):
+def _apply(window: int, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                data = _Shard(packed.open_shard(batch, i), window)
-                alive = data.repeated(packed.replies_of(batch, "flags", i), bits)
-                _, _, _, number = data.keys(alive)
-                least = [_ids_of(r)[1] for _, r in packed.replies_of(batch, "least", i)]
-                gone = alive[np.concatenate(least)[number] < data.ids[alive]] if least else alive[:0]
-                edge = np.zeros(len(data.words) + 1, np.int32)
-                np.add.at(edge, data.at[gone], 1)
-                np.add.at(edge, data.at[gone] + window, -1)
+                rows = packed.open_shard(batch, i)
+                words, lengths = packed.words_of(rows.field("text"))
+                starts = np.concatenate([[0], np.cumsum(lengths)])
+                replies = packed.replies_of(batch, "least", i)
+                edge = np.zeros(len(words) + 1, np.int32)
+                if replies:
+                    own = replies.pop(0)[1]
+                    size = int.from_bytes(own[:8], "little")
+                    at = packed.unsqueeze_sorted(own[8:8 + size]).astype(np.int64)
+                    least = np.concatenate([_ids_of(r)[1] for _, r in replies])[packed.unsqueeze(own[8 + size:])]
+                    ids = pc.fill_null(rows.field("doc_id").cast(pa.int64()), _NO_ID).to_numpy()
+                    gone = at[least < ids[np.searchsorted(starts, at, "right") - 1]]
+                    edge[:-1] += np.bincount(gone, minlength=len(words)).astype(np.int32)
+                    edge -= np.bincount(gone + window, minlength=len(words) + 1).astype(np.int32)
                 covered = np.cumsum(edge[:-1]) > 0
-                kept_before = np.concatenate([[0], np.cumsum(~covered)])[data.starts]
+                kept_before = np.concatenate([[0], np.cumsum(~covered)])[starts]
                 kept = pc.binary_join(pa.ListArray.from_arrays(
-                    pa.array(kept_before, pa.int32()), data.words.filter(pa.array(~covered)).cast(pa.string())), " ")
+                    pa.array(kept_before, pa.int32()), words.filter(pa.array(~covered)).cast(pa.string())), " ")
                 yield pa.RecordBatch.from_arrays([
-                    *[data.rows.field(f) for f in fields], pa.array(data.lengths, pa.int64()),
-                    pa.array(data.lengths - np.diff(kept_before), pa.int64()), kept,
+                    *[rows.field(f) for f in fields], pa.array(lengths, pa.int64()),
+                    pa.array(lengths - np.diff(kept_before), pa.int64()), kept,
                 ], names=[*fields, "__n_words", "__n_removed", "__kept"])
     return run
 
@@ -205,7 +229,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                        "repeats").withColumnRenamed("answers", "least")
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", T.LongType()),
                            T.StructField("__n_removed", T.LongType()), T.StructField("__kept", T.StringType())])
-    return flagged.join(least, "shard", "left").mapInArrow(_apply(window, bits, docs.columns), schema)
+    return held.join(least, "shard", "left").mapInArrow(_apply(window, docs.columns), schema)
 
 
 def digest(removed: DataFrame) -> DataFrame:
