@@ -69,8 +69,8 @@ def table_lifecycle(spark, d):
         cleaned = tables.save_table(prepare.silver(kept), f"{name}.silver")
         path = fresh_dir(spark, "predictions")
         scored = cleaned.select("dcn", "page", F.upper("label").alias("pred_label"))
-        tables.append_predictions(scored, f"{name}.predictions", path)
-        tables.append_predictions(scored, f"{name}.predictions", path)
+        for version in (1, 2, 2):  # the last one is a retry, which must not double its rows
+            tables.append_predictions(scored, f"{name}.predictions", path, "nightly", version)
         tables.replace_external(spark, f"{name}.replaced", path)
         counts = [
             tables.read_table(spark, f"{name}.{t}").agg(F.lit(t).alias("table"), F.count("*").alias("rows"))
@@ -100,8 +100,7 @@ def feature_upsert(spark, d):
             F.concat(F.lit("copy-"), "dcn").alias("dcn"), "page",
             F.length("text").alias("chars"), F.lit("merged").alias("origin"),
         )
-        updates = stored(changed.unionByName(added), "updates")
-        return stored(feature_store.merge_features(updates, f"{name}.turns", keys, buckets=8), "merged")
+        return stored(feature_store.merge_features(changed.unionByName(added), f"{name}.turns"), "merged")
     finally:
         _drop(spark, name, before)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quireflow import contracts
 from quireflow.operators import prepare
 from quireflow.session import fresh_dir
-from quireflow.sources import csv_pages, feature_store, tables
+from quireflow.sources import csv_pages, feature_store, files, tables
 from quireflow.streaming import pages as streams
 
 TEXTS = ["plain", 'with "quotes" inside', "two\nlines", "comma, here", "  outer blanks  ", "back\\slash",
@@ -62,33 +62,100 @@ def features(spark, rows):
 
 
 def test_upsert(spark, database):
-    name, keys = f"{database}.f", ["dcn", "page"]
-    feature_store.create_feature_table(features(spark, [("a", 1.0, 1), ("a", 2.0, 2)]), name, keys, 4)
+    name = f"{database}.f"
+    feature_store.create_feature_table(features(spark, [("a", 1.0, 1), ("a", 2.0, 2)]), name, ["dcn", "page"], 4)
     change = features(spark, [("a", 2.0, 20), ("b", 1.0, 30)])
     want = {("a", 1.0, 1), ("a", 2.0, 20), ("b", 1.0, 30)}
     for _ in range(2):  # merging the same rows again changes nothing
-        assert {tuple(r) for r in feature_store.merge_features(change, name, keys, 4).collect()} == want
-    assert feature_store.overwrite_features(change, name, keys, 4).count() == 2
-    feature_store.drop_old_states(spark, name)
-    assert feature_store._states(spark, name) == [3, 4] and spark.table(name).count() == 2
+        assert {tuple(r) for r in feature_store.merge_features(change, name).collect()} == want
+    assert feature_store.overwrite_features(change, name).count() == 2
+    assert feature_store.merge_features(change.limit(0), name).count() == 2  # nothing to write, no version
+    assert feature_store.versions(spark, name) == [1, 2, 3, 4]
+    assert feature_store.read_version(spark, name, 1).count() == 2
+    assert {tuple(r) for r in feature_store.read_version(spark, name, 3).collect()} == want
+
+
+def _paths(df):
+    return {f.split("__files/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def test_merge_writes_only_the_buckets_it_touches(spark, database):
+    name = f"{database}.f"
+    rows = [(f"d{i}", float(i), i) for i in range(400)]
+    feature_store.create_feature_table(features(spark, rows), name, ["dcn", "page"], 16)
+    before = _paths(spark.table(name))
+    assert len(before) == 16
+    got = feature_store.merge_features(features(spark, [("d7", 7.0, -7)]), name)
+    after = _paths(got)
+    assert len(after) == 16 and len(after - before) == 1 and len(after & before) == 15
+    assert sorted(got.collect(), key=lambda r: r.page) == [(d, p, -v if v == 7 else v) for d, p, v in rows]
+    # Expiring drops the one file set that nothing names any more, and no other.
+    feature_store.merge_features(features(spark, [("d7", 7.0, 7000)]), name)
+    feature_store.expire_versions(spark, name, keep=2)
+    assert feature_store.versions(spark, name) == [2, 3] and len(feature_store._file_sets(spark, name)) == 17
+    assert feature_store.read_version(spark, name, 2).where("v < 0").count() == 1
+    feature_store.expire_versions(spark, name, keep=1)
+    assert len(feature_store._file_sets(spark, name)) == 16 and spark.table(name).where("v = 7000").count() == 1
 
 
 @pytest.mark.parametrize("rows", [[("a", 1.0, 1), ("a", 1.0, 2)], [(None, 1.0, 1)]])
 def test_key_violations_leave_the_table_alone(spark, database, rows):
-    name, keys = f"{database}.f", ["dcn", "page"]
-    feature_store.create_feature_table(features(spark, [("z", 1.0, 1)]), name, keys, 4)
+    name = f"{database}.f"
+    feature_store.create_feature_table(features(spark, [("z", 1.0, 1)]), name, ["dcn", "page"], 4)
     with pytest.raises(feature_store.KeyViolation):
-        feature_store.merge_features(features(spark, rows), name, keys, 4)
+        feature_store.merge_features(features(spark, rows), name)
     assert [tuple(r) for r in spark.table(name).collect()] == [("z", 1.0, 1)]
     # and the next merge works
-    assert feature_store.merge_features(features(spark, [("y", 1.0, 1)]), name, keys, 4).count() == 2
+    assert feature_store.merge_features(features(spark, [("y", 1.0, 1)]), name).count() == 2
+    with pytest.raises(feature_store.KeyViolation):
+        feature_store.create_feature_table(features(spark, rows), f"{database}.g", ["dcn", "page"], 4)
+    assert not spark.catalog.tableExists(f"{database}.g__files")
+
+
+def test_a_killed_merge_leaves_the_old_version(spark, database, monkeypatch):
+    """Killed while rows are written, and after that but before the manifest is there."""
+    name = f"{database}.f"
+    feature_store.create_feature_table(features(spark, [("a", 1.0, 1), ("b", 1.0, 2)]), name, ["dcn", "page"], 4)
+    old = [("a", 1.0, 1), ("b", 1.0, 2)]
+    fails = F.udf(lambda v: 1 // 0, "int")
+    with pytest.raises(Exception, match="ZeroDivision|division"):
+        feature_store.merge_features(features(spark, [("a", 1.0, 5)]).withColumn("v", fails("v")), name)
+    with monkeypatch.context() as m, pytest.raises(InterruptedError):
+        m.setattr(feature_store.files, "publish", lambda *a: (_ for _ in ()).throw(InterruptedError()))
+        feature_store.merge_features(features(spark, [("a", 1.0, 5)]), name)
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == old
+    assert sorted(tuple(r) for r in feature_store.read_version(spark, name).collect()) == old
+    leftover = len(feature_store._file_sets(spark, name))
+    got = feature_store.merge_features(features(spark, [("a", 1.0, 6)]), name)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1.0, 6), ("b", 1.0, 2)]
+    feature_store.expire_versions(spark, name, keep=1)
+    assert leftover == 3 and len(feature_store._file_sets(spark, name)) == 2
+
+
+def test_the_slower_of_two_merges_starts_again(spark, database, monkeypatch):
+    """Another writer publishes while a merge is at work: neither update is lost."""
+    name = f"{database}.f"
+    feature_store.create_feature_table(features(spark, [("a", 1.0, 1)]), name, ["dcn", "page"], 1)
+    write, raced = feature_store._write, []
+
+    def slow(*args):
+        done = write(*args)
+        if not raced:
+            raced.append(True)
+            feature_store.merge_features(features(spark, [("b", 1.0, 2)]), name)
+        return done
+
+    monkeypatch.setattr(feature_store, "_write", slow)
+    got = feature_store.merge_features(features(spark, [("c", 1.0, 3)]), name)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1.0, 1), ("b", 1.0, 2), ("c", 1.0, 3)]
+    assert feature_store.versions(spark, name) == [1, 2, 3]
 
 
 def test_merge_moves_only_the_updates(spark, database):
-    keys = ["dcn", "page"]
-    feature_store.create_feature_table(features(spark, [("a", 1.0, 1)]), f"{database}.f", keys, 4)
-    existing = spark.table(f"{database}.f__v1")
-    updates = feature_store._bucketed(features(spark, [("a", 1.0, 2)]), keys, 4)
+    keys, name = ["dcn", "page"], f"{database}.f"
+    feature_store.create_feature_table(features(spark, [("a", 1.0, 1)]), name, keys, 4)
+    existing = spark.table(f"{name}__files").where(feature_store.version(spark, name).where()).drop("feature_state")
+    updates = feature_store.with_key(features(spark, [("a", 1.0, 2)]), keys, 4).repartition(4, "_key")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = feature_store.merge(existing, updates)._jdf.queryExecution().toString()
@@ -99,6 +166,38 @@ def test_merge_moves_only_the_updates(spark, database):
     assert physical.count("Exchange") == physical.count("REPARTITION_BY_NUM") == 2
 
 
+def test_a_repeated_append_changes_nothing(spark, database, monkeypatch):
+    name, path = f"{database}.p", fresh_dir(spark, "p")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "pred_label string, version int")
+    for version, count in ((1, 2), (1, 2), (2, 4), (1, 4)):
+        assert tables.append_predictions(rows, name, path, "nightly", version).count() == count
+    assert tables.append_predictions(rows, name, path, "other", 1).count() == 6
+    fails = F.udf(lambda v: 1 // 0, "int")
+    with pytest.raises(Exception, match="ZeroDivision|division"):  # killed while rows are written
+        tables.append_predictions(rows.withColumn("version", fails("version")), name, path, "nightly", 3)
+    with monkeypatch.context() as m, pytest.raises(InterruptedError):  # and just before they are published
+        m.setattr(tables.files, "move", lambda *a: (_ for _ in ()).throw(InterruptedError()))
+        tables.append_predictions(rows, name, path, "nightly", 3)
+    assert spark.table(name).count() == spark.read.parquet(path).count() == 6
+    assert tables.append_predictions(rows, name, path, "nightly", 3).count() == 8
+    assert tables.append_predictions(rows, name, path).count() == 10  # no version: an append of its own
+    assert tables.append_predictions(rows, name, path).count() == 12
+    assert tables.replace_external(spark, f"{database}.q", path).count() == 12
+    with pytest.raises(ValueError):
+        tables.append_predictions(rows, name, path, "a/b", 1)
+
+
+def test_small_files_are_published_once(spark):
+    folder = fresh_dir(spark, "files")
+    assert files.names(spark, folder) == []
+    assert files.publish(spark, f"{folder}/a", "first é") and not files.publish(spark, f"{folder}/a", "second")
+    assert files.names(spark, folder) == ["a"] and files.read(spark, f"{folder}/a") == "first é"
+    with pytest.raises(Exception, match="FileNotFound|does not exist"):
+        files.move(spark, f"{folder}/none", f"{folder}/b")
+    files.remove(spark, f"{folder}/a")
+    assert not files.exists(spark, f"{folder}/a")
+
+
 def test_stream_reads_one_file_at_a_time(spark):
     source, sink, marks = (fresh_dir(spark, n) for n in ("s", "o", "m"))
     rows = [(t, "l", str(i), "k") for i, t in enumerate(TEXTS) if t]
