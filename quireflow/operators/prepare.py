@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.functions import chunks, hashing, text
+from quireflow.functions import bitmaps, chunks, hashing, text
 from quireflow.operators.ranking import running_total
 from quireflow.session import stored
 
@@ -16,28 +16,45 @@ from quireflow.session import stored
 def bronze(pages: DataFrame, order: Sequence[str] = ("dcn", "page")) -> DataFrame:
     """Pages with text, one per ``(text, label)``; the first in ``order`` survives.
 
-    Texts do not travel. Digests are grouped with map-side combine to find each group's
-    first page; the keys of all other pages are stored, and an anti-join removes them. Their
-    measured size decides whether they are broadcast. Pages that agree in text, label and
-    ``order`` cannot be told apart and are copies: of these any one is kept.
+    One pass groups digests and keys, with map-side combine. The groups that hold more than one
+    page are stored as a table of repeats and, by a hash, put into a bitmap filter of bounded
+    size. The second pass asks the filter about each page: pages that are not in it have no
+    copy and come out at once, their texts never digested again nor shuffled, however many
+    copies there are of others. Only the rest is joined to the repeats.
+
+    Pages that agree in text, label and ``order`` cannot be told apart and are copies: of
+    these any one is kept.
     """
-    keys = ["_digest", "label", *order]
-    kept = pages.where(F.col("text").isNotNull()).withColumn("_digest", hashing.text_key(F.col("text")))
-    counted = kept.groupBy(*keys).agg(F.count("*").alias("_n"))
-    first = kept.groupBy(F.col("_digest").alias("_d"), F.col("label").alias("_l")).agg(
-        F.min(F.struct(*order)).alias("_first"))
-    group = (F.col("_digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
-    copies = stored(
-        counted.join(first, group).withColumn("_lost", ~F.struct(*order).eqNullSafe(F.col("_first")))
-        .where("_lost OR _n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lost"), "copies",
+    order = list(order)
+    kept = pages.where(F.col("text").isNotNull())
+    digests = kept.select(hashing.text_key(F.col("text")).alias("_digest"), _page_code().alias("_code"), "label", *order)
+    alike = digests.groupBy("_digest", "label", *order).agg(F.count("*").alias("_same"), F.min("_code").alias("_code"))
+    repeats = stored(
+        alike.groupBy(F.col("_digest").alias("_d"), F.col("label").alias("_l")).agg(
+            F.min(F.struct(*order, "_same")).alias("_first"), F.sum("_same").alias("_n"), F.min("_code").alias("_c"))
+        .where("_n > 1").drop("_n"), "repeats",
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    alone = kept.join(copies, same, "left_anti")
-    repeated = copies.where("NOT _lost")
-    if not repeated.isEmpty():  # rows that repeat whole: keep one of each
-        again = kept.join(repeated, same, "left_semi")
-        alone = alone.unionByName(again.dropDuplicates(keys))
-    return alone.drop("_digest")
+    found = repeats.agg(F.count("*").alias("n"), F.max("_first._same").alias("same")).first()
+    if not found.n:
+        return kept
+    bits = bitmaps.size_for(found.n)
+    asked = bitmaps.marked(kept, _page_code(), bitmaps.build(repeats, "_c", bits), bits)
+    single = asked.where("NOT _hit").select(*pages.columns)
+
+    suspects = asked.where("_hit").withColumn("_digest", hashing.text_key(F.col("text")))
+    group = (F.col("_digest") == F.col("_d")) & F.col("label").eqNullSafe(F.col("_l"))
+    met = suspects.join(repeats, group, "left")
+    is_first = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first.{c}")) for c in order])
+    chosen = met.where(F.col("_d").isNull() | (is_first & (F.col("_first._same") == 1)))
+    single = single.unionByName(chosen.select(*pages.columns))
+    if found.same > 1:  # pages that repeat whole: any one of them
+        tied = met.where(is_first & (F.col("_first._same") > 1)).dropDuplicates(["_digest", "label"])
+        single = single.unionByName(tied.select(*pages.columns))
+    return single
+
+
+def _page_code() -> Column:
+    return F.xxhash64("text", "label")
 
 
 def silver(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quireflow.functions import events, hashing, text, vectors
+from quireflow.functions import bitmaps, events, hashing, text, vectors
 from quireflow.operators import (
     classify, embed, encode, evaluate, gate, labels, prepare, ranking, registry, score, sequences,
     splits, tabular,
@@ -33,11 +33,69 @@ def test_bronze_keeps_texts_where_they_are(spark):
     rows = [("t", "a", "d", float(i)) for i in range(5)] + [("t", "a", "d", 0.0), ("u", "b", "d", 1.0)]
     kept = prepare.bronze(pages(spark, rows[:5] + rows[6:]))
     assert sorted(r.page for r in kept.collect()) == [0.0, 1.0]
-    plan = physical(kept)
-    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning(_d" not in physical(kept)  # few repeats: not even these travel
     assert sorted(r.page for r in prepare.bronze(pages(spark, rows)).collect()) == [0.0, 1.0]  # a row that repeats whole
 
 
+def test_bronze_against_a_dict(spark):
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["hot", f"t{rnd.randint(0, 60)}", f"own {i}", None]), rnd.choice(["a", "b", None]),
+             rnd.choice(["d1", "d2", None]), rnd.choice([1.0, 2.0, None])) for i in range(900)]
+    least = lambda r: (r[2] is not None, r[2] or "", r[3] is not None, r[3] or 0.0)
+    want = {}
+    for r in rows:
+        if r[0] is not None and (r[:2] not in want or least(r) < least(want[r[:2]])):
+            want[r[:2]] = r
+    got = [tuple(r) for r in prepare.bronze(pages(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want.values()))
+    assert prepare.bronze(pages(spark, rows[:1] * 0)).collect() == []
+    swapped = prepare.bronze(pages(spark, rows).select("page", "dcn", "label", "text"), order=("page",))
+    assert swapped.columns == ["page", "dcn", "label", "text"] and swapped.count() == len(want)
+
+
+def _text_exchanges(plan):
+    """Exchanges that move texts between tasks, and whether the filter stands below each."""
+    found, nodes = [], [plan]
+    while nodes:
+        node = nodes.pop()
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "text#" in node.output().toString():
+            found.append("_bitmap" in node.toString() and "Filter" in node.toString())
+        nodes += below
+    return found
+
+
+def test_only_suspects_travel(spark):
+    """With broadcast joins off: a text without a copy is in no exchange, however many copies
+    others have."""
+    rows = [("hot", "a", "d", float(i)) for i in range(5000)] + [(f"own {i}", "a", "d", float(i)) for i in range(3000)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        kept = prepare.bronze(pages(spark, rows))
+        moved = _text_exchanges(kept._jdf.queryExecution().executedPlan())
+        assert moved and all(moved) and kept.count() == 3001
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("items, bits", [(0, 1 << 15), (2048, 1 << 15), (2049, 1 << 16), (10**12, 1 << 29)])
+def test_bitmap_size_has_a_bound(items, bits):
+    assert bitmaps.size_for(items) == bits
+
+
+def test_bitmap_has_all_its_items(spark):
+    made = spark.range(40_000).select(F.xxhash64("id").alias("code"), "id")
+    bits = bitmaps.size_for(20_000)
+    asked = bitmaps.marked(made, F.col("code"), bitmaps.build(made.where("id % 2 = 0"), "code", bits), bits)
+    hits = {r["even"]: r["hits"] for r in asked.groupBy((F.col("id") % 2 == 0).alias("even")).agg(
+        F.sum(F.col("_hit").cast("int")).alias("hits")).collect()}
+    assert hits[True] == 20_000 and hits[False] < 20_000 / 14
+    assert asked.columns == ["code", "id", "_hit"]
+
+
 # ---- chunk numbers --------------------------------------------------------------------
 
 def test_shared_pages_number_through(spark):
