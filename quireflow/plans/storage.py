@@ -13,10 +13,11 @@ from quireflow.functions import hashing, text, vectors
 from quireflow.operators import classify, embed, prepare, score, sequences
 from quireflow.plans import features as feature_queries
 from quireflow.plans import sqltext as q
-from quireflow.plans.tables import document_pages, load, turn_pages
+from quireflow.plans.tables import document_pages, load, messages, turn_pages
 from quireflow.session import fresh_dir, stored
 from quireflow.sources import csv_pages, feature_store, tables
 from quireflow.streaming import pages as streams
+from quireflow.streaming import transitions
 
 
 def csv_roundtrip(spark, d):
@@ -140,7 +141,7 @@ def _scored_stream(spark, d):
         spark, f"{source}/*.csv", contracts.STREAMED_PAGE, partitions=spark.sparkContext.defaultParallelism)
     query = streams.score_stream(pages, lambda p: score.score_pages(p, model), sink, marks)
     streams.run_to_end(query)
-    streams.stop_all(spark)
+    streams.stop_all(spark, [query])  # not the caller's own
     return spark.read.parquet(sink)
 
 
@@ -166,10 +167,27 @@ def stream_medallion(spark, d):
     return prepare.chunk_stats(spark.read.parquet(gold), "label")
 
 
+def stream_transitions(spark, d):
+    """Event messages streamed in three runs of one checkpoint, each bringing a third of the
+    events in no order of time: each version's stage, and its accepted events."""
+    source, moves, routes, marks = (fresh_dir(spark, n) for n in ("events", "moves", "routes", "marks"))
+    events = load(spark, d, "events").select("event_id", "ts", (F.col("value") < 20).alias("archive_existing"))
+    arriving = messages(spark, d).join(events, "event_id")
+    schema = arriving.schema
+    for third in range(3):
+        arriving.where(F.col("event_id") % 3 == third).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        streams.run_to_end(transitions.transitions_stream(stream, moves, f"{marks}/moves"))
+        streams.run_to_end(streams.append_stream(transitions.routed(stream), routes, f"{marks}/routes"))
+    accepted = spark.read.parquet(routes).where("reason = 'accepted'").groupBy("model_name", "version").agg(
+        F.count("*").alias("accepted"))
+    return transitions.current_stages(spark.read.parquet(moves)).join(accepted, ["model_name", "version"], "full")
+
+
 QUERIES = {
     f.__name__: f for f in (
         csv_roundtrip, sample_files, table_lifecycle, feature_upsert, feature_table_embeddings,
-        stream_scoring, stream_medallion,
+        stream_scoring, stream_medallion, stream_transitions,
     )
 }
 
@@ -191,6 +209,13 @@ def oracles() -> dict[str, str]:
         "feature_table_embeddings": feature_queries.stacked_sql(),
         "stream_scoring": f"""WITH {q.bayes(q.TURN_PAGES)} SELECT dcn || '/' || page::BIGINT AS "ID", label AS "Label_In",
           upper(predicted) AS pred_label, round(score, 6) AS pred_score FROM scored""",
+        "stream_transitions": """WITH m AS (SELECT 'model_' || user_id AS model_name, json_extract_string(props, '$.k') AS version,
+            CASE event_type WHEN 'purchase' THEN 'Production' ELSE 'Staging' END AS to_stage, row(ts, event_id) AS w, value < 20 AS clears
+            FROM events WHERE event_type IN ('purchase', 'signup')),
+          l AS (SELECT model_name, version, arg_max(to_stage, w) AS stage, max(w) AS w, count(*) AS accepted FROM m GROUP BY ALL),
+          s AS (SELECT model_name, to_stage AS stage, max(w) AS swept FROM m WHERE clears GROUP BY ALL)
+          SELECT model_name, version, CASE WHEN swept > w THEN 'Archived' ELSE stage END AS stage, accepted
+          FROM l LEFT JOIN s USING (model_name, stage)""",
         "stream_medallion": f"""SELECT label, count(*) AS chunks, sum(("index" = 1)::INT)::BIGINT AS pages,
           sum(len({q.tokens('text_chunk', False)}))::BIGINT AS words
           FROM {q.chunk_rows(silver_all, 'text_processed', 200, 50, True, drop_empty=True)} GROUP BY label""",

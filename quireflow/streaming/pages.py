@@ -7,7 +7,7 @@ exactly-once file sink; Bronze keeps its keys in the stream's state.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +47,10 @@ def run_to_end(query: StreamingQuery, timeout: int = 3600) -> None:
         raise TimeoutError(f"stream {query.id} still ran after {timeout} s")
 
 
-def stop_all(spark: SparkSession) -> int:
-    """Stop every active stream of the session."""
-    active = spark.streams.active
+def stop_all(spark: SparkSession, queries: Iterable[StreamingQuery] | None = None) -> int:
+    """Stop the streams given, or every active stream of the session; how many were active."""
+    chosen = None if queries is None else {q.id for q in queries}
+    active = [q for q in spark.streams.active if chosen is None or q.id in chosen]
     for query in active:
         query.stop()
     return len(active)
