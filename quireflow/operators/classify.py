@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,20 +21,27 @@ from quireflow.session import stored
 
 # ---- nearest centroid ---------------------------------------------------------------
 
+CLASSES, ROWS = 1024, 4096   # of one block
+SCORES_BYTES = 16 << 20      # most that scores of all classes may take as a broadcast matrix
+
+
 @dataclass(frozen=True)
 class CentroidModel:
-    """One mean vector per class id, and the table ``(label, label_id)`` of the class names.
-
-    Every scored row holds a number per class, so the vectors of all classes fit where a
-    row does. The names stay in their table.
-    """
+    """A mean vector per class: the table ``(label, label_id)`` of the class names, and the
+    vectors in blocks of ``CLASSES`` classes, rows ``(block, members)``."""
 
     dictionary: DataFrame
-    centroids: list[list[float]]
+    blocks: DataFrame
+    classes: int
+    dims: int
 
     def scores(self, vector: str) -> Column:
-        """Negative squared distance to each centroid, as ``array<double>``."""
-        c = np.asarray(self.centroids, dtype="float64")
+        """Negative squared distance to each centroid, as ``array<double>``: for models of few
+        classes, whose rows hold a number for each. ``nearest_class`` has no such bound."""
+        if self.classes * self.dims * 8 > SCORES_BYTES:
+            raise ValueError(f"{self.classes} classes are too many for a score of each; use nearest_class")
+        members = [m for row in self.blocks.orderBy("block").collect() for m in row["members"]]
+        c = np.asarray([m["mean"] for m in members], dtype="float64")
         norms = (c * c).sum(axis=1)
 
         def make_predict():
@@ -53,12 +62,104 @@ def fit_centroids(df: DataFrame, label: str, vector: str) -> CentroidModel:
     """Mean vector per class; ids follow the order of the class names."""
     means = sequences.pool(df.where(F.col(label).isNotNull()), [label], vector).select(label, "mean")
     placed = stored(global_index(means, label, name="label_id").withColumnRenamed(label, "label"), "centroids")
-    rows = placed.select("label_id", "mean").collect()
-    if not rows:
+    size = placed.agg(F.count("*").alias("n"), F.max(F.size("mean")).alias("dims")).first()
+    if not size.n:
         raise ValueError("no vectors to fit")
-    rows.sort(key=lambda r: r["label_id"])
+    member = F.struct(F.col("label_id").cast("int").alias("label_id"), "mean")
+    blocks = placed.groupBy(F.floor(F.col("label_id") / CLASSES).cast("int").alias("block")).agg(
+        F.sort_array(F.collect_list(member)).alias("members"))
     dictionary = placed.select("label", F.col("label_id").cast("int").alias("label_id"))
-    return CentroidModel(dictionary, [list(r["mean"]) for r in rows])
+    return CentroidModel(dictionary, stored(blocks, "classes"), size.n, size.dims)
+
+
+_BEST = [("best", "<i4"), ("peak", "<f8"), ("total", "<f8"), ("own", "<f8")]
+
+
+def _row_blocks(batches):
+    """Rows in blocks of ``ROWS``: their numbers, vectors and own class ids, packed."""
+    base, count = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            piece = batch.slice(at, ROWS)
+            vectors_ = np.stack(piece.column("vector").to_numpy(zero_copy_only=False)).astype("<f8")
+            own = piece.column("own").fill_null(-1).to_numpy().astype("<i4")
+            yield pa.RecordBatch.from_arrays([
+                pa.array([base + count], pa.int64()), pa.array([piece.column("row").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                pa.array([vectors_.tobytes()], pa.binary()), pa.array([own.tobytes()], pa.binary()),
+            ], names=["row_block", "rows", "vectors", "own"])
+            count += 1
+
+
+def _compare(dims: int, scale: float):
+    """The best class of each row within one block of classes, the sum of exponentials there,
+    and the score of the row's own class if it is among them."""
+    def run(batches):
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
+                ids = np.array([m["label_id"] for m in row["members"]])
+                c = np.array([m["mean"] for m in row["members"]], "<f8")
+                x = np.frombuffer(row["vectors"], "<f8").reshape(-1, dims)
+                own = np.frombuffer(row["own"], "<i4")
+                scores = -((x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T) + (c * c).sum(axis=1)[None, :]) * scale
+                out = np.zeros(len(x), _BEST)
+                at = scores.argmax(axis=1)
+                out["best"], out["peak"] = ids[at], scores[np.arange(len(x)), at]
+                out["total"] = np.exp(scores - out["peak"][:, None]).sum(axis=1)
+                here = (own >= ids[0]) & (own <= ids[-1])
+                out["own"] = np.where(here, scores[np.arange(len(x)), np.where(here, own - ids[0], 0)], np.nan)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["row_block"]], pa.int64()), pa.array([row["rows"]], pa.binary()),
+                    pa.array([out.tobytes()], pa.binary())], names=["row_block", "rows", "found"])
+    return run
+
+
+def _best_of_blocks(table: pa.Table) -> pa.Table:
+    found = np.stack([np.frombuffer(f, _BEST) for f in table["found"].to_pylist()])
+    found = np.take_along_axis(found, np.argsort(found["best"], axis=0), axis=0)  # the first class wins a tie
+    at = found["peak"].argmax(axis=0)
+    rows = np.arange(found.shape[1])
+    peak = found["peak"][at, rows]
+    total = (found["total"] * np.exp(found["peak"] - peak)).sum(axis=0)
+    own = np.where(np.isnan(found["own"]).all(axis=0), np.nan, np.nan_to_num(found["own"], nan=0.0).sum(axis=0))
+    loss = np.log(total) + peak - own
+    return pa.table({"_row": np.frombuffer(table["rows"][0].as_py(), "<i8"), "_best": found["best"][at, rows],
+                     "probability": 1.0 / total, "loss": pa.array(loss, mask=np.isnan(loss))})
+
+
+def nearest_class(
+    df: DataFrame, model: CentroidModel, vector: str, label: str | None = None, scale: float = 1.0
+) -> DataFrame:
+    """Add ``predicted`` (class), its ``probability`` (softmax over the scores of all classes)
+    and, given the ``label`` column, ``loss``, the cross-entropy.
+
+    For any number of classes: blocks of rows meet blocks of classes, each pair in one matrix
+    product that keeps the best class of each row and the sum of exponentials, and the blocks'
+    answers are merged. A row without vector has no prediction, one with a null or unseen label
+    no loss. The rows themselves do not travel with the vectors; they are stored once and get
+    their answers by number.
+    """
+    held = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    slim = held.where(F.col(vector).isNotNull()).select(
+        F.col("_row").alias("row"), F.col(vector).cast("array<double>").alias("vector"),
+        (F.lit(None).cast("string") if label is None else F.col(label)).alias("class"))
+    ids = model.dictionary.select(F.col("label").alias("_name"), F.col("label_id").cast("int").alias("own"))
+    slim = slim.withColumn("own", F.lit(None).cast("int")) if label is None else slim.join(
+        ids, F.col("class") == F.col("_name"), "left")
+    slim = slim.select("row", "vector", "own")
+    packed = slim.mapInArrow(_row_blocks, "row_block long, rows binary, vectors binary, own binary")
+    # Few classes are few keys: the rows are dealt over salts, which the classes are copied to.
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = -(-model.classes // CLASSES) - 1
+    left = packed.withColumns({
+        "block": F.explode(F.sequence(F.lit(0), F.lit(last))), "salt": F.pmod(F.xxhash64("row_block"), F.lit(salts)).cast("int")})
+    right = model.blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    compared = left.join(right, ["block", "salt"]).mapInArrow(
+        _compare(model.dims, scale), "row_block long, rows binary, found binary")
+    best = compared.groupBy("row_block").applyInArrow(
+        _best_of_blocks, "_row long, _best int, probability double, loss double")
+    named = labels.decode_label(best, model.dictionary, "_best", "predicted")
+    extra = ["predicted", "probability"] + ["loss"] * (label is not None)
+    return held.join(named.select("_row", *extra), "_row", "left").select(*df.columns, *extra)
 
 
 def classify_by_centroid(df: DataFrame, model: CentroidModel, vector: str, label: str | None = None) -> DataFrame:

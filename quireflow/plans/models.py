@@ -22,14 +22,19 @@ def _centroid_scored(spark, d):
     return classify.classify_by_centroid(vecs, model, "embedding", "label")
 
 
+def _centroid_nearest(spark, d):
+    vecs = load(spark, d, "embeddings")
+    return classify.nearest_class(vecs, classify.fit_centroids(vecs, "label", "embedding"), "embedding", "label")
+
+
 def nearest_centroid(spark, d):
-    return _centroid_scored(spark, d).select(
-        "vec_id", "label", "predicted", F.round(F.array_max("probabilities"), 5).alias("score")
+    return _centroid_nearest(spark, d).select(
+        "vec_id", "label", "predicted", F.round("probability", 5).alias("score")
     )
 
 
 def _centroid_pairs(spark, d):
-    return evaluate.confusion(_centroid_scored(spark, d), "label", "predicted")
+    return evaluate.confusion(_centroid_nearest(spark, d), "label", "predicted")
 
 
 def confusion_matrix(spark, d):

@@ -293,6 +293,52 @@ def test_nearest_centroid_against_numpy(spark):
     assert got == dict(enumerate(want.tolist()))
 
 
+def _nearest(x, c, scale=1.0):
+    scores = -((x[:, None, :] - c[None]) ** 2).sum(axis=2) * scale
+    shifted = np.exp(scores - scores.max(axis=1)[:, None])
+    return scores.argmax(axis=1), shifted / shifted.sum(axis=1)[:, None]
+
+
+@pytest.mark.parametrize("classes, rows, scale", [(1024, 4096, 1.0), (1, 3, 1.0), (3, 50, 1000.0)])
+def test_nearest_class_in_blocks(spark, monkeypatch, classes, rows, scale):
+    monkeypatch.setattr(classify, "CLASSES", classes)
+    monkeypatch.setattr(classify, "ROWS", rows)
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(120, 3)), rng.integers(0, 7, size=120)
+    data = [(i, f"c{y[i]}", x[i].tolist(), 1) for i in range(120)]
+    odd = [(200, None, x[0].tolist(), 1), (201, "c1", None, 1), (202, "unseen", x[1].tolist(), 1)]
+    schema = "i int, y string, v array<double>, own int"
+    model = classify.fit_centroids(spark.createDataFrame(data, schema), "y", "v")
+    rows_ = classify.nearest_class(spark.createDataFrame(data + odd, schema), model, "v", "y", scale).collect()
+    got = {r.i: r for r in rows_}
+    c = np.stack([x[y == k].mean(axis=0) for k in range(7)])
+    best, p = _nearest(x, c, scale)
+    assert len(rows_) == 123 and [got[i].predicted for i in range(120)] == [f"c{b}" for b in best]
+    assert np.allclose([got[i].probability for i in range(120)], p.max(axis=1))
+    true = np.maximum(p[np.arange(120), y], 1e-300)
+    assert np.allclose([min(got[i].loss, 600) for i in range(120)], np.minimum(-np.log(true), 600))
+    assert got[200].predicted == got[0].predicted and got[200].loss is None and got[202].loss is None
+    assert (got[201].predicted, got[201].loss) == (None, None)
+
+
+def test_nearest_of_fifty_thousand_classes(spark, monkeypatch):
+    """The class vectors stay a table of blocks; nobody collects them."""
+    monkeypatch.setattr(classify, "SCORES_BYTES", 1 << 20)
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(50_000, 4)).astype("float32").astype("float64")
+    known = spark.createDataFrame([(f"{k:05d}", v.tolist()) for k, v in enumerate(c)], "y string, v array<double>")
+    model = classify.fit_centroids(known, "y", "v")
+    assert model.classes == 50_000 and model.blocks.count() == 49
+    with pytest.raises(ValueError, match="nearest_class"):
+        model.scores("v")
+    x = rng.normal(size=(300, 4))
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, v array<double>")
+    got = {r.i: r for r in classify.nearest_class(asked, model, "v").collect()}
+    best, p = _nearest(x, c)
+    assert [got[i].predicted for i in range(300)] == [f"{b:05d}" for b in best]
+    assert np.allclose([got[i].probability for i in range(300)], p.max(axis=1))
+
+
 def test_linear_steps_against_numpy(spark):
     rng = np.random.default_rng(8)
     x, y = rng.normal(size=(90, 3)).astype("float32"), rng.integers(0, 3, 90)
