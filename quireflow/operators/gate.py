@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,32 +23,47 @@ def schema_matches(df: DataFrame, contract: T.StructType) -> bool:
     return all(have.get(f.name) == f.dataType for f in contract.fields)
 
 
+@dataclass(frozen=True)
+class Scored:
+    """Scored rows as stored, and what was counted while they were written."""
+
+    rows: DataFrame
+    out: int
+    bare: int
+    wild: int
+
+
+def store_scored(scored: DataFrame) -> Scored:
+    """Run the scoring once: the rows are stored, and rows, missing labels and scores out of
+    range are counted on the way."""
+    label = F.col("pred_label") if "pred_label" in scored.columns else F.lit(None).cast("string")
+    number = F.col("pred_score").cast("double") if "pred_score" in scored.columns else F.lit(None).cast("double")
+    watch = Observation()
+    rows = stored(scored.observe(
+        watch, F.count(F.lit(1)).alias("out"), F.count_if(label.isNull()).alias("bare"),
+        F.count_if(~F.coalesce(number.between(0.0, 1.0), F.lit(False))).alias("wild")), "scored")
+    return Scored(rows, **watch.get)
+
+
 def check_rows(
-    pages: DataFrame, scored: DataFrame, contract: T.StructType, keys: Sequence[str]
+    pages: DataFrame, scored: DataFrame | Scored, contract: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
     """One row per check ``(check, ok, detail)`` about a scored set of pages.
 
-    Rows are matched by ``keys``: both sides are counted per key in one aggregate over their
+    Counts come from the scoring pass itself (``store_scored``, done here if it has not been).
+    Only the keys are read again: both sides are counted per key in one aggregate over their
     union, so a lost row is not made up for by a doubled one.
     """
+    if isinstance(scored, DataFrame):
+        scored = store_scored(scored)
     keys = list(keys)
     zero = F.lit(0).cast("bigint")
-    fits = schema_matches(scored, contract)
-    label = F.col("pred_label") if "pred_label" in scored.columns else F.lit(None).cast("string")
-    number = F.col("pred_score").cast("double") if "pred_score" in scored.columns else F.lit(None).cast("double")
-    tagged = pages.select(*keys, F.lit(1).alias("side"), zero.alias("bare"), zero.alias("wild")).unionByName(
-        scored.select(
-            *keys, F.lit(-1).alias("side"), label.isNull().cast("bigint").alias("bare"),
-            (~F.coalesce(number.between(0.0, 1.0), F.lit(False))).cast("bigint").alias("wild"),
-        ))
-    per_key = tagged.groupBy(*keys).agg(
-        F.sum("side").alias("gap"), F.sum((F.col("side") == -1).cast("bigint")).alias("out"),
-        F.sum("bare").alias("bare"), F.sum("wild").alias("wild"),
-    )
-    facts = per_key.agg(*[F.coalesce(F.sum(c), zero).alias(n) for n, c in {
-        "out": F.col("out"), "lost": F.greatest("gap", zero), "extra": F.greatest(-F.col("gap"), zero),
-        "bare": F.col("bare"), "wild": F.col("wild"),
-    }.items()])
+    fits = schema_matches(scored.rows, contract)
+    sides = pages.select(*keys, F.lit(1).alias("side")).unionByName(scored.rows.select(*keys, F.lit(-1).alias("side")))
+    gaps = sides.groupBy(*keys).agg(F.sum("side").alias("gap"))
+    facts = gaps.agg(*[F.coalesce(F.sum(c), zero).alias(n) for n, c in {
+        "lost": F.greatest("gap", zero), "extra": F.greatest(-F.col("gap"), zero)}.items()]).withColumns(
+        {n: F.lit(getattr(scored, n)).cast("bigint") for n in ("out", "bare", "wild")})
 
     def check(name: str, ok: Column, detail: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), ok.alias("ok"), detail.cast("string").alias("detail"))

@@ -273,6 +273,23 @@ def validation_empty(spark, d):
     return gate.check_rows(document_pages(spark, d), scored, PREDICTION_COLUMNS, ["dcn", "page"])
 
 
+def validation_schema(spark, d):
+    """Two sets whose columns break the contract, one by a type and one by a column that is not
+    there: the checks of each, and the decision they lead to."""
+    scored = stored(document_pages(spark, d).select(
+        "dcn", "page", F.upper("label").alias("pred_label"), F.lit(0.5).alias("pred_score"),
+        F.lit(1.0).alias("pred_elapsed_time")), "scored")
+    pages = document_pages(spark, d)
+    cases = {"type": scored.withColumn("pred_score", F.col("pred_score").cast("string")),
+             "missing": scored.drop("pred_elapsed_time"), "good": scored}
+    out = []
+    for name, rows in cases.items():
+        checks = stored(gate.check_rows(pages, rows, PREDICTION_COLUMNS, ["dcn", "page"]), "checks")
+        decision = gate.decide(checks, "Staging").first()["decision"]
+        out.append(checks.select(F.lit(name).alias("case"), "check", "ok", "detail", F.lit(decision).alias("decision")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 QUERIES = {
     f.__name__: f for f in (
         nearest_centroid, confusion_matrix, confusion_matrix_wide, confusion_normalised,
@@ -280,6 +297,7 @@ QUERIES = {
         run_metrics, naive_bayes_lang, score_pages, score_by_partition, score_column,
         lr_chunk_classifier, page_sequence_classifier, model_embedding,
         validation_report, validation_decision, validation_report_bad, validation_reject, validation_empty,
+        validation_schema,
     )
 }
 
@@ -360,7 +378,7 @@ def oracles() -> dict[str, str]:
 
     def checks_sql(out, lost, extra, bare, wild, schema):
         return f"""SELECT unnest(['schema', 'not_empty', 'rows_kept', 'no_extra_rows', 'labels_present', 'scores_in_range']) AS "check",
-          unnest([true, n > 0, lost = 0, extra = 0, bare = 0, wild = 0]) AS ok,
+          unnest([{str(schema == "Schema OK").lower()}, n > 0, lost = 0, extra = 0, bare = 0, wild = 0]) AS ok,
           unnest(['{schema}', n::VARCHAR, lost::VARCHAR, extra::VARCHAR, bare::VARCHAR, wild::VARCHAR]) AS detail
           FROM (SELECT {out} AS n, {lost} AS lost, {extra} AS extra, {bare} AS bare, {wild} AS wild
             FROM (SELECT doc_id % 50 AS left_over FROM documents))"""
@@ -407,5 +425,9 @@ def oracles() -> dict[str, str]:
           CASE WHEN bad > 0 THEN 'Tests failed, moving to archived.  Check the job run to see what happened.'
             ELSE 'All tests passed!  Moving to Staging.' END AS comment
           FROM (SELECT count(*) FILTER (doc_id % 50 IN (3, 7, 11, 13)) AS bad FROM documents)""",
+        "validation_schema": " UNION ALL ".join(
+            f"""SELECT '{case}' AS "case", *, '{decision}' AS decision FROM ({checks_sql("count(*)", "0", "0", "0", "0", told)})"""
+            for case, told, decision in (("type", "Schema validation failed", "reject"),
+                                         ("missing", "Schema validation failed", "reject"), ("good", "Schema OK", "approve"))),
         "validation_empty": checks_sql("0", "count(*)", "0", "0", "0", "Schema OK"),
     }

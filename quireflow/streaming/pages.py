@@ -7,8 +7,11 @@ exactly-once file sink; Bronze keeps its keys in the stream's state.
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quireflow.functions import hashing
 from quireflow.operators import prepare
 from quireflow.session import stored
+from quireflow.sources import files
 from quireflow.sources.csv_pages import read_options
 
 
@@ -73,40 +77,96 @@ def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
     return fresh.join(keys, same, "left_anti")
 
 
-def bronze_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def bronze_stream(pages: DataFrame, path: str, checkpoint: str, forget_after: str | None = None) -> StreamingQuery:
     """Append only pages whose ``(text, label)`` Bronze does not hold yet.
 
     The stream's keyed state drops what this query has seen, so a batch costs what it holds
     and never scans the query's own output. What remains is compared with the pages of other
-    queries (an earlier checkpoint, a second source) and of an earlier attempt at the same
-    batch; both are found by the folder names ``query=…/batch=…``, and only their digests are
-    read. Each batch is appended, so stages behind see a page once.
+    queries (an earlier checkpoint, a second source); only their digests are read. Each batch
+    is appended to a folder ``query=…/batch=…`` of its own, so stages behind see a page once.
 
-    Two queries that meet the same new page at the same moment can both write it: run the
-    sources of one Bronze table one after another, or as one stream.
+    Any number of queries may write one Bronze table at the same time, see ``land``.
+
+    The state has an entry for every page seen. With ``forget_after`` ("7 days") entries older
+    than that go, and batches are compared with the query's own pages, too.
     """
     digests = pages.where(F.col("text").isNotNull()).withColumn("digest", hashing.text_key(F.col("text")))
-    unseen = digests.dropDuplicates(["digest", "label"])
+    key = ["digest", "label"]
+    if forget_after is None:
+        unseen = digests.dropDuplicates(key)
+    else:
+        unseen = digests.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", forget_after)
+        unseen = unseen.dropDuplicatesWithinWatermark(key).drop("_seen")
     # A checkpoint is what makes two runs the same query.
     query = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    schema = bronze_schema(pages.schema)
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.withColumns({"query": F.lit(query), "batch": F.lit(batch_id).cast("bigint")})
-        schema = bronze_schema(pages.schema)
-        if batch_id == 0:  # an append of no rows: from here on the folder can be read
-            spark.createDataFrame([], schema).write.mode("append").parquet(path)
-        known = spark.read.schema(schema).option("basePath", path).parquet(path).where(
-            (F.col("query") != query) | (F.col("batch") == batch_id)).select("digest", "label")
-        rows = stored(_without_known(fresh, known), "bronze")
-        rows.write.mode("append").partitionBy("query", "batch").parquet(path)
+    def run(batch: DataFrame, batch_id: int) -> None:
+        land(batch, batch_id, query, path, schema, own=forget_after is not None)
 
     return (
-        unseen.writeStream.foreachBatch(land)
+        unseen.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def land(batch: DataFrame, batch_id: int, query: str, path: str, schema: T.StructType, own: bool = False) -> None:
+    """Bring the new pages of a batch into Bronze, exactly once.
+
+    The folder ``_log`` has a file for each batch landed, numbered without gaps. A batch is
+    compared with what the log holds, written to a draft that readers skip, and landed by
+    publishing the next number. If another writer has taken that number, its pages may be the
+    same ones, and the batch is compared again; so two writers never both land a page.
+
+    A writer that dies after publishing leaves its draft to be moved by the next one, before
+    that one publishes: only the newest entry can be unfinished. A batch that has landed, in a
+    try that died later, is left alone.
+    """
+    spark = batch.sparkSession
+    fresh = None
+    while True:
+        numbers, newest = _log(spark, path)
+        if newest:
+            _finish(spark, path, newest)
+        if files.exists(spark, f"{path}/query={query}/batch={batch_id}"):
+            files.remove(spark, f"{path}/_drafts/{query}-{batch_id}")
+            return
+        if fresh is None:
+            fresh = stored(batch, "batch")
+        known = spark.read.schema(schema).option("basePath", path).parquet(path) if newest else None
+        if known is not None and not own:
+            known = known.where(F.col("query") != query)
+        rows = fresh if known is None else _without_known(fresh, known.select("digest", "label"))
+        entry = {"query": query, "batch": batch_id, "draft": uuid.uuid4().hex[:12]}
+        _draft(rows, f"{path}/_drafts/{query}-{batch_id}/{entry['draft']}")
+        if files.publish(spark, f"{path}/_log/{numbers + 1:08d}.json", json.dumps(entry)):
+            _finish(spark, path, entry)
+            files.remove(spark, f"{path}/_drafts/{query}-{batch_id}")
+            return
+
+
+def _draft(rows: DataFrame, path: str) -> None:
+    rows.write.parquet(path)
+
+
+def _log(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    """Number of the last batch landed, and its entry."""
+    found = [f for f in files.names(spark, f"{path}/_log") if not f.startswith(".")]
+    return len(found), json.loads(files.read(spark, f"{path}/_log/{found[-1]}")) if found else None
+
+
+def _finish(spark: SparkSession, path: str, entry: dict) -> None:
+    """Let readers see a batch whose landing is published; any writer may do it."""
+    target = f"{path}/query={entry['query']}/batch={entry['batch']}"
+    draft = f"{path}/_drafts/{entry['query']}-{entry['batch']}/{entry['draft']}"
+    if not files.exists(spark, target):
+        try:
+            files.move(spark, draft, target)
+        except Py4JJavaError:
+            if not files.exists(spark, target):  # another writer may have finished it meanwhile
+                raise
+
+
 def bronze_schema(pages: T.StructType) -> T.StructType:
     return T.StructType(
         [f for f in pages.fields]

@@ -249,3 +249,66 @@ def test_a_batch_that_runs_again_appends_nothing(spark, tmp_path):
     pathlib.Path(marks, "commits", ".0.crc").rename(tmp_path / "crc")
     streams.run_to_end(streams.bronze_stream(stream, bronze, marks), 120)
     assert commit.exists() and spark.read.parquet(bronze).count() == 1
+
+
+def _fresh(spark, texts):
+    rows = spark.createDataFrame([(t, "a", "d", 1.0) for t in texts], contracts.PAGE)
+    return rows.withColumn("digest", F.sha2("text", 256))
+
+
+def _landed(spark, path):
+    return sorted(r.text for r in spark.read.parquet(path).select("text").collect())
+
+
+def test_two_writers_never_land_one_page_twice(spark, monkeypatch):
+    """Another writer lands the same pages after a batch was compared with Bronze."""
+    path, schema = fresh_dir(spark, "b"), streams.bronze_schema(contracts.PAGE)
+    draft, raced = streams._draft, []
+
+    def slow(rows, where):
+        draft(rows, where)
+        if not raced:
+            raced.append(True)
+            streams.land(_fresh(spark, ["x", "y"]), 0, "other", path, schema)
+
+    monkeypatch.setattr(streams, "_draft", slow)
+    streams.land(_fresh(spark, ["y", "z"]), 0, "mine", path, schema)
+    assert raced and _landed(spark, path) == ["x", "y", "z"]
+    streams.land(_fresh(spark, ["y", "z"]), 0, "mine", path, schema)  # the same batch again
+    assert _landed(spark, path) == ["x", "y", "z"]
+    assert not [n for n in files.names(spark, f"{path}/_drafts")]
+
+
+def test_two_queries_started_together(spark):
+    sources, bronze = [fresh_dir(spark, n) for n in ("s1", "s2")], fresh_dir(spark, "b")
+    for k, source in enumerate(sources):
+        for part in range(3):
+            rows = [(f"t{(i * 7 + k) % 40}", "a", "d", float(i)) for i in range(part * 20, part * 20 + 20)]
+            spark.createDataFrame(rows, contracts.PAGE).coalesce(1).write.mode("append").parquet(source)
+    started = [streams.bronze_stream(
+        spark.readStream.schema(contracts.PAGE).option("maxFilesPerTrigger", 1).parquet(s), bronze, fresh_dir(spark, "m"))
+        for s in sources]
+    for query in started:
+        streams.run_to_end(query, 300)
+    assert _landed(spark, bronze) == sorted({f"t{(i * 7 + k) % 40}" for k in range(2) for i in range(60)})
+
+
+def test_a_batch_published_but_not_finished(spark, monkeypatch):
+    path, schema = fresh_dir(spark, "b"), streams.bronze_schema(contracts.PAGE)
+    with monkeypatch.context() as m, pytest.raises(InterruptedError):  # killed right after publishing
+        m.setattr(streams, "_finish", lambda *a: (_ for _ in ()).throw(InterruptedError()))
+        streams.land(_fresh(spark, ["x"]), 0, "mine", path, schema)
+    assert files.names(spark, path) == ["_drafts", "_log"]
+    streams.land(_fresh(spark, ["x", "y"]), 0, "other", path, schema)  # the next writer finishes it
+    assert _landed(spark, path) == ["x", "y"]
+    streams.land(_fresh(spark, ["x"]), 0, "mine", path, schema)
+    assert _landed(spark, path) == ["x", "y"]
+
+
+def test_state_that_forgets(spark):
+    source, bronze, marks = (fresh_dir(spark, n) for n in ("s", "b", "m"))
+    for texts in (["t", "u"], ["t", "v", "v"]):
+        spark.createDataFrame([(t, "a", "d", 1.0) for t in texts], contracts.PAGE).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(contracts.PAGE).parquet(source)
+        streams.run_to_end(streams.bronze_stream(stream, bronze, marks, forget_after="1 seconds"), 200)
+    assert _landed(spark, bronze) == ["t", "u", "v"]
