@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -258,6 +259,9 @@ def apply_text_model(pages: DataFrame, model: TextModel, source: str | None) ->
 
 # ---- linear classifier --------------------------------------------------------------
 
+GROUPS = 32  # of tasks whose gradients are added up together
+
+
 @dataclass(frozen=True)
 class LinearModel:
     """Weights ``[classes, dimensions + 1]`` (the last is the intercept) and the metric rows
@@ -308,7 +312,7 @@ def fit_linear(
     """Softmax regression by full-batch gradient steps on the rows of the ``train`` split.
 
     One pass per epoch: each task sends its gradient and the sums behind the metrics of
-    every split, and these few rows are added up. Store ``df`` first. The last history
+    every split as vectors, which are added up in two levels; the driver gets the totals. Store ``df`` first. The last history
     rows are those of the final weights.
     """
     first = df.select(F.size(vector).alias("d")).first()
@@ -318,16 +322,16 @@ def fit_linear(
     slim = df.select(vector, label_id, split)
     for epoch in range(epochs + 1):
         parts = slim.mapInPandas(_pass_over(vector, label_id, split, weights), "split string, sums array<double>")
-        cells = parts.select("split", F.posexplode("sums").alias("at", "v")).groupBy("split", "at").agg(F.sum("v").alias("v"))
-        sums: dict = {}
-        for row in cells.collect():  # a number per weight, and three per split
-            sums.setdefault(row["split"], {})[row["at"]] = row["v"]
+        # Whole vectors are summed, first within groups of tasks and then over these.
+        partly = parts.select("split", array_to_vector("sums").alias("v"), F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g"))
+        partly = partly.groupBy("split", "g").agg(Summarizer.sum(F.col("v")).alias("v"))
+        sums = {r["split"]: r["v"].toArray() for r in
+                partly.groupBy("split").agg(Summarizer.sum(F.col("v")).alias("v")).collect()}  # a row per split, and one
         grad = sums.pop(None)
         for name, s in sorted(sums.items()):
             history.append((epoch, name, int(s[0]), int(s[1]), s[2] / s[0]))
         if epoch < epochs and "train" in sums:
-            step = np.array([grad[i] for i in range(weights.size)]).reshape(weights.shape)
-            weights = weights - rate * step / sums["train"][0]
+            weights = weights - rate * grad.reshape(weights.shape) / sums["train"][0]
     return LinearModel(weights, history)
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quireflow.functions.hashing import text_key
+from quireflow.session import stored
+from quireflow.sources import feature_store
+
 
 def bucket_names(digits: int) -> list[str]:
     """All hex strings of that length, i.e. the vocabulary of hash buckets."""
@@ -60,3 +64,28 @@ def model_embedding(
         input_tensor_shapes=input_shapes,
     )
     return udf(*inputs)
+
+
+def cached_embedding(
+    df: DataFrame, source: str, embedding: Column, table: str, model: str, out: str = "embedding", buckets: int = 16,
+) -> DataFrame:
+    """Add ``embedding``, computed only for texts that no earlier run has embedded.
+
+    ``table`` is a feature table of vectors by model name and digest of the text; it is made on
+    first use. Texts it lacks reach the model once each, however often they occur, and join it;
+    a second run over the same texts calls no model. Rows of null text get null.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumns({"_model": F.lit(model), "_digest": text_key(F.col(source))})
+    missing = keyed.where(F.col("_digest").isNotNull()).select("_model", "_digest", F.col(source))
+    known = spark.catalog.tableExists(f"{table}__files")
+    if known:
+        missing = missing.join(spark.table(table).select("_model", "_digest"), ["_model", "_digest"], "left_anti")
+    missing = stored(missing.dropDuplicates(["_model", "_digest"]), "missing")
+    made = missing.select("_model", "_digest", embedding.alias("_vector"))
+    if not known:
+        feature_store.create_feature_table(made, table, ["_model", "_digest"], buckets)
+    elif not missing.isEmpty():
+        feature_store.merge_features(made, table)
+    vectors = spark.table(table).where(F.col("_model") == model).select("_digest", F.col("_vector").alias(out))
+    return keyed.join(vectors, "_digest", "left").select(*df.columns, out)

@@ -127,6 +127,30 @@ def feature_table_embeddings(spark, d):
         _drop(spark, name, before)
 
 
+def cached_embedding(spark, d):
+    """Turns embedded through a table of known vectors: the questions first, then all turns, of
+    which only those with new texts reach the model."""
+    name = f"quire_{uuid.uuid4().hex[:8]}"
+    before = spark.catalog.currentDatabase()
+
+    def load_model():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), t.count(" ")] for t in texts.reshape(-1)], dtype="float32")
+
+    turns = turn_pages(spark, d)
+    vector = embed.model_embedding(load_model, "text")
+    try:
+        tables.use_database(spark, name, fresh_dir(spark, "vectors"))
+        embed.cached_embedding(turns.where("label = 'user'"), "text", vector, f"{name}.known", "lengths", buckets=8)
+        made = embed.cached_embedding(turns, "text", vector, f"{name}.known", "lengths")
+        return stored(made.select(
+            "dcn", "page", F.get("embedding", F.lit(0)).cast("int").alias("chars"),
+            F.get("embedding", F.lit(1)).cast("int").alias("blanks")), "embedded")
+    finally:
+        _drop(spark, name, before)
+
+
 def _scored_stream(spark, d):
     source, sink, marks = (fresh_dir(spark, n) for n in ("pages", "scores", "marks"))
     turns = turn_pages(spark, d)
@@ -187,7 +211,7 @@ def stream_transitions(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         csv_roundtrip, sample_files, table_lifecycle, feature_upsert, feature_table_embeddings,
-        stream_scoring, stream_medallion, stream_transitions,
+        cached_embedding, stream_scoring, stream_medallion, stream_transitions,
     )
 }
 
@@ -207,6 +231,8 @@ def oracles() -> dict[str, str]:
           UNION ALL SELECT 'copy-' || conv_id, turn::DOUBLE, length(text)::INT, 'merged' FROM conversations
           WHERE role = 'user'""",
         "feature_table_embeddings": feature_queries.stacked_sql(),
+        "cached_embedding": """SELECT conv_id::VARCHAR AS dcn, turn::DOUBLE AS page, length(text)::INT AS chars,
+          (length(text) - length(replace(text, ' ', '')))::INT AS blanks FROM conversations""",
         "stream_scoring": f"""WITH {q.bayes(q.TURN_PAGES)} SELECT dcn || '/' || page::BIGINT AS "ID", label AS "Label_In",
           upper(predicted) AS pred_label, round(score, 6) AS pred_score FROM scored""",
         "stream_transitions": """WITH m AS (SELECT 'model_' || user_id AS model_name, json_extract_string(props, '$.k') AS version,

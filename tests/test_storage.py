@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quireflow import contracts
-from quireflow.operators import prepare
+from quireflow.operators import embed, prepare
 from quireflow.session import fresh_dir
 from quireflow.sources import csv_pages, feature_store, files, tables
 from quireflow.streaming import pages as streams
@@ -312,3 +312,29 @@ def test_state_that_forgets(spark):
         stream = spark.readStream.schema(contracts.PAGE).parquet(source)
         streams.run_to_end(streams.bronze_stream(stream, bronze, marks, forget_after="1 seconds"), 200)
     assert _landed(spark, bronze) == ["t", "u", "v"]
+
+
+def test_known_texts_reach_no_model(spark, database):
+    """Calls are counted by an accumulator in the model."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def model(text):
+        calls.add(1)
+        return [float(len(text))]
+
+    def run(texts, name="m"):
+        df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+        before = calls.value
+        made = embed.cached_embedding(df, "text", model("text"), f"{database}.known", name, buckets=4)
+        got = {r.i: r.embedding for r in made.collect()}
+        assert made.columns == ["i", "text", "embedding"]
+        assert got == {i: None if t is None else [float(len(t))] for i, t in enumerate(texts)}
+        return calls.value - before
+
+    assert run(["a", "bb", "a", None, "a"]) == 2
+    assert run(["bb", "a", None]) == 0
+    assert run(["bb", "ccc", "ccc", ""]) == 2
+    assert run(["a", "ccc"], "another model") == 2
+    assert run(["a", "bb", "ccc", ""]) == 0
+    assert run([]) == 0
