@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,5 +72,20 @@ def numbered(df: DataFrame, order: list[Column], group: str | None = None,
     )
 
 
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` renamed, so that no name clashes with those an
+    operator works with, and the function that names them back. Columns that the operator has
+    added come last; where one has the name of a column of ``docs``, it replaces that column."""
+    names = {c: c if c in used else f"__in_{i}" for i, c in enumerate(docs.columns)}
+    held = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+
+    def back(df: DataFrame) -> DataFrame:
+        added = [c for c in df.columns if c not in names.values()]
+        kept = [F.col(n).alias(c) for c, n in names.items() if c not in added and n in df.columns]
+        return df.select(*kept, *added)
+
+    return held, back
+
+
 def text_digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quireflow.llm import packed
-from quireflow.llm.common import lower_ascii, stored, text_or_empty
+from quireflow.llm.common import set_aside, lower_ascii, stored, text_or_empty
 
 WINDOW = 13
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -232,6 +232,7 @@ def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[tuple[bool, P
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1)), F.lit(PIECE))
     pieces = items.select("item", "words", F.explode(starts).alias("at")).select(
         "item", F.slice("words", F.col("at"), F.lit(PIECE + window - 1)).alias("words"))
+    pieces = pieces.distinct()  # copies of an item say nothing new, and would share a block
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     count = max(1, -(-total // BLOCK_WORDS))
     number = F.pmod(F.xxhash64("item", "words"), F.lit(count))
@@ -243,6 +244,7 @@ def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[tuple[bool, P
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) plus ``__n_words``, ``__spans`` (words to
     remove, end exclusive) and ``__items`` (ids of the items found, sorted)."""
+    docs, back = set_aside(docs if keep is None else docs.select(*dict.fromkeys([*keep, "text"])), *(keep or ()), "text")
     keep = docs.columns if keep is None else keep
     docs = docs.withColumn("text", F.col("text").cast("string"))
     found = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__spans": F.lit(None).cast(SPANS),
@@ -254,7 +256,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, w
         found = found.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(block), shown), schema)
         if not last:  # one block in the workers' memory at a time
             found = stored(found, "block")
-    return found
+    return back(found)
 
 
 def verdicts(found: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import lower_ascii, text_or_empty
+from quireflow.llm.common import set_aside, lower_ascii, text_or_empty
 
 #: Known sentences, normalised (lower case, letters, digits and inner dots).
 SENTENCES: dict[str, str] = {
@@ -115,13 +115,14 @@ def sentences(text: Column) -> Column:
 def scan(docs: DataFrame, known: dict[str, str] = SENTENCES,
          rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> DataFrame:
     """``docs`` plus ``sentence_ids`` (array, in order) and ``licenses`` (sorted array)."""
+    docs, back = set_aside(docs, "text")
     by_text = F.create_map(*[F.lit(x) for name, sentence in known.items() for x in (sentence, name)])
     found = F.filter(sentences(text_or_empty()), lambda s: s.isin(*known.values()))
     marked = docs.withColumn("sentence_ids", F.transform(found, lambda s: F.element_at(by_text, s)))
     line = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
     hits = [F.when(line.rlike(" " + BETWEEN.join(rule) + " "), F.lit(name))
             for name, rule in rules]
-    return marked.withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
+    return back(marked.withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))))
 
 
 def oracle() -> str:

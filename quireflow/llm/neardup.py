@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.llm import packed
-from quireflow.llm.common import numbered, stored, text_or_empty
+from quireflow.llm.common import set_aside, numbered, stored, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = (4, 5)                # 0.8 as a fraction, for exact comparison
@@ -451,7 +451,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     last = F.lit(2**63 - 1)
     kept = nodes.groupBy("label").agg(F.min(F.struct(F.coalesce("first_id", last).alias("__id"), F.col("digest").alias("__digest"))).alias("k"))
     kept = kept.select("k.__id", "k.__digest")
-    keyed = docs.withColumn("__id2", F.coalesce(F.col("doc_id").cast("long"), last)).withColumn(
-        "__digest2", F.md5(text_or_empty(F.col("text").cast("string")).cast("binary")))
+    held, back = set_aside(docs)
+    names = dict(zip(docs.columns, held.columns))
+    keyed = held.withColumn("__id2", F.coalesce(F.col(names["doc_id"]).cast("long"), last)).withColumn(
+        "__digest2", F.md5(text_or_empty(F.col(names["text"]).cast("string")).cast("binary")))
     rows = keyed.join(kept, (F.col("__id2") == F.col("__id")) & (F.col("__digest2") == F.col("__digest")))
-    return rows.dropDuplicates(["__id2", "__digest2"]).select(*docs.columns)
+    return back(rows.dropDuplicates(["__id2", "__digest2"]).select(*held.columns))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quireflow.llm import packed
+from quireflow.llm.common import set_aside
 
 WINDOW = 13
 DEPTH = 2
@@ -216,6 +217,7 @@ def _apply(window: int, fields: list[str]):
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` plus ``__n_words, __n_removed, __kept``: the words left, joined by one blank."""
+    docs, back = set_aside(docs, "doc_id", "text")
     docs = docs.withColumn("text", F.col("text").cast("string"))
     held = packed.shards(docs)
     # About one window for every six bytes of text, and two cells for each window.
@@ -229,7 +231,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                        "repeats").withColumnRenamed("answers", "least")
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", T.LongType()),
                            T.StructField("__n_removed", T.LongType()), T.StructField("__kept", T.StringType())])
-    return held.join(least, "shard", "left").mapInArrow(_apply(window, docs.columns), schema)
+    return back(held.join(least, "shard", "left").mapInArrow(_apply(window, docs.columns), schema))
 
 
 def digest(removed: DataFrame) -> DataFrame:

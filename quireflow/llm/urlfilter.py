@@ -40,39 +40,50 @@ def names_above(name: Column) -> Column:
 
 
 def intervals(entries: DataFrame) -> DataFrame:
-    """``name, action, category, valid_from, valid_to`` (null: still valid) from dated entries
-    ``name, action, category, listed_at``."""
+    """``name, action, category, valid_from, valid_to`` (end exclusive; null: still valid) from
+    dated entries ``name, action, category, listed_at`` and, if there is such a column,
+    ``delisted_at``: an entry is valid until the name's next one or its own end, if that comes
+    first. An end at or before the beginning makes it valid at no time."""
+    if "delisted_at" not in entries.columns:
+        entries = entries.withColumn("delisted_at", F.lit(None))
+    end = F.col("delisted_at").cast(entries.schema["listed_at"].dataType)
     one = entries.filter(F.col("name").isNotNull() & F.col("listed_at").isNotNull()).groupBy("name", "listed_at").agg(
-        F.max(F.struct("action", "category")).alias("__e"))
+        F.max(F.struct("action", "category", end.alias("end"))).alias("__e"))
     after = Window.partitionBy("name").orderBy("listed_at")
     return one.select("name", "__e.action", "__e.category", F.col("listed_at").alias("valid_from"),
-                      F.lead("listed_at").over(after).alias("valid_to"))
+                      F.least(F.lead("listed_at").over(after), F.col("__e.end")).alias("valid_to"))
 
 
 def active_at(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Captures ``__name, __time, …`` plus ``__entry`` (struct action, category, valid_from):
-    the last entry of the name at or before the time."""
-    held = F.struct("action", "category", F.col("listed_at").alias("valid_from"))
-    listed = entries.filter(F.col("name").isNotNull() & F.col("listed_at").isNotNull()).groupBy("name", "listed_at").agg(
-        F.max(F.struct("action", "category")).alias("__e")
-    ).select("name", "listed_at", "__e.*").select(
-        F.col("name").alias("__name"), F.col("listed_at").alias("__time"), held.alias("__entry"),
-        F.lit(0).alias("__kind"))
-    both = listed.unionByName(
-        captures.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
+    the entry whose interval holds the time, or null.
+
+    Beginnings and ends of intervals stand in one sort with the captures, and the last one
+    before a capture says what holds: an as-of join that cuts through a hot name. Where one
+    interval ends and the next begins, the end comes first."""
+    spans = intervals(entries)
+    held = F.struct("action", "category", "valid_from", F.lit(True).alias("open"))
+    begun = spans.select(F.col("name").alias("__name"), F.col("valid_from").alias("__time"), held.alias("__entry"),
+                         F.lit(1).alias("__kind"))
+    shut = F.struct("action", "category", "valid_from", F.lit(False).alias("open"))
+    ended = spans.where("valid_to IS NOT NULL").select(
+        F.col("name").alias("__name"), F.greatest("valid_from", "valid_to").alias("__time"), shut.alias("__entry"),
+        F.when(F.col("valid_to") > F.col("valid_from"), 0).otherwise(2).alias("__kind"))
+    both = begun.unionByName(ended).unionByName(captures.withColumn("__kind", F.lit(3)), allowMissingColumns=True)
     order = [F.col("__name"), F.col("__time"), F.col("__kind")]
     rows = stored(both.repartitionByRange(*order).sortWithinPartitions(*order)
                   .withColumn("__part", F.spark_partition_id())
                   .withColumn("__at", F.monotonically_increasing_id()), "asof")
-    last = F.max_by("__entry", F.when(F.col("__kind") == 0, F.col("__at")))
+    last = F.max_by("__entry", F.when(F.col("__kind") < 3, F.col("__at")))
     ends = rows.groupBy("__name", "__part").agg(last.alias("__last"))
     earlier = Window.partitionBy("__name").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select("__name", "__part", F.last("__last", ignorenulls=True).over(earlier).alias("__start"))
     so_far = Window.partitionBy("__name", "__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-    filled = rows.withColumn("__seen", F.last("__entry", ignorenulls=True).over(so_far)).filter("__kind = 1")
+    filled = rows.withColumn("__seen", F.last("__entry", ignorenulls=True).over(so_far)).filter("__kind = 3")
+    found = F.coalesce("__seen", "__start")
     return (
         filled.join(starts, ["__name", "__part"], "left")
-        .withColumn("__entry", F.coalesce("__seen", "__start"))
+        .withColumn("__entry", F.when(found["open"], found.dropFields("open")))
         .drop("__part", "__at", "__kind", "__seen", "__start")
     )
 
