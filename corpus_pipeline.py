@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quireflow.llm import decontaminate as contamination
 from quireflow.llm import mixing, neardup, substrings
 from quireflow.llm import quality as classifier
-from quireflow.llm.common import load, remainder, stored
+from quireflow.llm.common import load, remainder, set_aside, stored
 
 ORACLE_SQL = None  # a fitted classifier and hashed near-duplicates are beyond SQL
 
@@ -34,16 +34,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    held, back = set_aside(docs, "doc_id", "text", "n_chars")
     cut = F.col("__n_removed") > 0
-    left = substrings.remove_repeats(docs).withColumn("text", F.when(cut, F.col("__kept")).otherwise(F.col("text")))
+    left = substrings.remove_repeats(held).withColumn("text", F.when(cut, F.col("__kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+    return back(left.select(*held.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination.verdicts(contamination.find(docs, load(spark, sf_dir, "benchmark")))
-    return found.filter(~F.col("__contaminated")).select(*docs.columns)
+    held, back = set_aside(docs, "doc_id", "text")
+    found = contamination.verdicts(contamination.find(held, load(spark, sf_dir, "benchmark")))
+    return back(found.filter(~F.col("__contaminated")).select(*held.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
