@@ -59,12 +59,13 @@ def _page_code() -> Column:
 
 def silver(
     bronze_pages: DataFrame,
-    paragraphs: str = "last",
+    paragraphs: str = "all",
     noise_phrases: Sequence[str] = (),
     stop_words: Sequence[str] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Cleaned pages ``(dcn, page, text_processed, label)``; a row-local projection."""
+    """Cleaned pages ``(dcn, page, text_processed, label)``; a row-local projection. The
+    compatible result, which keeps a page's last paragraph only, is ``paragraphs="last"``."""
     cleaned = text.clean_training(F.col("text"), paragraphs, noise_phrases, stop_words)
     return bronze_pages.select(
         "dcn", "page", cleaned.alias("text_processed"), "label", *keep
@@ -76,7 +77,7 @@ def with_chunks(
     source: str,
     maxlen: int = 512,
     overlap: int = 50,
-    full_split: bool = False,
+    full_split: bool = True,
     drop_empty: bool = False,
     out: str = "chunks",
 ) -> DataFrame:
@@ -94,10 +95,11 @@ def gold(
     silver_pages: DataFrame,
     maxlen: int = 200,
     overlap: int = 50,
-    full_split: bool = False,
+    full_split: bool = True,
     drop_empty: bool = False,
 ) -> DataFrame:
-    """One row per chunk, ``index`` counting from 1 within the page.
+    """One row per chunk, ``index`` counting from 1 within the page. The compatible result,
+    which leaves off the last words of a page, is ``full_split=False``.
 
     For tables where ``(dcn, page)`` identifies a row the position inside the array is
     the index, so no shuffle is needed. See ``gold_shared`` for the other case.
@@ -116,7 +118,7 @@ def gold_shared(
     row_id: str,
     maxlen: int = 200,
     overlap: int = 50,
-    full_split: bool = False,
+    full_split: bool = True,
     drop_empty: bool = False,
 ) -> DataFrame:
     """Chunks numbered through when several rows share one ``(dcn, page)``.

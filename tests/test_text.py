@@ -113,6 +113,7 @@ def test_sentences(spark):
 
 def chunks_of(spark, counts, *args, **kwargs):
     df = spark.createDataFrame([(n, " ".join(f"w{i}" for i in range(n))) for n in counts], "n int, t string")
+    kwargs = {"full_split": False} | kwargs  # the compatible chunker, unless told otherwise
     out = prepare.with_chunks(df, "t", *args, **kwargs).select("n", "chunks").collect()
     return {r.n: r.chunks for r in out}
 
