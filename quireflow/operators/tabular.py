@@ -9,11 +9,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quireflow.session import stored
+from quireflow.session import fresh_dir, stored
 
 IMPUTER_STRATEGY = {"mean": "mean", "median": "median", "most_frequent": "mode"}
 
@@ -154,3 +155,50 @@ def retrain(
 ) -> PipelineModel:
     ready = coerce_numeric(train, numeric)
     return forest_pipeline(params, numeric, categorical, target, passthrough).fit(ready)
+
+
+def forest_nodes(spark: SparkSession, forest: RandomForestRegressionModel) -> DataFrame:
+    """The trees of a fitted forest as rows ``tree, node, value, rows, feature, threshold, left,
+    right``. A node's ``value`` is the mean of its ``rows`` training rows; leaves have no feature.
+    A row goes to the left where the entry ``feature`` of its vector is at most the threshold.
+    Splits by unordered categories, which the one-hot vector of ``forest_pipeline`` never has,
+    are refused.
+    """
+    path = fresh_dir(spark, "forest")
+    forest.write().save(path)
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    inner = node["leftChild"] >= 0
+    ordered = F.when(split["numCategories"] < 0, split["leftCategoriesOrThreshold"][0]).otherwise(
+        F.raise_error(F.lit("a split by unordered categories")))
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"), node["prediction"].alias("value"),
+        node["rawCount"].alias("rows"), F.when(inner, split["featureIndex"]).alias("feature"),
+        F.when(inner, ordered).alias("threshold"), F.when(inner, node["leftChild"]).alias("left"),
+        F.when(inner, node["rightChild"]).alias("right"))
+
+
+def walk_forest(nodes: DataFrame, rows: DataFrame, key: str, vector: str = "features", depth: int = 30) -> DataFrame:
+    """``key, leaves array<int>, prediction`` of each row, by following its vector from node to
+    node; ``key`` is unique. ``depth`` is the forest's depth or more.
+
+    The paths stay columns of the row: a tree's nodes are one array, in order of node number, and
+    the trees are one row that goes to every task. That row is bounded by the model, which the
+    driver holds and Spark itself sends to every task to predict.
+    """
+    node = F.struct("node", "value", "feature", "threshold", "left", "right")
+    trees = nodes.groupBy("tree").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+    forest = trees.agg(F.transform(F.sort_array(F.collect_list(F.struct("tree", "nodes"))), lambda t: t["nodes"]).alias("__trees"))
+    entries = vector_to_array(vector).alias("__x")
+
+    def step(tree: Column, at: Column) -> Column:
+        here = F.get(tree, at)
+        side = F.when(F.get(F.col("__x"), here["feature"]) <= here["threshold"], here["left"]).otherwise(here["right"])
+        return F.when(here["feature"].isNull(), at).otherwise(side)
+
+    def leaf(tree: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), lambda at, _: step(tree, at))
+
+    walked = rows.select(key, entries).join(F.broadcast(forest)).withColumn("leaves", F.transform("__trees", leaf))
+    values = F.zip_with("__trees", "leaves", lambda tree, at: F.get(tree, at)["value"])
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    return walked.select(key, "leaves", (total / F.size("leaves")).alias("prediction"))

@@ -151,6 +151,28 @@ def rf_retrain(spark, d):
         (F.avg(off) < F.avg(F.pow(F.col(TARGET) - mean, 2))).alias("beats_mean"))
 
 
+#: One tree without sampling: what it must be follows from the data, so SQL can grow it again.
+TREE = {**PARAMS, "regressor__bootstrap": "False", "regressor__max_depth": "2", "regressor__max_features": "1.0",
+        "regressor__min_samples_leaf": "0.0", "regressor__n_estimators": "1"}
+TREE_NUMERIC = ["size_class", "brand_no", "decade"]
+
+
+def rf_tree_walk(spark, d):
+    """A tree retrained on the training split, read back as node rows; every part is walked to
+    its leaf. Prices count in tenths."""
+    parts = _features(spark, d).select(
+        "p_partkey", "split", F.floor(F.col("p_size") / 4).alias("size_class"), "brand_no",
+        F.floor(F.col("series") / 40).alias("decade"), "p_type", F.round(F.col(TARGET) * 10).alias("tenths"))
+    data = stored(tabular.coerce_numeric(parts, TREE_NUMERIC), "tree_rows")
+    model = tabular.retrain(data.where("split = 'train'"), TREE, TREE_NUMERIC, CATEGORICAL, "tenths")
+    nodes = tabular.forest_nodes(spark, model.stages[-1])
+    ready = model.transform(data).drop("prediction")
+    walked = tabular.walk_forest(nodes, ready, "p_partkey", depth=int(TREE["regressor__max_depth"]))
+    leaves = nodes.where("feature IS NULL").select("node", F.col("rows").alias("leaf_rows"))
+    return (walked.withColumn("node", F.get("leaves", F.lit(0))).join(leaves, "node")
+            .select("p_partkey", "leaf_rows", F.round("prediction", 6).alias("prediction")))
+
+
 QUERIES = {
     "numeric_coerce": numeric_coerce,
     "impute_mean": _impute("mean"),
@@ -163,9 +185,38 @@ QUERIES = {
     "select_from_params": select_from_params,
     "assembled_features": assembled_features,
     "rf_retrain": rf_retrain,
+    "rf_tree_walk": rf_tree_walk,
 }
 
 
+def _tree_sql(features: str) -> str:
+    """Grows the tree of ``rf_tree_walk``: per node the cut with the greatest fall of variance
+    among the midpoints of all training values, ties to the first feature and least cut."""
+    def grown(rows: str, out: str) -> str:
+        return f"""{out}_c AS (SELECT c.f, c.cut, v.node, count(*) FILTER (x <= cut) AS n, sum(y) FILTER (x <= cut) AS s,
+            count(*) AS m, sum(y) AS t FROM cuts c JOIN (SELECT * FROM {rows} WHERE split = 'train') v ON v.f = c.f GROUP BY ALL),
+          {out}_b AS (SELECT node, arg_min({{'f': f, 'cut': cut}}, {{'g': -(s * s / n::DOUBLE + (t - s) * (t - s) / (m - n)::DOUBLE),
+            'f': f, 'cut': cut}}) AS b FROM {out}_c WHERE n > 0 AND n < m GROUP BY node),
+          {out}_w AS (SELECT r.k, 2 * r.node + (r.x > b.b.cut)::INT AS node FROM {rows} r JOIN {out}_b b
+            ON b.node = r.node AND b.b.f = r.f),
+          {out} AS (SELECT r.* REPLACE (w.node AS node) FROM {rows} r JOIN {out}_w w USING (k))"""
+    return f"""WITH raw AS (SELECT p_partkey AS k, split, floor(p_size / 4)::DOUBLE AS a, try_cast(brand_no AS DOUBLE) AS b,
+        floor(series / 40)::DOUBLE AS c, p_type, round(p_retailprice * 10)::BIGINT AS y FROM {features}),
+      fill AS (SELECT avg(a) AS fa, avg(b) AS fb, avg(c) AS fc FROM raw WHERE split = 'train'),
+      kinds AS (SELECT p_type AS kind, row_number() OVER (ORDER BY p_type) + 2 AS f
+        FROM (SELECT DISTINCT p_type FROM raw WHERE split = 'train')),
+      v0 AS (SELECT k, split, y, 0 AS f, coalesce(a, fa) AS x, 1 AS node FROM raw, fill
+        UNION ALL SELECT k, split, y, 1, coalesce(b, fb), 1 FROM raw, fill
+        UNION ALL SELECT k, split, y, 2, coalesce(c, fc), 1 FROM raw, fill
+        UNION ALL SELECT k, split, y, f, (kind = p_type)::INT::DOUBLE, 1 FROM raw, kinds),
+      cuts AS (SELECT f, (x + y) / 2 AS cut FROM (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS y
+        FROM (SELECT DISTINCT f, x FROM v0 WHERE split = 'train')) WHERE y IS NOT NULL),
+      {grown('v0', 'v1')}, {grown('v1', 'v2')},
+      leaves AS (SELECT node, count(*) AS leaf_rows, avg(y) AS prediction FROM v2 WHERE f = 0 AND split = 'train' GROUP BY node)
+      SELECT k AS p_partkey, leaf_rows::BIGINT AS leaf_rows, round(prediction, 6) AS prediction
+      FROM (SELECT k, node FROM v2 WHERE f = 0) JOIN leaves USING (node)"""
+
+
 def oracles() -> dict[str, str]:
     split = q.split_name(q.bucket(1000, "p_partkey"), splits.CUTS_60_20_20)
     trains = "{} < 600".format(q.bucket(1000, "c_custkey"))
@@ -208,4 +259,5 @@ def oracles() -> dict[str, str]:
           UNION ALL SELECT p_partkey, split, pos, (kind = p_type)::INT::DOUBLE FROM f CROSS JOIN kinds""",
         "rf_retrain": f"""SELECT split, count(*) AS "rows", 0::BIGINT AS missing, true AS beats_mean
           FROM {features} GROUP BY split""",
+        "rf_tree_walk": _tree_sql(features),
     }

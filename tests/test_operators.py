@@ -535,6 +535,26 @@ def test_forest_takes_logged_parameters(spark):
     assert model.stages[-1].numFeatures == narrow.stages[-1].numFeatures + 1
 
 
+def test_walked_forest_is_the_fitted_one(spark):
+    rows = [(i, float(i % 13), "abc"[i % 3], float(i * 7 % 31), float((i * i) % 101) + 5.0 * (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, x double, kind string, z double, price double")
+    params = {
+        "preprocessor__numerical__imputer__strategy": "mean", "preprocessor__onehot__handle_unknown": "ignore",
+        "regressor__bootstrap": "True", "regressor__max_depth": "5", "regressor__max_features": "0.7",
+        "regressor__min_samples_leaf": "0.001", "regressor__n_estimators": "7", "regressor__random_state": "3",
+    }
+    model = tabular.retrain(df, params, ["x", "z"], ["kind"], "price")
+    nodes = tabular.forest_nodes(spark, model.stages[-1])
+    assert nodes.count() == sum(t.numNodes for t in model.stages[-1].trees)
+    assert nodes.where("(feature IS NULL) <> (left IS NULL) OR left >= right").count() == 0
+    scored = model.transform(df)
+    expected = {r.k: r.prediction for r in scored.select("k", "prediction").collect()}
+    walked = tabular.walk_forest(nodes, scored.drop("prediction"), "k", depth=5).collect()
+    assert len(walked) == len(expected)
+    assert all(r.prediction == pytest.approx(expected[r.k], abs=1e-9) and len(r.leaves) == 7 for r in walked)
+    assert tabular.walk_forest(nodes, scored.limit(0), "k", depth=5).count() == 0
+
+
 def test_bucket_depends_on_key_only(spark):
     df = spark.range(10)
     a = [r.b for r in df.select(hashing.stable_bucket(7, "id").alias("b")).collect()]
