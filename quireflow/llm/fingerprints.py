@@ -8,7 +8,8 @@ the share of its length whose chunks the other has, too.
 
 Rows are independent of each other but for ``with_next``, which lays the documents in order of
 id: ids are cut into stretches, and each stretch gets a copy of the first document after it.
-The texts move once.
+The texts move once. An id with many rows is cut over several stretches by
+the digest of the text; only rows alike in id and text stay together.
 
 Defined cases: a null text is empty and has the empty fingerprint; an only document is its own
 next one; rows of equal id stand in order of their text's digest, a null id first; an empty
@@ -32,6 +33,7 @@ from quireflow.llm.common import stored, text_or_empty
 
 LEAST, USUAL, GREATEST = 24, 64, 256
 STRICT_BITS, LOOSE_BITS = 6, 4     # zero bits asked for before and after the usual size
+_NO_ID = int(np.iinfo(np.int64).min)  # a null id stands first
 _GEAR = packed.mix64(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 
 
@@ -127,10 +129,14 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stretch(bounds: np.ndarray):
+    """Number of the stretch by id and place. An id that fills several stretches is a bound as
+    many times; its rows are cut by place, a number of 32 bits that follows the digest's order."""
     @F.arrow_udf("int")
-    def number(ids: pa.Array) -> pa.Array:
-        filled = pc.fill_null(ids, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-        return pa.array(np.searchsorted(bounds, filled, "right"), pa.int32())
+    def number(ids: pa.Array, places: pa.Array) -> pa.Array:
+        filled = pc.fill_null(ids, _NO_ID).to_numpy(zero_copy_only=False)
+        least, after = np.searchsorted(bounds, filled, "left"), np.searchsorted(bounds, filled, "right")
+        within = places.to_numpy(zero_copy_only=False) * np.maximum(after - least, 1) >> 32
+        return pa.array(np.minimum(least + 1, after) + within, pa.int32())
     return number
 
 
@@ -141,16 +147,23 @@ def with_next(docs: DataFrame) -> DataFrame:
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretches = 4 * tasks
     shares = [k / stretches for k in range(1, stretches)]
-    bounds = texts.agg(F.percentile_approx("doc_id", shares, 10 * stretches)).first()[0]  # one id per stretch
-    bounds = np.unique(np.array(bounds or [], np.int64))
-    texts = texts.withColumn("part", _stretch(bounds)("doc_id"))
+    known = F.coalesce("doc_id", F.lit(_NO_ID))
+    bounds = np.array(texts.agg(F.percentile_approx(known, shares, 10 * stretches)).first()[0] or [], np.int64)  # one id per stretch
+    digest = F.md5(F.col("text").cast("binary"))
+    # Only where an id fills a stretch does the place of a row need its text.
+    hot = len(np.unique(bounds)) < len(bounds)
+    texts = texts.withColumn("digest", digest if hot else F.lit(""))
+    place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") if hot else F.lit(0).cast("long")
+    texts = texts.withColumn("part", _stretch(bounds)("doc_id", place))
     # Each stretch also gets the first document of the next one (the last, that of the first).
-    firsts = texts.groupBy("part").agg(F.min(F.struct("doc_id")).alias("first"))
+    firsts = texts.groupBy("part").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
     along, whole = Window.orderBy("part"), Window.partitionBy()
+    first = F.coalesce(F.lead("first").over(along), F.min_by("first", "part").over(whole))
     after = stored(firsts.select(  # a row per stretch
-        F.col("part").alias("__to"),
-        F.coalesce(F.lead("first").over(along), F.min_by("first", "part").over(whole))["doc_id"].alias("__first")), "firsts")
-    copies = texts.join(after, F.col("doc_id").eqNullSafe(F.col("__first"))).select(
-        F.col("__to").alias("part"), F.lit(True).alias("extra"), "doc_id", "text")
+        F.col("part").alias("__to"), first["doc_id"].alias("__first"), first["digest"].alias("__digest")), "firsts")
+    copies = texts.join(
+        after, F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("digest") == F.col("__digest")),
+    ).groupBy(F.col("__to").alias("part")).agg(F.min(F.struct(digest.alias("d"), "doc_id", "text")).alias("one")).select(
+        "part", F.lit(True).alias("extra"), "one.doc_id", "one.text")
     rows = texts.select("part", F.lit(False).alias("extra"), "doc_id", "text").union(copies).repartition(tasks, "part")
-    return rows.sortWithinPartitions("part", "extra", "doc_id", F.md5(F.col("text").cast("binary"))).mapInArrow(_walk, RESULT)
+    return rows.sortWithinPartitions("part", "extra", "doc_id", digest).mapInArrow(_walk, RESULT)
