@@ -49,14 +49,7 @@ def op6_chat_format(spark, d):
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(quote).alias("text"))
     turns = load(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    chats = chat.format_chats(turns)
-    back = chats.withColumn("back", chat.read_turns(F.col("formatted"))).withColumn(
-        "learned", chat.learned_text(F.col("segments")))
-    spoken = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return back.select(
-        "conv_id", F.size("back").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
-        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+    return chat.digests(turns)
 
 
 def op7_near_dedup(spark, d):
