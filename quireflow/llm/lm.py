@@ -124,12 +124,25 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(3)], names=["n_distinct", "n_all", "n_fold"])
 
 
-def _counts(data: _Shard, replies: list[tuple[int, bytes]], bits: int, side: int) -> list[np.ndarray]:
-    """For each order: training (side 0) or fold (side 1) count of every token's n-gram."""
-    found = []
+def _numbers(keys: np.ndarray) -> np.ndarray:
+    """Number of each key among the distinct ones in order, by one sort."""
+    order = np.argsort(keys)
+    there = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = there[1:] != there[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number
+
+
+def _counts(data: _Shard, replies: list[tuple[int, bytes]], bits: int, *sides: int) -> list[list[np.ndarray]]:
+    """For each side (0 all training rows, 1 the fold) and order: every token's n-gram's count."""
+    found = [[] for _ in sides]
     for k, keys in enumerate(data.keys):
-        values = np.concatenate([_pair(r)[side] for b, r in replies if b >> bits == k])
-        found.append(values[np.searchsorted(np.unique(keys), keys)].astype(np.int64))
+        number = _numbers(keys)
+        mine = [_pair(r) for b, r in replies if b >> bits == k]
+        for out, side in zip(found, sides):
+            out.append(np.concatenate([pair[side] for pair in mine])[number].astype(np.int64))
     return found
 
 
@@ -151,7 +164,7 @@ def _fold_estimates(order: int, bits: int, total: int, docs: int):
             for i in range(len(batch)):
                 data = _Shard(packed.open_shard(batch, i), order)
                 replies = packed.replies_of(batch, "answers", i)
-                whole, own = (_counts(data, replies, bits, side) for side in (0, 1))
+                whole, own = _counts(data, replies, bits, 0, 1)
                 bucket, p = _estimates(data, [a - b for a, b in zip(whole, own)], total, docs)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([bucket.astype(np.uint8).tobytes()], pa.binary()),
@@ -181,7 +194,8 @@ def _expectation(weights: np.ndarray, uniform: float):
 
 
 def _learn(fold: DataFrame, order: int, uniform: float) -> np.ndarray:
-    """Weights ``[bucket, part]``, part 0 uniform: rounds of EM, a pass over the fold each."""
+    """Weights ``[bucket, part]``, part 0 uniform: rounds of EM, a pass over the fold each. A
+    bucket that the fold has no token of takes the weights of the nearest lower one that has."""
     weights = np.full((CONTEXT_BUCKETS, order + 1), 1.0 / (order + 1))
     for _ in range(ROUNDS):
         used = np.zeros_like(weights)
@@ -190,6 +204,10 @@ def _learn(fold: DataFrame, order: int, uniform: float) -> np.ndarray:
             used[row.bucket, row.part] = row.used
         seen = used.sum(axis=1, keepdims=True)
         weights = np.where(seen > 0, used / np.maximum(seen, 1e-300), weights)
+    known = np.flatnonzero(seen[:, 0] > 0)
+    if len(known):
+        lower = np.searchsorted(known, np.arange(CONTEXT_BUCKETS), "right") - 1
+        weights = weights[known[np.maximum(lower, 0)]]
     return np.maximum(weights, [1e-9, *[0.0] * order])
 
 
@@ -198,7 +216,7 @@ def _scores(order: int, bits: int, weights: np.ndarray, total: int, distinct: in
         for batch in batches:
             for i in range(len(batch)):
                 data = _Shard(packed.open_shard(batch, i), order)
-                counts = _counts(data, packed.replies_of(batch, "answers", i), bits, 0)
+                counts, = _counts(data, packed.replies_of(batch, "answers", i), bits, 0)
                 bucket, p = _estimates(data, counts, total, docs)
                 w = weights[bucket].T
                 mixed = w[0] / (distinct + 1) + (w[1:] * p).sum(axis=0)
@@ -212,7 +230,7 @@ def _scores(order: int, bits: int, weights: np.ndarray, total: int, distinct: in
     return run
 
 
-def score(docs: DataFrame, use: Column, order: int = 2) -> DataFrame:
+def score(docs: DataFrame, use: Column, order: int = 3) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document.
 
     ``use`` says what a document is for: ``HELD_OUT``, ``TRAIN`` or ``FOLD``.
