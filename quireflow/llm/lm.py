@@ -9,6 +9,8 @@ all training documents with these weights.
 Counts are gathered from the whole corpus by packed exchanges (``packed``): each shard asks
 once for each n-gram it has, and the key range's task adds up and answers. A word is a
 64-bit hash; two words of a corpus with a billion distinct ones share one with a chance of 3 %.
+Longer n-grams go by as many hash bits as the corpus needs for about one in a million of them
+to share its number with another: 20 more than the number of words has.
 
 Defined cases: a null or empty text is one end token; without training documents every
 probability is uniform; repeated rows count and score like others; an empty table gives an
@@ -33,13 +35,14 @@ HELD_OUT, TRAIN, FOLD = 0, 1, 2      # what a document is for; a fold document a
 CONTEXT_BUCKETS = 16
 ROUNDS = 12
 KEYS_PER_BUCKET = 2_000_000
+SPARE_BITS = 20         # of an n-gram's number, beyond those that count the corpus' words
 
 
 class _Shard:
     """Tokens of a shard, whose documents are all for one use, and the n-gram keys of every
-    order, document after document."""
+    order, document after document; longer n-grams' keys have only their upper ``width`` bits."""
 
-    def __init__(self, rows: pa.StructArray, order: int):
+    def __init__(self, rows: pa.StructArray, order: int, width: int):
         words, lengths = packed.words_of(rows.field("text"), lower=True)
         indices, names = packed.hashed(words)
         self.doc_ids, self.use = rows.field("doc_id"), rows.field("use")[0].as_py() if len(rows) else TRAIN
@@ -60,6 +63,8 @@ class _Shard:
             for k in range(back):
                 before[np.minimum(self.begins + k, self.ends - 1)] = BEGIN
             self.keys.append(packed.mix64(self.keys[-1] * U64(0x9E3779B97F4A7C15) + before))
+        spare = U64(64 - width)
+        self.keys[1:] = [(keys >> spare) << spare for keys in self.keys[1:]]
 
     def shifted(self, values: np.ndarray, first: int | float) -> np.ndarray:
         """The value of the token before, ``first`` for a document's first token."""
@@ -69,11 +74,11 @@ class _Shard:
         return out
 
 
-def _requests(order: int, bits: int):
+def _requests(order: int, bits: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
-                data = _Shard(packed.open_shard(batch, i), order)
+                data = _Shard(packed.open_shard(batch, i), order, width)
                 rows = []
                 for k, keys in enumerate(data.keys):
                     names, times = np.unique(keys, return_counts=True)
@@ -83,7 +88,7 @@ def _requests(order: int, bits: int):
                     for bucket, part in packed.by_bucket(names, bits, k << bits):
                         if part.stop > part.start:
                             extra = [packed.squeeze(c[part]) for c in counts]
-                            rows.append((bucket, packed.squeeze_sorted(names[part]),
+                            rows.append((bucket, packed.squeeze_sorted(names[part] >> U64(64 - width if k else 0)),
                                          len(extra[0]).to_bytes(8, "little") + b"".join(extra)))
                 yield packed.request_batch(shard, rows)
     return run
@@ -158,11 +163,11 @@ def _estimates(data: _Shard, counts: list[np.ndarray], total: int, docs: int) ->
     return bucket, np.array(estimates)
 
 
-def _fold_estimates(order: int, bits: int, total: int, docs: int):
+def _fold_estimates(order: int, bits: int, width: int, total: int, docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                data = _Shard(packed.open_shard(batch, i), order)
+                data = _Shard(packed.open_shard(batch, i), order, width)
                 replies = packed.replies_of(batch, "answers", i)
                 whole, own = _counts(data, replies, bits, 0, 1)
                 bucket, p = _estimates(data, [a - b for a, b in zip(whole, own)], total, docs)
@@ -211,11 +216,11 @@ def _learn(fold: DataFrame, order: int, uniform: float) -> np.ndarray:
     return np.maximum(weights, [1e-9, *[0.0] * order])
 
 
-def _scores(order: int, bits: int, weights: np.ndarray, total: int, distinct: int, docs: int):
+def _scores(order: int, bits: int, width: int, weights: np.ndarray, total: int, distinct: int, docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                data = _Shard(packed.open_shard(batch, i), order)
+                data = _Shard(packed.open_shard(batch, i), order, width)
                 counts, = _counts(data, packed.replies_of(batch, "answers", i), bits, 0)
                 bucket, p = _estimates(data, counts, total, docs)
                 w = weights[bucket].T
@@ -239,15 +244,16 @@ def score(docs: DataFrame, use: Column, order: int = 3) -> DataFrame:
     held = packed.shards(rows, by="use")
     words = (held.agg(F.sum("size")).first()[0] or 0) / 6
     bits = packed.bits_for(words, KEYS_PER_BUCKET)
-    replies = packed.ask(held.mapInArrow(_requests(order, bits), packed.REQUEST), _totals(1 << bits), "counts")
+    width = min(64, SPARE_BITS + max(20, packed.bits_for(words, 1)))
+    replies = packed.ask(held.mapInArrow(_requests(order, bits, width), packed.REQUEST), _totals(1 << bits), "counts")
     own = replies.filter("shard < 0").mapInArrow(_sums, "n_distinct long, n_all long, n_fold long")
     distinct, total, fold_total = (x or 0 for x in own.agg(*[F.sum(c) for c in own.columns]).first())
     uses = {r.use: r.n for r in held.select(F.explode("rows.use").alias("use")).groupBy("use").agg(
         F.count("*").alias("n")).collect()}
     train, fold = uses.get(TRAIN, 0), uses.get(FOLD, 0)
     known = held.join(replies, "shard")
-    parts = stored(known.filter(F.col("part") == FOLD).mapInArrow(_fold_estimates(order, bits, total - fold_total, train), "bucket binary, p binary"), "fold")
+    parts = stored(known.filter(F.col("part") == FOLD).mapInArrow(_fold_estimates(order, bits, width, total - fold_total, train), "bucket binary, p binary"), "fold")
     weights = _learn(parts, order, 1.0 / (distinct + 1))
     return known.mapInArrow(
-        _scores(order, bits, weights, total, distinct, train + fold),
+        _scores(order, bits, width, weights, total, distinct, train + fold),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
