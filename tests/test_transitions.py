@@ -61,6 +61,36 @@ def test_stages_over_restarts(spark, parts):
         by_version[r.model_name, r.version] = (r.to_stage, r.change)
 
 
+def test_state_rows_do_not_grow_with_models(spark):
+    """Versions of many models share the rows of the state: few reads and writes for a batch."""
+    rows, slots, page = [], 8, 16
+    for i, ts, text, archives in _events(5, 400):
+        spread = text.replace('"hot"', f'"h{i % 61}"') if text.startswith('{"event"') else text
+        rows.append((i, ts, spread, archives))
+    source, moves, marks = (fresh_dir(spark, n) for n in ("e", "m", "c"))
+    for half in range(2):
+        spark.createDataFrame(rows[half::2], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        changes = transitions.stage_moves(stream, 2, slots, 4, page)
+        query = streams.append_stream(changes, moves, marks)
+        streams.run_to_end(query, 300)
+    state = query.lastProgress["stateOperators"][0]
+    got = {(r.model_name, r.version): r.stage for r in transitions.current_stages(spark.read.parquet(moves)).collect()}
+    assert len(got) > 150 and slots < state["numRowsTotal"] < len(got) // 4
+
+    last, swept = {}, {}
+    for i, ts, text, archives in rows:
+        body = json.loads(text) if text.startswith('{"event"') else {}
+        model, version, stage = (body.get(k) for k in ("model_name", "version", "to_stage"))
+        if body.get("event") != "MODEL_VERSION_TRANSITIONED_STAGE" or None in (model, version, stage):
+            continue
+        last[model, version] = max(last.get((model, version), ((ts, -1), "")), ((ts, i), stage))
+        if archives and stage in registry.ACTIVE_STAGES:
+            swept[model, stage] = max(swept.get((model, stage), (ts, -1)), (ts, i))
+    want = {by: "Archived" if swept.get((by[0], stage), at) > at else stage for by, (at, stage) in last.items()}
+    assert got == want and "Archived" in want.values()
+
+
 def test_routing_keeps_every_event(spark):
     rows = _events(9, 60)
     got = transitions.routed(spark.createDataFrame(rows, SCHEMA)).collect()
