@@ -49,8 +49,9 @@ def numbered(df: DataFrame, order: list[Column], group: str | None = None,
     a group of any size is cut over many tasks; its position is the place inside the
     partition plus the rows of the group in earlier partitions. Rows that tie in ``order``
     get different numbers in no particular order, so let them differ or be alike. Only one
-    row for each partition and group meets in the window over a group. A null group counts
-    as a group.
+    row for each partition and group meets in the window over a group. These rows are stored,
+    too: their measured size decides how they are joined, so a few of them are broadcast and
+    the sorted rows are not exchanged a second time. A null group counts as a group.
     """
     key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group)), F.lit("~"))
     rows = stored(
@@ -59,11 +60,11 @@ def numbered(df: DataFrame, order: list[Column], group: str | None = None,
     )
     part = F.shiftright(F.col("__at"), _LOCAL_BITS)
     before = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
+    runs = stored(
         rows.groupBy(part.alias("__part"), "__key")
         .agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .drop("__n")
+        .drop("__n"), "runs",
     )
     return (
         rows.withColumn("__part", part).join(runs, ["__part", "__key"])

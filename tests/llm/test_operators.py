@@ -116,6 +116,24 @@ def test_mix_odd_rows(odd):
     assert mixed.columns == odd.columns and mixed.count() == sum(r.copies for r in rows)
 
 
+def test_mix_exchanges_texts_once(spark):
+    """Numbered rows are joined with the few counts of their partitions where they lie."""
+    texts = [" ".join(hashlib.sha256(f"{i}-{k}".encode()).hexdigest() for k in range(10)) for i in range(600)]
+    docs = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")  # below the size of the texts
+    try:
+        mixed = mixing.mix(docs)
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        kept = [tuple(r) for r in mixed.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    taken = Counter(kept)
+    wanted = {r.doc_id: r.copies for r in mixing.plan(docs).collect() if r.copies}
+    assert taken == {(i, texts[i], "ab"[i % 2]): n for i, n in wanted.items()}
+
+
 def test_targets_share_the_excess(spark):
     rows = spark.createDataFrame([("a", 10), ("b", 500), ("c", 0), (None, 490)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(rows).collect()}
